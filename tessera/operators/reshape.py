@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,8 +40,24 @@ def pivot(df: DataFrame, row_key: str, col_key: str, value: str, keys: Sequence
     return g.agg(F.first(value))
 
 
-def sequence_ids(df: DataFrame, key_col: str, order_col: str, seq_col: str = "seq") -> DataFrame:
-    """Number the rows of every key 1, 2, ... in ``order_col`` order, the
-    record number used to pivot a key/value log into records."""
-    w = Window.partitionBy(key_col).orderBy(order_col)
-    return df.withColumn(seq_col, F.row_number().over(w))
+def sequence_ids(
+    df: DataFrame, key_col: str, order_cols: Sequence[str], bucket: Column, seq_col: str = "seq"
+) -> DataFrame:
+    """Number the rows of every key 1, 2, ... in ``order_cols`` order, the
+    record number used to pivot a key/value log into records.
+
+    ``bucket`` must grow with the order (e.g. the day of the first order
+    column). Rows are numbered inside (key, bucket) windows and shifted by
+    the row count of the key's earlier buckets, taken from a small table of
+    per-bucket counts, so no key is ever sorted by one task."""
+    b = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(key_col, "_bk").orderBy(*order_cols)
+    numbered = b.withColumn("_rn", F.row_number().over(w))
+    counts = b.groupBy(key_col, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    cw = Window.partitionBy(key_col).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key_col, "_bk", F.coalesce(F.sum("_n").over(cw), F.lit(0)).alias("_off"))
+    return (
+        numbered.join(offsets, [key_col, "_bk"])
+        .withColumn(seq_col, F.col("_off") + F.col("_rn"))
+        .drop("_bk", "_rn", "_off")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["text", "cardinality", "evaluation", "lsh", "graph", "streams"]
+_MODULES = ["text", "cardinality", "evaluation", "lsh", "graph", "streams", "reshape"]
 
 
 def registry():
