@@ -25,9 +25,7 @@ def _salted(col: Column, salts) -> Column:
 def h60(col: Column, *salts, hash_fn: str = "md5") -> Column:
     """60-bit non-negative hash of ``col`` (optionally salted)."""
     if hash_fn == "xxhash64":
-        return F.xxhash64(*[F.lit(str(s)) for s in salts], col) & F.lit(
-            (1 << 60) - 1
-        )
+        return F.xxhash64(*[F.lit(str(s)) for s in salts], col).bitwiseAND(F.lit((1 << 60) - 1))
     return F.conv(F.substring(F.md5(_salted(col, salts)), 1, 15), 16, 10).cast(
         "bigint"
     )

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -149,6 +150,51 @@ def hll_estimate(registers: DataFrame, p: int, group_cols=None) -> DataFrame:
     return s.select(*g, F.col("used").alias("registers_used"), est.alias("estimate"))
 
 
+def hll_fold_many(registers: DataFrame, p_from: int, ps: Sequence[int], group_cols=None) -> DataFrame:
+    """(groups..., p, idx, rank) for every precision in ``ps`` at once: each
+    register row is exploded into its folded index and rank per p, then one
+    ``groupBy(groups, p, idx)`` takes the max (a single pipeline)."""
+    if max(ps) > p_from:
+        raise ValueError("can only fold to a smaller p")
+    g = _groups(group_cols)
+    entries = []
+    for p in ps:
+        d = p_from - p
+        if d == 0:
+            entries.append(F.struct(F.lit(p).alias("p"), F.col("idx").alias("i"), F.col("rank").alias("r")))
+            continue
+        low = F.col("idx").bitwiseAND(F.lit((1 << d) - 1))
+        rank = F.when(low > 0, F.lit(d) - bit_length(low) + 1).otherwise(F.lit(d) + F.col("rank"))
+        entries.append(
+            F.struct(F.lit(p).alias("p"), F.shiftright("idx", d).alias("i"), rank.cast("int").alias("r"))
+        )
+    e = registers.select(*g, F.explode(F.array(*entries)).alias("e"))
+    return (
+        e.select(*g, F.col("e.p").alias("p"), F.col("e.i").alias("idx"), F.col("e.r").alias("rank"))
+        .groupBy(*g, "p", "idx")
+        .agg(F.max("rank").alias("rank"))
+    )
+
+
+def hll_estimate_many(registers: DataFrame, ps: Sequence[int], group_cols=None) -> DataFrame:
+    """``hll_estimate`` for a register table with a ``p`` column."""
+    g = [*_groups(group_cols), "p"]
+    alpha = None
+    for p in ps:
+        alpha = (F.when(F.col("p") == p, F.lit(hll_alpha(p))) if alpha is None
+                 else alpha.when(F.col("p") == p, F.lit(hll_alpha(p))))
+    m = F.pow(F.lit(2.0), F.col("p"))  # exact for integer p
+    per_rank = registers.groupBy(*g, "rank").agg(F.count(F.lit(1)).alias("c"))
+    s = per_rank.groupBy(*g).agg(
+        F.sum(F.col("c") * F.pow(F.lit(2.0), -F.col("rank"))).alias("z_used"),
+        F.sum("c").alias("used"),
+    )
+    empty = m - F.col("used")
+    raw = alpha * m * m / (F.col("z_used") + empty)
+    est = F.when((raw <= m * 2.5) & (empty > 0), m * F.log(m / empty)).otherwise(raw)
+    return s.select(*g, F.col("used").alias("registers_used"), est.alias("estimate"))
+
+
 def hll_count(df: DataFrame, value_col: str, p: int, group_cols=None, hash_fn: str = "md5") -> DataFrame:
     return hll_estimate(hll_registers(with_hash(df, value_col, hash_fn=hash_fn), p, group_cols), p, group_cols)
 
@@ -164,30 +210,58 @@ def hll_builtin(df: DataFrame, value_col: str, lg_k: int = 12, group_cols=None)
 
 
 def _kmv_partial(k: int, keys: list[str]):
+    """Per task: the k smallest distinct hashes of every group seen. Rows at
+    or above a group's current k-th value are dropped with one vectorised
+    comparison, so a full state costs one pass over each batch."""
+
     def run(batches):
-        state = None
+        state: dict = {}
+        schema = None
         for batch in batches:
+            schema = batch.schema
             pdf = batch.to_pandas()
-            if state is not None:
-                pdf = pd.concat([state, pdf], ignore_index=True)
-            pdf = pdf.drop_duplicates().sort_values(keys + ["h"], kind="stable")
-            state = pdf.groupby(keys, sort=False).head(k) if keys else pdf.head(k)
-        if state is not None and len(state):
-            yield pa.RecordBatch.from_pandas(state.reset_index(drop=True), preserve_index=False)
+            groups = pdf.groupby(keys, sort=False)["h"] if keys else [((), pdf["h"])]
+            for g, hs in groups:
+                vals = hs.to_numpy(dtype=np.int64)
+                cur = state.get(g)
+                if cur is not None and len(cur) >= k:
+                    vals = vals[vals < cur[-1]]
+                    if not len(vals):
+                        continue
+                merged = np.unique(vals if cur is None else np.concatenate([cur, vals]))
+                state[g] = merged[:k]
+        if state:
+            cols = {c: [] for c in keys}
+            hs = []
+            for g, vals in state.items():
+                gk = g if isinstance(g, tuple) else (g,)
+                for c, v in zip(keys, gk):
+                    cols[c].extend([v] * len(vals))
+                hs.append(vals)
+            out = pd.DataFrame({**cols, "h": np.concatenate(hs)})
+            yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
 
     return run
 
 
-def kmv_smallest(hashed: DataFrame, k: int, group_cols=None) -> DataFrame:
+def kmv_smallest(hashed: DataFrame, k: int, group_cols=None, distinct_input: bool = False) -> DataFrame:
     """(groups..., h, pos): the k smallest distinct hashes of every group.
-    Each task keeps at most k distinct hashes per group (memory bounded by k
-    times the groups it sees), so no full distinct is ever shuffled."""
+
+    Raw input: each task keeps at most k distinct hashes per group (an Arrow
+    batch step; memory bounded by k times the groups it sees), so neither a
+    full distinct nor a hot value's duplicates are ever shuffled.
+    ``distinct_input=True`` (rows already distinct per group): a JVM
+    ``dense_rank <= k`` window, which Spark limits per task before the
+    shuffle."""
     if k < 1:
         raise ValueError("k must be >= 1")
     g = _groups(group_cols)
     src = hashed.select(*g, "h").where(F.col("h").isNotNull())
-    partial = src.mapInArrow(_kmv_partial(k, g), src.schema)
     w = Window.partitionBy(*g).orderBy("h") if g else Window.orderBy("h")
+    if distinct_input:
+        ranked = src.withColumn("pos", F.dense_rank().over(w)).where(F.col("pos") <= k)
+        return ranked.dropDuplicates([*g, "h"])
+    partial = src.mapInArrow(_kmv_partial(k, g), src.schema)
     return (
         partial.distinct()
         .withColumn("pos", F.row_number().over(w))
@@ -209,6 +283,21 @@ def kmv_estimate(smallest: DataFrame, k: int, group_cols=None, estimator: str =
     return s.select(*g, "held", est.alias("estimate"))
 
 
+def kmv_estimate_many(smallest: DataFrame, ks: Sequence[int], group_cols=None) -> DataFrame:
+    """(groups..., k, held, estimate) for every k in ``ks`` from one table of
+    the max(ks) smallest hashes (each k takes a prefix), in one aggregate."""
+    g = _groups(group_cols)
+    e = smallest.select(*g, "h", "pos", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
+    s = e.where(F.col("pos") <= F.col("k")).groupBy(*g, "k").agg(
+        F.count(F.lit(1)).alias("held"), F.max("h").alias("h_k")
+    )
+    num = F.when(F.col("k") == 1, F.lit(1.0)).otherwise((F.col("k") - 1).cast("double"))
+    est = F.when(F.col("held") < F.col("k"), F.col("held").cast("double")).otherwise(
+        num * F.lit(float(1 << HASH_BITS)) / F.col("h_k")
+    )
+    return s.select(*g, "k", "held", est.alias("estimate"))
+
+
 def kmv_count(df: DataFrame, value_col: str, k: int, group_cols=None, hash_fn: str = "md5") -> DataFrame:
     return kmv_estimate(kmv_smallest(with_hash(df, value_col, hash_fn=hash_fn), k, group_cols), k, group_cols)
 
@@ -242,27 +331,25 @@ def estimator_rmse(
     those bounded tables, and the exact count comes from the same scan."""
     seeds = list(seeds)
     pmax, kmax = max(hll_ps), max(kmv_ks)
-    salted = df.select(F.col(value_col).alias("v")).where(F.col("v").isNotNull()).select(
-        "v", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed")
-    )
+    # The exact count needs the distinct values anyway; sketches are blind
+    # to duplicates, so each seed hashes the distinct values only.
+    values = df.select(F.col(value_col).alias("v")).where(F.col("v").isNotNull()).distinct()
+    salted = values.select("v", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
     hashed = salted.select("seed", F.conv(
         F.substring(F.md5(F.concat_ws("|", F.col("seed").cast("string"), F.col("v").cast("string"))), 1, 15), 16, 10
     ).cast("bigint").alias("h"))
-    exact = df.agg(F.count_distinct(F.col(value_col)).alias("exact")).select(
+    exact = values.agg(F.count(F.lit(1)).alias("exact")).select(
         "exact", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed")
     )
     regs = hll_registers(hashed, pmax, "seed")
-    parts = []
-    for p in hll_ps:
-        est = hll_estimate(hll_fold(regs, pmax, p, "seed"), p, "seed")
-        parts.append(est.select("seed", F.lit("hll").alias("algorithm"), F.lit(p).alias("size"), "estimate"))
-    mins = kmv_smallest(hashed, kmax, "seed")
-    for k in kmv_ks:
-        est = kmv_estimate(mins, k, "seed")
-        parts.append(est.select("seed", F.lit("kmv").alias("algorithm"), F.lit(k).alias("size"), "estimate"))
-    allest = parts[0]
-    for p in parts[1:]:
-        allest = allest.unionByName(p)
+    hll = hll_estimate_many(hll_fold_many(regs, pmax, hll_ps, "seed"), hll_ps, "seed").select(
+        "seed", F.lit("hll").alias("algorithm"), F.col("p").alias("size"), "estimate"
+    )
+    mins = kmv_smallest(hashed, kmax, "seed", distinct_input=True)
+    kmv = kmv_estimate_many(mins, kmv_ks, "seed").select(
+        "seed", F.lit("kmv").alias("algorithm"), F.col("k").alias("size"), "estimate"
+    )
+    allest = hll.unionByName(kmv)
     return (
         allest.join(F.broadcast(exact), "seed")  # one row per seed
         .groupBy("algorithm", "size", "exact")

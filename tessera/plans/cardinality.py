@@ -33,22 +33,14 @@ def _events(spark, sf_dir):
 
 
 def _hll_many(hashed: DataFrame, ps, group_cols) -> DataFrame:
+    """Registers at the largest p, folded to every p in one pipeline."""
     pmax = max(ps)
     regs = K.hll_registers(hashed, pmax, group_cols)
-    out = None
-    for p in ps:
-        est = K.hll_estimate(K.hll_fold(regs, pmax, p, group_cols), p, group_cols).withColumn("p", F.lit(p))
-        out = est if out is None else out.unionByName(est)
-    return out
+    return K.hll_estimate_many(K.hll_fold_many(regs, pmax, ps, group_cols), ps, group_cols)
 
 
 def _kmv_many(hashed: DataFrame, ks, group_cols) -> DataFrame:
-    mins = K.kmv_smallest(hashed, max(ks), group_cols)
-    out = None
-    for k in ks:
-        est = K.kmv_estimate(mins, k, group_cols).withColumn("k", F.lit(k))
-        out = est if out is None else out.unionByName(est)
-    return out
+    return K.kmv_estimate_many(K.kmv_smallest(hashed, max(ks), group_cols), ks, group_cols)
 
 
 def q_distinct_exact(spark, sf_dir):

@@ -65,3 +65,11 @@ def test_rmse_shape(spark):
     df = spark.range(0, 3000).select(F.col("id").cast("string").alias("v"))
     out = K.estimator_rmse(df, "v", seeds=(1, 2, 3), hll_ps=(4, 8), kmv_ks=(8, 64)).collect()
     assert len(out) == 4 and all(r.exact == 3000 for r in out)
+
+
+def test_xxhash_path(spark):
+    df = spark.range(0, 5000).select(F.col("id").cast("string").alias("v"))
+    r = K.hll_count(df, "v", 10, hash_fn="xxhash64").first()
+    assert abs(r.estimate - 5000) / 5000 < 0.15
+    h = K.with_hash(df, "v", hash_fn="xxhash64").agg(F.min("h"), F.max("h")).first()
+    assert h[0] >= 0 and h[1] < (1 << 60)
