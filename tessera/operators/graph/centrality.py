@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +48,13 @@ def pagerank(
     vertices without out-edges is not redistributed. With ``tol`` the loop
     stops once the largest change is at most ``tol`` (one scalar action per
     superstep); else it runs ``max_iter`` supersteps."""
-    v = _ids(vertices, edges).persist(StorageLevel.MEMORY_AND_DISK)
-    w = (
+    loop = Loop(checkpoint_every)
+    v = loop.keep(_ids(vertices, edges))
+    w = loop.keep(
         edges.join(out_degree(edges).withColumnRenamed("id", "src"), "src")
         .select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"))
         .repartition("src")
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    loop = Loop(checkpoint_every)
     ranks = loop.step(v.select("id", F.lit(1.0).alias("rank")))
     for _ in range(max_iter):
         contrib = (
@@ -74,7 +72,7 @@ def pagerank(
             ).first()[0]
             if delta is None or delta <= tol:
                 break
-    return ranks
+    return loop.finish(ranks)
 
 
 # ---- HITS ----------------------------------------------------------------------
@@ -99,9 +97,9 @@ def hits(
     scores over in-edges, hub = sum of authority over out-edges, both
     normalised every half step; stop after ``max_iter`` or when no score
     moves more than ``tol``."""
-    v = _ids(vertices, edges).persist(StorageLevel.MEMORY_AND_DISK)
-    e = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     aloop, hloop = Loop(checkpoint_every), Loop(checkpoint_every)
+    v = aloop.keep(_ids(vertices, edges))
+    e = aloop.keep(edges.select("src", "dst"))
     hub = v.select("id", F.lit(1.0).alias("hub"))
     auth = None
     for _ in range(max_iter):
@@ -131,7 +129,9 @@ def hits(
             break
     if auth is None:
         auth = v.select("id", F.lit(0.0).alias("auth"))
-    return hub.join(auth, "id").select("id", "hub", F.col("auth").alias("authority"))
+    out = aloop.finish(hub.join(auth, "id").select("id", "hub", F.col("auth").alias("authority")))
+    hloop.release()
+    return out
 
 
 # ---- breadth-first search from many sources ------------------------------------
@@ -144,20 +144,22 @@ def bfs_levels(
     with_paths: bool = False,
     max_depth: int | None = None,
     checkpoint_every: int = 2,
+    owner: Loop | None = None,
 ) -> DataFrame:
     """(s, v, dist[, sigma]) for every v reachable from source s (dist 0 for
     v = s); sigma = number of shortest s-v paths. One level per superstep:
     frontier joined to the out-edges, grouped by (s, v), anti-joined to the
-    vertices already reached."""
-    e = simple_edges(edges).persist(StorageLevel.MEMORY_AND_DISK)
+    vertices already reached. Cached levels belong to ``owner`` (the
+    caller releases them once its result is checkpointed)."""
+    owner = owner or Loop(checkpoint_every)
+    e = owner.keep(simple_edges(edges))
     src = sources.select("id") if sources is not None else _ids(vertices, edges)
     cols = ["s", "v", "dist"] + (["sigma"] if with_paths else [])
     frontier = src.select(
         F.col("id").alias("s"), F.col("id").alias("v"), F.lit(0).alias("dist"),
         *([F.lit(1.0).alias("sigma")] if with_paths else []),
     )
-    loop = Loop(checkpoint_every)
-    frontier = loop.step(frontier)
+    frontier = owner.keep(frontier)
     levels = [frontier]
     seen = frontier.select("s", "v")
     d = 0
@@ -170,7 +172,7 @@ def bfs_levels(
             else step.select("s", F.col("dst").alias("v")).distinct()
         )
         nxt = nxt.join(seen, ["s", "v"], "left_anti").withColumn("dist", F.lit(d)).select(*cols)
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK) if d % checkpoint_every else _cut(nxt)
+        nxt = owner.keep(nxt) if d % checkpoint_every else _cut(nxt)
         if nxt.limit(1).count() == 0:
             break
         levels.append(nxt)
@@ -198,9 +200,12 @@ def closeness(
     """(id, closeness) = 1 / sum of distances from the vertex to every
     vertex it reaches (not corrected for the number reached); 0 when it
     reaches none. Edges are followed in their direction."""
-    lv = bfs_levels(edges, vertices, sources)
+    owner = Loop()
+    lv = bfs_levels(edges, vertices, sources, owner=owner)
     tot = lv.groupBy(F.col("s").alias("id")).agg(F.sum("dist").alias("total"))
-    return tot.select("id", F.when(F.col("total") > 0, 1.0 / F.col("total")).otherwise(F.lit(0.0)).alias("closeness"))
+    return owner.finish(
+        tot.select("id", F.when(F.col("total") > 0, 1.0 / F.col("total")).otherwise(F.lit(0.0)).alias("closeness"))
+    )
 
 
 def kpp(closeness_df: DataFrame, n_vertices: int) -> DataFrame:
@@ -223,10 +228,10 @@ def betweenness(
     level, delta(s,v) = sum over successors w of sigma(s,v) / sigma(s,w) *
     (1 + delta(s,w)). Undirected sums are halved; normalised scores divide
     by (n-1)(n-2) (directed) or (n-1)(n-2)/2 (undirected)."""
-    e = simple_edges(edges, directed=directed).persist(StorageLevel.MEMORY_AND_DISK)
+    owner = Loop()
+    e = owner.keep(simple_edges(edges, directed=directed))
     ids = _ids(vertices, edges)
-    lv = bfs_levels(e, ids, sources, with_paths=True)
-    lv = lv.persist(StorageLevel.MEMORY_AND_DISK)
+    lv = owner.keep(bfs_levels(e, ids, sources, with_paths=True, owner=owner))
     depth = lv.agg(F.max("dist")).first()[0] or 0
     rev = e.select(F.col("dst").alias("w"), F.col("src").alias("v"))
     deltas = None
@@ -244,7 +249,7 @@ def betweenness(
             cur = here.join(back, ["s", "w"], "left").select(
                 "s", "w", "sw", (F.col("sw") * F.coalesce(F.col("c"), F.lit(0.0))).alias("delta")
             )
-        cur = _cut(cur) if d % 2 == 0 else cur.persist(StorageLevel.MEMORY_AND_DISK)
+        cur = _cut(cur) if d % 2 == 0 else owner.keep(cur)
         part = cur.select(F.col("w").alias("id"), "delta")
         deltas = part if deltas is None else deltas.unionByName(part)
         below = cur.select("s", "w", "sw", "delta")
@@ -260,7 +265,7 @@ def betweenness(
         scale *= 0.5
     if normalized and n > 2:
         scale *= (2.0 if not directed else 1.0) / ((n - 1) * (n - 2))
-    return bc.select("id", (F.col("betweenness") * F.lit(scale)).alias("betweenness"))
+    return owner.finish(bc.select("id", (F.col("betweenness") * F.lit(scale)).alias("betweenness")))
 
 
 # ---- report ----------------------------------------------------------------------
@@ -274,10 +279,11 @@ def measure_report(
     hits_iter: int = 50,
 ) -> DataFrame:
     """(measure, position, id, score): top n of every measure."""
-    ids = vertices_of(edges).persist(StorageLevel.MEMORY_AND_DISK)
+    owner = Loop()
+    ids = owner.keep(vertices_of(edges))
     nv = ids.count()
-    cl = closeness(edges, ids).persist(StorageLevel.MEMORY_AND_DISK)
-    hs = hits(edges, ids, max_iter=hits_iter).persist(StorageLevel.MEMORY_AND_DISK)
+    cl = closeness(edges, ids)
+    hs = hits(edges, ids, max_iter=hits_iter)
     measures = {
         "in_degree": (in_degree(edges), "in_degree"),
         "out_degree": (out_degree(edges), "out_degree"),
@@ -297,4 +303,4 @@ def measure_report(
         t = t.withColumn("position", F.row_number().over(Window.orderBy(F.col("score").desc(), "id")))
         t = t.select(F.lit(name).alias("measure"), "position", "id", "score")
         out = t if out is None else out.unionByName(t)
-    return out
+    return owner.finish(out)

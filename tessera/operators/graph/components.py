@@ -3,7 +3,6 @@ smallest vertex id in it."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,11 +17,9 @@ def weak_components(
     pointer jumping (label := label of label), so long paths need about
     log(diameter) rounds instead of diameter rounds. The jump joins on the
     label, whose hot values (a giant component) AQE's skew join splits."""
-    ids = (vertices.select("id") if vertices is not None else vertices_of(edges)).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    und = simple_edges(edges, directed=False).persist(StorageLevel.MEMORY_AND_DISK)
     loop = Loop(checkpoint_every)
+    ids = loop.keep(vertices.select("id") if vertices is not None else vertices_of(edges))
+    und = loop.keep(simple_edges(edges, directed=False))
     lab = loop.step(ids.select("id", F.col("id").alias("label")))
     for _ in range(max_iter):
         nb = (
@@ -39,7 +36,7 @@ def weak_components(
         changed = lab.alias("n").join(old.alias("o"), "id").where(F.col("n.label") != F.col("o.label")).limit(1).count()
         if changed == 0:
             break
-    return lab.select("id", F.col("label").alias("component"))
+    return loop.finish(lab.select("id", F.col("label").alias("component")))
 
 
 def _min_colour(e: DataFrame, ids: DataFrame, max_iter: int, checkpoint_every: int) -> DataFrame:
@@ -69,21 +66,23 @@ def strong_components(
     that reach it (a backward search inside the colour). Found components
     are removed, edges between colours dropped, and the rest goes round
     again. Chains of many single-vertex components need one round each."""
-    ids = (vertices.select("id") if vertices is not None else vertices_of(edges))
+    owner = Loop(checkpoint_every)
+    ids = vertices.select("id") if vertices is not None else vertices_of(edges)
     e = simple_edges(edges)
-    remaining = ids.persist(StorageLevel.MEMORY_AND_DISK)
+    remaining = owner.keep(ids)
     found = None
     for _ in range(max_rounds):
         if remaining.limit(1).count() == 0:
             break
-        col = _min_colour(e, remaining, max_iter, checkpoint_every)
+        col = owner.keep(_min_colour(e, remaining, max_iter, checkpoint_every))
         # only edges inside one colour can lie on a cycle
         ec = (
             e.join(col.select(F.col("id").alias("src"), F.col("colour").alias("cs")), "src")
             .join(col.select(F.col("id").alias("dst"), F.col("colour").alias("cd")), "dst")
             .where(F.col("cs") == F.col("cd"))
             .select("src", "dst", F.col("cs").alias("colour"))
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        ec = owner.keep(ec)
         loop = Loop(checkpoint_every)
         comp = loop.step(col.where(F.col("id") == F.col("colour")).select("id", F.col("colour").alias("component")))
         frontier = comp
@@ -94,12 +93,12 @@ def strong_components(
                 .distinct()
                 .join(comp, "id", "left_anti")
             )
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            nxt = loop.keep(nxt)
             if nxt.limit(1).count() == 0:
                 break
             comp = loop.step(comp.unionByName(nxt))
             frontier = nxt
-        comp = comp.persist(StorageLevel.MEMORY_AND_DISK)
+        comp = loop.finish(comp)
         found = cut_lineage(comp if found is None else found.unionByName(comp))
         remaining = cut_lineage(remaining.join(comp, "id", "left_anti"))
         e = cut_lineage(
@@ -107,4 +106,5 @@ def strong_components(
             .join(comp.select(F.col("id").alias("src")), "src", "left_anti")
             .join(comp.select(F.col("id").alias("dst")), "dst", "left_anti")
         )
+    owner.release()
     return found if found is not None else ids.select("id", F.col("id").alias("component")).limit(0)

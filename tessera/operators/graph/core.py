@@ -97,12 +97,16 @@ def top_n(measure: DataFrame, score_col: str, n: int = 5, id_col: str = "id") ->
 class Loop:
     """State holder for iterative jobs: ``step(df)`` persists the new state,
     checkpoints it reliably every ``every`` steps, and unpersists states
-    older than the previous one (the previous one stays for delta tests)."""
+    older than the previous one (the previous one stays for delta tests).
+    ``keep(df)`` persists loop-invariant inputs (edges, vertex ids);
+    ``finish(result)`` checkpoints the result eagerly and releases
+    everything the job cached, so cached data never outlives the job."""
 
     def __init__(self, every: int = 3):
         self.every = max(1, every)
         self.i = 0
         self.kept: list[DataFrame] = []
+        self.extra: list[DataFrame] = []
 
     def step(self, df: DataFrame) -> DataFrame:
         self.i += 1
@@ -115,6 +119,21 @@ class Loop:
             self.kept.pop(0).unpersist()
         return out
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.extra.append(out)
+        return out
+
+    def release(self) -> None:
+        for d in self.kept + self.extra:
+            d.unpersist()
+        self.kept, self.extra = [], []
+
+    def finish(self, result: DataFrame) -> DataFrame:
+        out = cut_lineage(result)
+        self.release()
+        return out
+
 
 def iterate_messages(
     vertices: DataFrame,
@@ -150,4 +169,4 @@ def iterate_messages(
         v = loop.step(update(v, merged, state))
         if next_state is not None:
             state = next_state(state)
-    return v
+    return loop.finish(v)

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,8 +119,8 @@ def propagate(
         raise ValueError("steps must be > 0")
     if partitions < 1:
         raise ValueError("partitions must be >= 1")
-    links = links_of(edges).persist(StorageLevel.MEMORY_AND_DISK)
     loop = Loop(checkpoint_every)
+    links = loop.keep(links_of(edges))
     lab = loop.step(labels.select("id", F.col("label").cast("bigint").alias("label")))
     for i in range(1, steps * partitions + 1):
         iteration, active_slice = divmod(i, partitions)
@@ -130,7 +129,7 @@ def propagate(
             it = iteration if reshuffle else None
             active = slice_of(F.col("dst"), partitions, seed, it) == F.lit(active_slice)
         lab = loop.step(_superstep(lab, links, active, accept(iteration), seed, iteration, sweep))
-    return lab
+    return loop.finish(lab)
 
 
 def label_propagation(
@@ -167,7 +166,7 @@ def seeded_propagation(
     id); propagate, then a sweep pass fills only vertices still unlabelled;
     vertices never reached get -1."""
     ids = vertices.select("id") if vertices is not None else vertices_of(edges)
-    flagged = ids.join(F.broadcast(seeds.select("id").distinct().withColumn("is_seed", F.lit(True))), "id", "left")
+    flagged = ids.join(seeds.select("id").distinct().withColumn("is_seed", F.lit(True)), "id", "left")
     lab = flagged.select("id", F.when(F.col("is_seed"), F.col("id")).alias("label"))
     lab = propagate(lab, edges, steps, partitions, seed, reshuffle)
     lab = propagate(lab, edges, sweep_steps or steps, partitions, seed, reshuffle, sweep=True)
