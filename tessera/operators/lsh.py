@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import h60
 from tessera.functions.text import tokens
 from tessera.operators.classify import majority_vote
-from tessera.operators.similarity import candidate_distance, nearest_distance
+from tessera.operators.graph.core import Loop
+from tessera.operators.similarity import HALF_PI, candidate_distance, overlap_distance
 
 MAX_PLANES = 64
 
@@ -134,12 +135,28 @@ def lsh_nearest(
     keys: Sequence[str] = (),
     seed: int = 0,
     pool_size: int = 1024,
+    overlap: DataFrame | None = None,
 ) -> DataFrame:
     """(keys..., q_id, distance, fallback): the smallest distance to a model
     vector in the query's buckets; when the buckets are empty, the distance
-    to one model vector picked by a seeded hash of the query id."""
+    to one model vector picked by a seeded hash of the query id.
+
+    Distances come from looking up each candidate's tokens, or, when
+    ``overlap`` (``overlap_distance`` of the same bags) is given, from that
+    table with pi/2 for candidates sharing no token."""
+
+    def distances(pairs: DataFrame) -> DataFrame:
+        if overlap is None:
+            return candidate_distance(pairs.select("q_id", "m_id").distinct(), query_bag, model_bag)
+        return (
+            pairs.select("q_id", "m_id")
+            .distinct()
+            .join(overlap, ["q_id", "m_id"], "left")
+            .select("q_id", "m_id", F.coalesce("distance", F.lit(HALF_PI)).alias("distance"))
+        )
+
     cands = lsh_candidates(query_sig, model_sig, keys)
-    dist = candidate_distance(cands.select("q_id", "m_id"), query_bag, model_bag)
+    dist = distances(cands)
     best = (
         cands.join(dist, ["q_id", "m_id"])
         .groupBy(*keys, "q_id")
@@ -155,7 +172,7 @@ def lsh_nearest(
     picks = missing.withColumn("pos", F.pmod(h60(F.col("q_id"), "pick", seed), F.lit(n_pool))).join(
         F.broadcast(pool), "pos"
     )
-    fb = candidate_distance(picks.select("q_id", "m_id").distinct(), query_bag, model_bag)
+    fb = distances(picks)
     fb_rows = picks.join(fb, ["q_id", "m_id"]).select(*keys, "q_id", "distance")
     return best.withColumn("fallback", F.lit(False)).unionByName(fb_rows.withColumn("fallback", F.lit(True)))
 
@@ -204,11 +221,21 @@ def plane_sweep(
             "sig_hi", F.col("sig_hi").bitwiseAND(hi)
         )
 
+    # With one plane about half of all pairs are candidates, so every
+    # distance comes from one token join, shared by all plane counts, the
+    # fallbacks and the exact nearest distance.
+    owner = Loop()
+    overlap = owner.keep(overlap_distance(query_bag, model_bag))
     approx = lsh_nearest(
-        query_bag, model_bag, per_n(qs), per_n(ms), keys=["num_hyperplanes"], seed=seed
+        query_bag, model_bag, per_n(qs), per_n(ms), keys=["num_hyperplanes"], seed=seed, overlap=overlap
     )
-    exact = nearest_distance(query_bag, model_bag).withColumnRenamed("distance", "exact")
-    return (
+    exact = (
+        qs.select(F.col("doc_id").alias("q_id"))
+        .distinct()
+        .join(overlap.groupBy("q_id").agg(F.min("distance").alias("d")), "q_id", "left")
+        .select("q_id", F.coalesce("d", F.lit(HALF_PI)).alias("exact"))
+    )
+    out = (
         approx.join(exact, "q_id")
         .groupBy("num_hyperplanes")
         .agg(
@@ -217,4 +244,5 @@ def plane_sweep(
             F.count_if(F.col("fallback")).alias("fallbacks"),
         )
     )
+    return owner.finish(out)
 
