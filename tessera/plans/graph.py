@@ -306,3 +306,94 @@ ORACLES = {
     "random_clusters": f"""WITH {GRAPH} SELECT id, (({h32_sql('id', 'slice', 0)} * {RANDOM_P}) >> 32)::BIGINT AS cluster
   FROM verts""",
 }
+
+
+# ---- cluster, then evaluate (the clustering job dispatch + evaluation) -------
+
+CLUSTERINGS = {
+    "random": dict(algorithm="random", partitions=RANDOM_P, seed=0),
+    "cc": dict(algorithm="cc"),
+    "scc": dict(algorithm="scc"),
+    "lpa": dict(algorithm="lpa", steps=2),
+    "plpa": dict(algorithm="plpa", steps=2, partitions=2, seed=0),
+    "annealed": dict(algorithm="annealed", steps=1, decay_steps=2),
+}
+
+
+def departments(spark, sf_dir):
+    """The reference clustering of users: each user's most frequent event
+    type (ties to the smaller type name)."""
+    from pyspark.sql import Window
+
+    ev = table(spark, sf_dir, "events")
+    n = ev.groupBy(F.col("user_id").alias("id"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("id").orderBy(F.col("n").desc(), F.col("event_type"))
+    return n.withColumn("o", F.row_number().over(w)).where("o = 1").select("id", F.col("event_type").alias("cluster"))
+
+
+def q_cluster_evaluation(spark, sf_dir):
+    from tessera.operators.evaluate import evaluate_clustering
+
+    e = edges(spark, sf_dir)
+    actual = departments(spark, sf_dir)
+    out = None
+    for name, opts in CLUSTERINGS.items():
+        opts = dict(opts)
+        pred = LP.cluster(e, opts.pop("algorithm"), **opts)
+        r = evaluate_clustering(pred, actual).select(
+            F.lit(name).alias("algorithm"), "n", "tp", "fp", "fn", "tn",
+            *[_r(c) for c in ("nmi", "precision", "recall", "f1")],
+        )
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+QUERIES["cluster_evaluation"] = q_cluster_evaluation
+
+
+def _clustering_sql(name: str) -> str:
+    if name == "random":
+        return ORACLES["random_clusters"]
+    if name == "cc":
+        return components_sql(False).replace("AS component", "AS cluster")
+    if name == "scc":
+        return components_sql(True).replace("AS component", "AS cluster")
+    if name == "lpa":
+        return lpa_sql(2)
+    if name == "plpa":
+        return lpa_sql(2, 2, 0)
+    acc, tot = LP.annealing(1, 2)
+    return lpa_sql(tot, accept=acc)
+
+
+def cluster_evaluation_sql() -> str:
+    preds = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS algorithm, id, cluster::VARCHAR AS cluster FROM ({_clustering_sql(n)})" for n in CLUSTERINGS
+    )
+    return f"""WITH preds AS ({preds}),
+dept AS (SELECT id, event_type AS cluster FROM (
+  SELECT user_id AS id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) AS o
+  FROM events GROUP BY 1, 2) WHERE o = 1),
+ct AS (SELECT p.algorithm, p.cluster AS pred, d.cluster AS actual, count(*) AS n
+  FROM preds p JOIN dept d USING (id) GROUP BY 1, 2, 3),
+tot AS (SELECT algorithm, SUM(n)::DOUBLE AS total FROM ct GROUP BY 1),
+pm AS (SELECT algorithm, pred, SUM(n) AS ni FROM ct GROUP BY 1, 2),
+am AS (SELECT algorithm, actual, SUM(n) AS nj FROM ct GROUP BY 1, 2),
+hp AS (SELECT algorithm, -SUM(ni / total * ln(ni / total)) AS h_pred FROM pm JOIN tot USING (algorithm) GROUP BY 1),
+ha AS (SELECT algorithm, -SUM(nj / total * ln(nj / total)) AS h_actual FROM am JOIN tot USING (algorithm) GROUP BY 1),
+mi AS (SELECT algorithm, SUM(n / total * ln(total * n / (ni * nj))) AS mi
+  FROM ct JOIN pm USING (algorithm, pred) JOIN am USING (algorithm, actual) JOIN tot USING (algorithm) GROUP BY 1),
+xt AS (SELECT t.algorithm, t.total::BIGINT AS n,
+  (SELECT SUM(n * (n - 1) // 2) FROM ct WHERE ct.algorithm = t.algorithm)::BIGINT AS tp,
+  (SELECT SUM(ni * (ni - 1) // 2) FROM pm WHERE pm.algorithm = t.algorithm)::BIGINT AS pp,
+  (SELECT SUM(nj * (nj - 1) // 2) FROM am WHERE am.algorithm = t.algorithm)::BIGINT AS ap FROM tot t)
+SELECT x.algorithm, x.n, x.tp, (x.pp - x.tp)::BIGINT AS fp, (x.ap - x.tp)::BIGINT AS fn,
+  (x.n * (x.n - 1) // 2 - x.pp - x.ap + x.tp)::BIGINT AS tn,
+  round(CASE WHEN (h_pred + h_actual) / 2 > 0 THEN mi / ((h_pred + h_actual) / 2) END, 9) AS nmi,
+  round(CASE WHEN x.pp > 0 THEN x.tp::DOUBLE / x.pp END, 9) AS precision,
+  round(CASE WHEN x.ap > 0 THEN x.tp::DOUBLE / x.ap END, 9) AS recall,
+  round(CASE WHEN x.tp > 0 THEN 2.0 * x.tp / (x.pp + x.ap) END, 9) AS f1
+FROM xt x JOIN hp USING (algorithm) JOIN ha USING (algorithm) JOIN mi USING (algorithm)"""
+
+
+ORACLES["cluster_evaluation"] = cluster_evaluation_sql()
