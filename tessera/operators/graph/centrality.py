@@ -28,6 +28,14 @@ from tessera.operators.graph.core import (
 )
 
 
+def _spread(df: DataFrame, key: str = "s") -> DataFrame:
+    """Hash-spread a small table before a fan-out join (frontier x edges):
+    after a checkpoint AQE may have packed it into one or two partitions,
+    which would leave the whole expansion to one task."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism * 2, 2)
+    return df.repartition(n, key)
+
+
 def _ids(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:
     return vertices.select("id") if vertices is not None else vertices_of(edges)
 
@@ -145,41 +153,71 @@ def bfs_levels(
     max_depth: int | None = None,
     checkpoint_every: int = 2,
     owner: Loop | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """(s, v, dist[, sigma]) for every v reachable from source s (dist 0 for
-    v = s); sigma = number of shortest s-v paths. One level per superstep:
-    frontier joined to the out-edges, grouped by (s, v), anti-joined to the
-    vertices already reached. Cached levels belong to ``owner`` (the
-    caller releases them once its result is checkpointed)."""
+    v = s); sigma = number of shortest s-v paths.
+
+    One level per superstep: the frontier joined to the out-edges, and one
+    ``groupBy(s, v)`` over those candidates together with the pairs already
+    reached (a tagged union instead of a second, anti-join shuffle).
+    With ``prune`` a source leaves the frontier once it has reached every
+    vertex of its weak component (an upper bound of what it can reach):
+    it has nothing left to find, so the result is unchanged, but on dense
+    graphs the last levels stop expanding millions of finished sources.
+    Cached levels belong to ``owner`` (the caller releases them once its
+    result is checkpointed)."""
+    from tessera.operators.graph.components import weak_components
+
     owner = owner or Loop(checkpoint_every)
     e = owner.keep(simple_edges(edges))
-    src = sources.select("id") if sources is not None else _ids(vertices, edges)
+    ids = _ids(vertices, edges)
+    src = sources.select("id") if sources is not None else ids
     cols = ["s", "v", "dist"] + (["sigma"] if with_paths else [])
     frontier = src.select(
         F.col("id").alias("s"), F.col("id").alias("v"), F.lit(0).alias("dist"),
         *([F.lit(1.0).alias("sigma")] if with_paths else []),
     )
     frontier = owner.keep(frontier)
+    left = None
+    if prune:
+        comp = weak_components(e, ids)
+        size = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        left = owner.keep(
+            comp.join(size, "component")
+            .join(src, "id", "left_semi")
+            .select(F.col("id").alias("s"), (F.col("size") - 1).alias("left"))
+        )
     levels = [frontier]
     seen = frontier.select("s", "v")
     d = 0
     while max_depth is None or d < max_depth:
         d += 1
-        step = frontier.join(e.withColumnRenamed("src", "v"), "v")
-        agg = [F.sum("sigma").alias("sigma")] if with_paths else []
+        step = _spread(frontier).join(e.withColumnRenamed("src", "v"), "v").select(
+            "s", F.col("dst").alias("v"), (F.col("sigma") if with_paths else F.lit(0.0)).alias("sg"),
+            F.lit(0).alias("old"),
+        )
+        mixed = step.unionByName(seen.select("s", "v", F.lit(0.0).alias("sg"), F.lit(1).alias("old")))
         nxt = (
-            step.groupBy("s", F.col("dst").alias("v")).agg(*agg) if with_paths
-            else step.select("s", F.col("dst").alias("v")).distinct()
+            mixed.groupBy("s", "v")
+            .agg(F.sum("sg").alias("sigma"), F.max("old").alias("old"))
+            .where(F.col("old") == 0)
+            .withColumn("dist", F.lit(d))
+            .select(*cols)
         )
-        nxt = nxt.join(seen, ["s", "v"], "left_anti").withColumn("dist", F.lit(d)).select(*cols)
         nxt = owner.keep(nxt) if d % checkpoint_every else _cut(nxt)
         if nxt.limit(1).count() == 0:
             break
         levels.append(nxt)
-        seen = _cut(seen.unionByName(nxt.select("s", "v"))) if d % checkpoint_every == 0 else seen.unionByName(
-            nxt.select("s", "v")
-        )
+        seen = seen.unionByName(nxt.select("s", "v"))
+        seen = _cut(seen) if d % checkpoint_every == 0 else owner.keep(seen)
         frontier = nxt
+        if left is not None:
+            found = nxt.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+            left = owner.keep(
+                left.join(found, "s", "left").select("s", (F.col("left") - F.coalesce("n", F.lit(0))).alias("left"))
+            )
+            frontier = nxt.join(left.where(F.col("left") > 0).select("s"), "s", "left_semi")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
@@ -242,7 +280,7 @@ def betweenness(
             cur = here.withColumn("delta", F.lit(0.0))
         else:
             back = (
-                below.join(rev, "w")
+                _spread(below).join(rev, "w")
                 .groupBy("s", F.col("v").alias("w"))
                 .agg(F.sum((1.0 + F.col("delta")) / F.col("sw")).alias("c"))
             )
