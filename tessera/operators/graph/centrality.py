@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.partitioning import fan_out
 from tessera.operators.graph.core import (
     Loop,
     in_degree,
@@ -29,11 +30,7 @@ from tessera.operators.graph.core import (
 
 
 def _spread(df: DataFrame, key: str = "s") -> DataFrame:
-    """Hash-spread a small table before a fan-out join (frontier x edges):
-    after a checkpoint AQE may have packed it into one or two partitions,
-    which would leave the whole expansion to one task."""
-    n = max(df.sparkSession.sparkContext.defaultParallelism * 2, 2)
-    return df.repartition(n, key)
+    return fan_out(df, key)
 
 
 def _ids(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import h60
 from tessera.functions.text import tokens
+from tessera.operators.partitioning import spread
 from tessera.operators.classify import majority_vote
 from tessera.operators.graph.core import Loop
 from tessera.operators.similarity import HALF_PI, candidate_distance, overlap_distance
@@ -67,7 +68,8 @@ def lsh_signature(
     exactly ``bands`` independent tables of ``planes`` planes each."""
     _check(planes, bands)
     occ = (
-        docs.select(F.col(id_col).alias("doc_id"), F.explode(tokens(F.col(text_col))).alias("token"))
+        spread(docs.select(id_col, text_col))
+        .select(F.col(id_col).alias("doc_id"), F.explode(tokens(F.col(text_col))).alias("token"))
         .where(F.col("token") != "")
         .select("doc_id", "token", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
     )
