@@ -1,8 +1,9 @@
 """Evaluation of a clustering against a reference clustering.
 
 A clustering is a DataFrame (id, cluster). Everything is derived from one
-contingency table (a join on id and a ``groupBy(pred, actual)``); cluster
-sizes are its margins, so the inputs are scanned once. Pair counts use the
+join on id and one ``cube(pred, actual)``: the cells of the contingency
+table, its margins (cluster sizes) and the total in a single aggregation, so
+the inputs are scanned and joined once. Pair counts use the
 closed form over the contingency cells, never a join of all vertex pairs.
 """
 
@@ -39,17 +40,35 @@ def _tagged_counts(table: DataFrame) -> DataFrame:
     return cells.unionByName(pm).unionByName(am)
 
 
+def _cube_counts(pred: DataFrame, actual: DataFrame, id_col: str, cluster_col: str) -> DataFrame:
+    """(kind, n) straight from the joined rows: one ``cube(pred, actual)``
+    gives the cells, both margins and the total in a single aggregation
+    (one scan and one join of the two clusterings)."""
+    p = _clust(pred, id_col, cluster_col, "pred")
+    a = _clust(actual, id_col, cluster_col, "actual")
+    g = F.grouping_id("pred", "actual")
+    gid = F.col("gid")
+    kinds = F.when(gid == 0, "cell").when(gid == 1, "pred").when(gid == 2, "actual").otherwise("total")
+    return (
+        p.join(a, "id")
+        .cube("pred", "actual")
+        .agg(F.count(F.lit(1)).alias("n"), g.alias("gid"))
+        .select(kinds.alias("kind"), "n")
+        .where(F.col("kind") != "total")
+    )
+
+
 def _sum_of(kind: str, expr: Column) -> Column:
     return F.sum(F.when(F.col("kind") == kind, expr))
 
 
-def nmi_parts(table: DataFrame) -> DataFrame:
+def nmi_parts(table: DataFrame, tagged: DataFrame | None = None) -> DataFrame:
     """One row: n, h_pred, h_actual, mi, nmi (natural log; NMI uses the
     arithmetic mean of the two entropies and is null when both are 0).
     With S(x) = sum x ln x: H = ln N - S(margin)/N and
     MI = ln N + (S(cells) - S(pred) - S(actual)) / N."""
     nlogn = F.col("n") * F.log(F.col("n"))
-    agg = _tagged_counts(table).agg(
+    agg = (tagged if tagged is not None else _tagged_counts(table)).agg(
         _sum_of("cell", F.col("n")).cast("double").alias("total"),
         _sum_of("cell", nlogn).alias("s_cell"),
         _sum_of("pred", nlogn).alias("s_pred"),
@@ -70,7 +89,7 @@ def nmi_parts(table: DataFrame) -> DataFrame:
 
 
 def nmi(pred: DataFrame, actual: DataFrame, id_col: str = "id", cluster_col: str = "cluster") -> DataFrame:
-    return nmi_parts(contingency(pred, actual, id_col, cluster_col))
+    return nmi_parts(None, _cube_counts(pred, actual, id_col, cluster_col))
 
 
 def _pairs(n: Column) -> Column:
@@ -79,11 +98,11 @@ def _pairs(n: Column) -> Column:
     return (d * (d - 1) / 2).cast("bigint")
 
 
-def pair_crosstab_from(table: DataFrame) -> DataFrame:
+def pair_crosstab_from(table: DataFrame, tagged: DataFrame | None = None) -> DataFrame:
     """One row: tp, fp, fn, tn over all unordered pairs of ids.
     tp = sum C(n_ij, 2); tp + fp = sum C(n_i, 2) over predicted clusters;
     tp + fn = sum C(n_j, 2) over actual clusters; all pairs = C(N, 2)."""
-    agg = _tagged_counts(table).agg(
+    agg = (tagged if tagged is not None else _tagged_counts(table)).agg(
         F.coalesce(_sum_of("cell", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("tp"),
         F.coalesce(_sum_of("pred", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("pp"),
         F.coalesce(_sum_of("actual", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("ap"),
@@ -101,7 +120,7 @@ def pair_crosstab_from(table: DataFrame) -> DataFrame:
 
 
 def pair_crosstab(pred: DataFrame, actual: DataFrame, id_col: str = "id", cluster_col: str = "cluster") -> DataFrame:
-    return pair_crosstab_from(contingency(pred, actual, id_col, cluster_col))
+    return pair_crosstab_from(None, _cube_counts(pred, actual, id_col, cluster_col))
 
 
 def pair_prf(crosstab: DataFrame, keep=()) -> DataFrame:
@@ -117,9 +136,8 @@ def pair_prf(crosstab: DataFrame, keep=()) -> DataFrame:
 def evaluate_clustering(pred: DataFrame, actual: DataFrame, id_col: str = "id", cluster_col: str = "cluster") -> DataFrame:
     """One row: NMI parts and the pair counts with precision/recall/F1, from
     a single contingency table."""
-    table = contingency(pred, actual, id_col, cluster_col)
     nlogn = F.col("n") * F.log(F.col("n"))
-    agg = _tagged_counts(table).agg(
+    agg = _cube_counts(pred, actual, id_col, cluster_col).agg(
         _sum_of("cell", F.col("n")).cast("double").alias("total"),
         _sum_of("cell", nlogn).alias("s_cell"),
         _sum_of("pred", nlogn).alias("s_pred"),
