@@ -74,6 +74,10 @@ def lsh_signature(
         .select("doc_id", "token", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
     )
     salted = F.concat_ws("|", F.lit(str(seed)), F.col("band").cast("string"), F.col("token"))
+    if planes == 0:  # one bucket per band: every non-empty vector collides
+        return occ.select("doc_id", "band").distinct().select(
+            "doc_id", "band", F.lit(0).cast("bigint").alias("sig_lo"), F.lit(0).cast("bigint").alias("sig_hi")
+        )
     hexed = occ.select("doc_id", "band", F.md5(salted).alias("hx"))
     lo = F.conv(F.substring("hx", 1, 8), 16, 10).cast("bigint")
     hi = F.conv(F.substring("hx", 9, 8), 16, 10).cast("bigint")

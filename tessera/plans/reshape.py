@@ -97,3 +97,82 @@ SELECT seq, """
     "edge_list_roundtrip": f"WITH {GP.GRAPH} SELECT src, dst FROM g_edges",
     "knn_saved_model": TX.ORACLES["knn_classify"],
 }
+
+
+# ---- message passing, metrics sinks --------------------------------------------
+
+
+def q_min_label_components(spark, sf_dir):
+    """Weak components through the generic message-passing loop: every
+    vertex sends its label to neighbours with a larger one; receivers keep
+    the smallest; stop when no message is sent."""
+    from tessera.operators.graph.core import iterate_messages, simple_edges, vertices_of
+
+    e = simple_edges(GP.edges(spark, sf_dir), directed=False)
+    v = vertices_of(e).select("id", F.col("id").alias("lab"))
+
+    def send(t, state):
+        return t.where(F.col("src_lab") < F.col("dst_lab")).select("dst", F.col("src_lab").alias("m"))
+
+    def merge(msgs):
+        return msgs.groupBy("dst").agg(F.min("m").alias("m"))
+
+    def update(vs, merged, state):
+        return vs.join(merged.withColumnRenamed("dst", "id"), "id", "left").select(
+            "id", F.least("lab", F.coalesce("m", "lab")).alias("lab")
+        )
+
+    out = iterate_messages(v, e, send, merge, update, max_iter=1000)
+    return out.select("id", F.col("lab").alias("component"))
+
+
+def q_lsh_sweep_csv(spark, sf_dir):
+    """The plane sweep written as a CSV metrics file and read back."""
+    from pyspark.sql import types as T
+
+    from tessera.plans.lsh import q_lsh_sweep
+
+    path = scratch_path(spark, "sweep-csv")
+    io.write_metrics_csv(q_lsh_sweep(spark, sf_dir), path)
+    schema = T.StructType(
+        [
+            T.StructField("num_hyperplanes", T.IntegerType()),
+            T.StructField("queries", T.LongType()),
+            T.StructField("mean_abs_err", T.DoubleType()),
+            T.StructField("fallbacks", T.LongType()),
+        ]
+    )
+    return io.read_metrics_csv(spark, path, schema)
+
+
+def q_rmse_json(spark, sf_dir):
+    """The RMSE experiment as one JSON object of arrays per algorithm
+    (sizes in order), parsed back to (algorithm, pos, value)."""
+    from tessera.plans.cardinality import q_estimator_rmse
+
+    js = io.metrics_to_json(q_estimator_rmse(spark, sf_dir), "algorithm", "rmse", "size")
+    return io.metrics_from_json(js).select("algorithm", F.col("pos").cast("int").alias("pos"), "value")
+
+
+QUERIES.update(
+    {
+        "min_label_components": q_min_label_components,
+        "lsh_sweep_csv": q_lsh_sweep_csv,
+        "rmse_json": q_rmse_json,
+    }
+)
+
+
+def _oracles_late():
+    from tessera.plans import cardinality as CA
+    from tessera.plans import lsh as LS
+
+    return {
+        "min_label_components": GP.components_sql(False),
+        "lsh_sweep_csv": LS.ORACLES["lsh_sweep"],
+        "rmse_json": f"""SELECT algorithm, (row_number() OVER (PARTITION BY algorithm ORDER BY size) - 1)::INTEGER AS pos,
+  rmse AS value FROM ({CA.ORACLES['estimator_rmse']})""",
+    }
+
+
+ORACLES.update(_oracles_late())

@@ -73,3 +73,9 @@ def test_xxhash_path(spark):
     assert abs(r.estimate - 5000) / 5000 < 0.15
     h = K.with_hash(df, "v", hash_fn="xxhash64").agg(F.min("h"), F.max("h")).first()
     assert h[0] >= 0 and h[1] < (1 << 60)
+
+
+def test_builtin_hll(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    got = {r.g: r.estimate for r in K.hll_builtin(df, "v", 12, "g").collect()}
+    assert set(got) == {0, 1, 2} and all(abs(e - 6667) / 6667 < 0.1 for e in got.values())

@@ -43,3 +43,9 @@ def test_classify_picks_true_nearest(spark):
     r = L.lsh_classify(cands, token_bag(q), token_bag(model), labels).first()
     assert r.m_id == 10 and r.predicted == 1
     _ = knn_exact
+
+
+def test_zero_planes_one_bucket(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b c"), (3, "")], "doc_id BIGINT, text STRING")
+    s = L.lsh_signature(d, 0, 2).collect()
+    assert sorted((r.doc_id, r.band, r.sig_lo, r.sig_hi) for r in s) == [(1, 0, 0, 0), (1, 1, 0, 0), (2, 0, 0, 0), (2, 1, 0, 0)]
