@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.hashing import h60
 from tessera.operators import cardinality as K
@@ -153,3 +154,59 @@ def streaming_distinct(
         q.awaitTermination()
         return kmv_stream_estimate(spark, out, k, group_cols)
     raise ValueError(f"unknown sketch {sketch!r}")
+
+
+def hll_stream_windowed(
+    stream: DataFrame,
+    value_col: str,
+    p: int,
+    event_time: str,
+    window: str,
+    watermark: str,
+    group_cols=None,
+    out_dir: str | None = None,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+):
+    """HyperLogLog registers per event-time window (tumbling ``window``) and
+    group. The watermark lets Spark drop the state of closed windows; each
+    trigger writes the registers it updated (update mode) under its batch
+    id, and readers take the register-wise max, so replays and late updates
+    are harmless. Returns (query, out_dir)."""
+    spark = stream.sparkSession
+    g = K._groups(group_cols)
+    out_dir = out_dir or scratch_path(spark, "hll-window-registers")
+    checkpoint = checkpoint or scratch_path(spark, "hll-window-checkpoint")
+    idx, rank = K.hll_index_rank(F.col("h"), p)
+    ts = F.col(event_time)
+    if isinstance(stream.schema[event_time].dataType, T.TimestampNTZType):
+        # watermarks need an instant: read the wall-clock value as UTC
+        ts = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).cast("timestamp")
+    regs = (
+        stream.withColumn("_et", ts)
+        .withWatermark("_et", watermark)
+        .select(F.window("_et", window).start.alias("window_start"), *g, h60(F.col(value_col)).alias("h"))
+        .where(F.col("h").isNotNull())
+        .select("window_start", *g, idx.alias("idx"), rank.alias("rank"))
+        .groupBy("window_start", *g, "idx")
+        .agg(F.max("rank").alias("rank"))
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+
+    q = (
+        regs.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+    return q, out_dir
+
+
+def hll_window_estimate(spark: SparkSession, out_dir: str, p: int, group_cols=None) -> DataFrame:
+    """(window_start, groups..., registers_used, estimate)."""
+    g = ["window_start", *K._groups(group_cols)]
+    regs = spark.read.parquet(out_dir).groupBy(*g, "idx").agg(F.max("rank").alias("rank"))
+    return K.hll_estimate(regs, p, g)
