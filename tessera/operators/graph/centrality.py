@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.partitioning import fan_out
@@ -312,13 +312,14 @@ def measure_report(
     resets: Sequence[float] = (0.05, 0.15, 0.3),
     pagerank_iter: int = 20,
     hits_iter: int = 50,
+    hits_tol: float | None = 1e-6,
 ) -> DataFrame:
-    """(measure, position, id, score): top n of every measure."""
+    """(measure, position, id, score): top n of every measure (ties by id)."""
     owner = Loop()
     ids = owner.keep(vertices_of(edges))
     nv = ids.count()
     cl = closeness(edges, ids)
-    hs = hits(edges, ids, max_iter=hits_iter)
+    hs = hits(edges, ids, max_iter=hits_iter, tol=hits_tol)
     measures = {
         "in_degree": (in_degree(edges), "in_degree"),
         "out_degree": (out_degree(edges), "out_degree"),
@@ -333,8 +334,6 @@ def measure_report(
     out = None
     for name, (df, col) in measures.items():
         t = top_n(df.select("id", F.col(col).cast("double").alias("score")), "score", n)
-        from pyspark.sql import Window
-
         t = t.withColumn("position", F.row_number().over(Window.orderBy(F.col("score").desc(), "id")))
         t = t.select(F.lit(name).alias("measure"), "position", "id", "score")
         out = t if out is None else out.unionByName(t)

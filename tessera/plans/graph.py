@@ -106,8 +106,14 @@ def q_random_clusters(spark, sf_dir):
     return LP.random_clusters(vertices_of(edges(spark, sf_dir)), RANDOM_P, 0)
 
 
+REPORT_RESETS, REPORT_PR_ITER = (0.05, 0.15, 0.3), 20
+
+
 def q_measure_report(spark, sf_dir):
-    return G.measure_report(edges(spark, sf_dir)).select("measure", "position", "id", _r("score", 6))
+    rep = G.measure_report(
+        edges(spark, sf_dir), 5, REPORT_RESETS, REPORT_PR_ITER, hits_iter=HITS_ITER, hits_tol=None
+    )
+    return rep.select("measure", "position", "id", _r("score", 6))
 
 
 QUERIES = {
@@ -397,3 +403,25 @@ FROM xt x JOIN hp USING (algorithm) JOIN ha USING (algorithm) JOIN mi USING (alg
 
 
 ORACLES["cluster_evaluation"] = cluster_evaluation_sql()
+
+
+def measure_report_sql() -> str:
+    parts = [
+        ("in_degree", ORACLES["in_degree"], "in_degree"),
+        ("out_degree", ORACLES["out_degree"], "out_degree"),
+        ("betweenness", betweenness_sql(), "betweenness"),
+        ("closeness", closeness_sql(False), "closeness"),
+        ("kpp", closeness_sql(True), "kpp"),
+        ("hub", hits_sql(HITS_ITER), "hub"),
+        ("authority", hits_sql(HITS_ITER), "authority"),
+    ] + [(f"pagerank_{r}", pagerank_sql(REPORT_PR_ITER, r), "rank") for r in REPORT_RESETS]
+    union = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS measure, id, {col}::DOUBLE AS score FROM ({sql})" for name, sql, col in parts
+    )
+    return f"""WITH m AS ({union})
+SELECT measure, position::INTEGER AS position, id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY measure ORDER BY score DESC, id) AS position FROM m)
+WHERE position <= 5"""
+
+
+ORACLES["measure_report"] = measure_report_sql()
