@@ -30,3 +30,30 @@ def fan_out(df: DataFrame, key: str) -> DataFrame:
         int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
     return df.repartition(n, key)
+
+
+# Salts for joins whose keys are hot by construction: an LSH table of few
+# planes has 2..16 buckets, so without a split a handful of tasks would hold
+# the whole model. The small (query) side is replicated this many times.
+BUCKET_SALTS = 4
+# Token joins: the query side is a bounded sample (usually broadcast) and
+# AQE's skew join splits oversized stop-word partitions; pass salts > 1 when
+# both sides are large.
+TOKEN_SALTS = 1
+
+
+def salted_join(
+    small: DataFrame, large: DataFrame, on: list[str], large_id: str, salts: int = BUCKET_SALTS
+) -> DataFrame:
+    """Inner equi-join on ``on`` that splits every key ``salts`` ways: each
+    row of ``large`` gets one salt from a hash of its ``large_id`` column,
+    each row of ``small`` is replicated once per salt. A key holding a third
+    of ``large`` is then spread over ``salts`` tasks; the joined rows are
+    exactly those of the plain join (each pair meets under one salt)."""
+    if salts <= 1:
+        return small.join(large, on)
+    from pyspark.sql import functions as F
+
+    s = small.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    lg = large.withColumn("_salt", F.pmod(F.xxhash64(F.col(large_id)), F.lit(salts)).cast("int"))
+    return s.join(lg, [*on, "_salt"]).drop("_salt")
