@@ -29,7 +29,7 @@ def sequential_pairs(
     key_col: str = "event_type",
     order_cols: Sequence[str] = ("ts", "event_id"),
     node_col: str = "user_id",
-    bucket: str = "1 day",
+    bucket: str = "1 hour",
 ) -> DataFrame:
     """(src, dst): every node followed by the next node of the same key in
     (ts, event_id) order, i.e. ``lead(node) OVER (PARTITION BY key ORDER

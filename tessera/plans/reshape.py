@@ -41,7 +41,7 @@ def q_events_pivot(spark, sf_dir):
 
 def q_events_records(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    seq = sequence_ids(ev, "event_type", ["ts", "event_id"], F.date_trunc("day", "ts"))
+    seq = sequence_ids(ev, "event_type", ["ts", "event_id"], F.date_trunc("hour", "ts"))
     return pivot(seq.select("seq", "event_type", "value"), "seq", "event_type", "value", EVENT_TYPES)
 
 
