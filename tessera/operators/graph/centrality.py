@@ -313,8 +313,12 @@ def measure_report(
     pagerank_iter: int = 20,
     hits_iter: int = 50,
     hits_tol: float | None = 1e-6,
+    tie_digits: int = 9,
 ) -> DataFrame:
-    """(measure, position, id, score): top n of every measure (ties by id)."""
+    """(measure, position, id, score): top n of every measure. Scores equal
+    to ``tie_digits`` decimals are ties, broken by the smaller id, so the
+    order does not depend on floating-point summation order (symmetric
+    vertices get equal scores only up to the last bits)."""
     owner = Loop()
     ids = owner.keep(vertices_of(edges))
     nv = ids.count()
@@ -333,8 +337,11 @@ def measure_report(
         measures[f"pagerank_{r}"] = (pagerank(edges, ids, reset=r, max_iter=pagerank_iter), "rank")
     out = None
     for name, (df, col) in measures.items():
-        t = top_n(df.select("id", F.col(col).cast("double").alias("score")), "score", n)
-        t = t.withColumn("position", F.row_number().over(Window.orderBy(F.col("score").desc(), "id")))
+        ranked = df.select(
+            "id", F.col(col).cast("double").alias("score"), F.round(F.col(col).cast("double"), tie_digits).alias("key")
+        )
+        t = top_n(ranked, "key", n)
+        t = t.withColumn("position", F.row_number().over(Window.orderBy(F.col("key").desc(), "id")))
         t = t.select(F.lit(name).alias("measure"), "position", "id", "score")
         out = t if out is None else out.unionByName(t)
     return owner.finish(out)

@@ -145,7 +145,7 @@ GRAPH = """g_edges AS (SELECT DISTINCT user_id AS src, nxt AS dst FROM (
 verts AS (SELECT src AS id FROM g_edges UNION SELECT dst FROM g_edges)"""
 
 
-def pagerank_sql(k: int, reset: float) -> str:
+def pagerank_sql(k: int, reset: float, digits: int = 6) -> str:
     parts = [
         GRAPH,
         "od AS (SELECT src, count(*) AS outdeg FROM g_edges GROUP BY 1)",
@@ -158,7 +158,7 @@ def pagerank_sql(k: int, reset: float) -> str:
   FROM verts v LEFT JOIN (SELECT w.dst, SUM(r.rank * w.w) AS s FROM w JOIN r{i - 1} r ON r.id = w.src GROUP BY 1) x
   ON x.dst = v.id)"""
         )
-    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, 6) AS rank FROM r{k}"
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, {digits}) AS rank FROM r{k}"
 
 
 def hits_sql(k: int) -> str:
@@ -414,13 +414,13 @@ def measure_report_sql() -> str:
         ("kpp", closeness_sql(True), "kpp"),
         ("hub", hits_sql(HITS_ITER), "hub"),
         ("authority", hits_sql(HITS_ITER), "authority"),
-    ] + [(f"pagerank_{r}", pagerank_sql(REPORT_PR_ITER, r), "rank") for r in REPORT_RESETS]
+    ] + [(f"pagerank_{r}", pagerank_sql(REPORT_PR_ITER, r, 12), "rank") for r in REPORT_RESETS]
     union = "\nUNION ALL ".join(
         f"SELECT '{name}' AS measure, id, {col}::DOUBLE AS score FROM ({sql})" for name, sql, col in parts
     )
     return f"""WITH m AS ({union})
 SELECT measure, position::INTEGER AS position, id, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY measure ORDER BY score DESC, id) AS position FROM m)
+  SELECT *, row_number() OVER (PARTITION BY measure ORDER BY round(score, 9) DESC, id) AS position FROM m)
 WHERE position <= 5"""
 
 
