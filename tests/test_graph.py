@@ -160,3 +160,33 @@ def test_sequential_pairs_match_lead(spark):
     pdf["nxt"] = pdf.groupby("event_type")["user_id"].shift(-1)
     want = sorted((int(a), int(b)) for a, b in pdf.dropna()[["user_id", "nxt"]].itertuples(index=False))
     assert got == want
+
+
+def test_sources_bound_all_pairs_state(spark):
+    ed = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 3)]
+    e = edges_df(spark, ed)
+    full = as_dict(G.closeness(e), "closeness")
+    part = as_dict(G.closeness(e, sources=ids_df(spark, [1, 4])), "closeness")
+    assert part == {1: full[1], 4: full[4]}
+    every = as_dict(G.betweenness(e, sources=ids_df(spark, [1, 2, 3, 4, 5])), "betweenness")
+    assert every == as_dict(G.betweenness(e), "betweenness")
+
+
+def test_iterate_messages_with_state(spark):
+    e = edges_df(spark, PATH4)
+    v = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 0)], "id BIGINT, val BIGINT")
+
+    def send(t, state):
+        # every superstep adds the superstep number to each receiver
+        return t.select("dst", F.lit(state).alias("m"))
+
+    def merge(msgs):
+        return msgs.groupBy("dst").agg(F.sum("m").alias("m"))
+
+    def update(vs, merged, state):
+        return vs.join(merged.withColumnRenamed("dst", "id"), "id", "left").select(
+            "id", (F.col("val") + F.coalesce("m", F.lit(0))).alias("val")
+        )
+
+    out = as_dict(iterate_messages(v, e, send, merge, update, max_iter=3, state=1, next_state=lambda s: s + 1), "val")
+    assert out == {1: 0, 2: 6, 3: 6, 4: 6}
