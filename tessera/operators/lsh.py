@@ -215,8 +215,11 @@ def plane_sweep(
     exact| nearest distance of every query, for each plane count, in one job:
     64 planes are hashed once and masked to the first n."""
     top = max(plane_counts)
-    qs = lsh_signature(query_docs, top, 1, seed)
-    ms = lsh_signature(model_docs, top, 1, seed)
+    owner = Loop()
+    # both signature tables feed several jobs (pool size, candidates, the
+    # exact side): keep them instead of hashing every token twice
+    qs = owner.keep(lsh_signature(query_docs, top, 1, seed))
+    ms = owner.keep(lsh_signature(model_docs, top, 1, seed))
     counts = F.explode(F.array(*[F.lit(n) for n in plane_counts])).alias("num_hyperplanes")
 
     def per_n(sig):
@@ -234,7 +237,6 @@ def plane_sweep(
     # With one plane about half of all pairs are candidates, so every
     # distance comes from one token join, shared by all plane counts, the
     # fallbacks and the exact nearest distance.
-    owner = Loop()
     overlap = owner.keep(overlap_distance(query_bag, model_bag))
     approx = lsh_nearest(
         query_bag, model_bag, per_n(qs), per_n(ms), keys=["num_hyperplanes"], seed=seed, overlap=overlap
