@@ -2,7 +2,6 @@ import hashlib
 import math
 from collections import Counter, defaultdict
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import edges_df, ids_df

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import lsh as L
 from tessera.operators.bags import token_bag
-from tessera.operators.similarity import knn_exact, nearest_distance
+from tessera.operators.similarity import nearest_distance
 from tessera.plans import corpus as C
 
 SF = "/root/testdata/sf0.001"
@@ -42,7 +42,6 @@ def test_classify_picks_true_nearest(spark):
     labels = model.select(F.col("doc_id").alias("m_id"), "label")
     r = L.lsh_classify(cands, token_bag(q), token_bag(model), labels).first()
     assert r.m_id == 10 and r.predicted == 1
-    _ = knn_exact
 
 
 def test_zero_planes_one_bucket(spark):

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tessera.operators import cardinality as K
 from tessera.session import scratch_path
@@ -45,4 +44,3 @@ def test_empty_stream(spark):
     st = spark.readStream.schema(ev.schema).parquet(path)
     q, out = kmv_stream(st, "user_id", 8)
     q.awaitTermination()
-    _ = F
