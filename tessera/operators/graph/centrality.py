@@ -285,7 +285,8 @@ def betweenness(
                 "s", "w", "sw", (F.col("sw") * F.coalesce(F.col("c"), F.lit(0.0))).alias("delta")
             )
         cur = _cut(cur) if d % 2 == 0 else owner.keep(cur)
-        part = cur.select(F.col("w").alias("id"), "delta")
+        # per-level sums per vertex: the final union holds V rows per level
+        part = cur.groupBy(F.col("w").alias("id")).agg(F.sum("delta").alias("delta"))
         deltas = part if deltas is None else deltas.unionByName(part)
         below = cur.select("s", "w", "sw", "delta")
     base = ids.select("id")
