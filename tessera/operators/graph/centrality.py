@@ -58,7 +58,7 @@ def pagerank(
     w = loop.keep(
         edges.join(out_degree(edges).withColumnRenamed("id", "src"), "src")
         .select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"))
-        .repartition("src")
+        .transform(lambda df: fan_out(df, "src"))
     )
     ranks = loop.step(v.select("id", F.lit(1.0).alias("rank")))
     for _ in range(max_iter):

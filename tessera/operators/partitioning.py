@@ -21,14 +21,11 @@ def fan_out(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a table keyed by ``key`` before a fan-out join (a
     frontier times edges, candidate pairs times tokens). AQE packs small
     shuffle outputs into one or two partitions, which would leave the whole
-    expansion to one task; an explicit partition count on the join key is
-    kept by AQE and is the join's own exchange, so it costs no extra
-    shuffle."""
-    spark = df.sparkSession
-    n = max(
-        spark.sparkContext.defaultParallelism * 2,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
+    expansion to one task; an explicit count on the join key is kept by AQE.
+    The count follows the cluster's cores (two tasks per core), not the
+    shuffle-partition setting, so small inputs do not pay for hundreds of
+    empty tasks per superstep while a large cluster still gets thousands."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism * 2, 2)
     return df.repartition(n, key)
 
 
