@@ -83,8 +83,13 @@ def pagerank(
 # ---- HITS ----------------------------------------------------------------------
 
 
-def _normalised(df: DataFrame, col: str, loop: Loop) -> DataFrame:
+def _normalised(df: DataFrame, col: str, loop: Loop, now: bool = True) -> DataFrame:
+    """Persist the new scores and, when ``now``, scale them to sum to 1 (one
+    scalar action). Scaling is linear, so skipping it on some steps changes
+    only the magnitude carried to the next step, not the final scores."""
     df = loop.step(df)
+    if not now:
+        return df
     total = df.agg(F.sum(col)).first()[0] or 0.0
     if total == 0:
         return df
@@ -107,19 +112,22 @@ def hits(
     e = aloop.keep(edges.select("src", "dst"))
     hub = v.select("id", F.lit(1.0).alias("hub"))
     auth = None
-    for _ in range(max_iter):
+    for it in range(1, max_iter + 1):
+        # with a tolerance every step needs normalised scores for the delta;
+        # with a fixed count, normalise every few steps and at the end
+        now = tol is not None or it % checkpoint_every == 0 or it == max_iter
         a_raw = (
             e.join(hub.withColumnRenamed("id", "src"), "src").groupBy("dst").agg(F.sum("hub").alias("auth"))
         )
         a_new = v.join(a_raw.withColumnRenamed("dst", "id"), "id", "left").select(
             "id", F.coalesce(F.col("auth"), F.lit(0.0)).alias("auth")
         )
-        a_new = _normalised(a_new, "auth", aloop)
+        a_new = _normalised(a_new, "auth", aloop, now)
         h_raw = e.join(a_new.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.sum("auth").alias("hub"))
         h_new = v.join(h_raw.withColumnRenamed("src", "id"), "id", "left").select(
             "id", F.coalesce(F.col("hub"), F.lit(0.0)).alias("hub")
         )
-        h_new = _normalised(h_new, "hub", hloop)
+        h_new = _normalised(h_new, "hub", hloop, now)
         done = False
         if tol is not None and auth is not None:
             d = (
