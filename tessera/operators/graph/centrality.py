@@ -239,16 +239,24 @@ def closeness(
     edges: DataFrame,
     vertices: DataFrame | None = None,
     sources: DataFrame | None = None,
+    wf_improved: bool = False,
 ) -> DataFrame:
     """(id, closeness) = 1 / sum of distances from the vertex to every
     vertex it reaches (not corrected for the number reached); 0 when it
-    reaches none. Edges are followed in their direction."""
+    reaches none. Edges are followed in their direction. ``wf_improved``
+    multiplies by r / (n - 1), r = vertices reached (Wasserman-Faust), so a
+    vertex reaching few others no longer scores highest."""
     owner = Loop()
-    lv = bfs_levels(edges, vertices, sources, owner=owner)
-    tot = lv.groupBy(F.col("s").alias("id")).agg(F.sum("dist").alias("total"))
-    return owner.finish(
-        tot.select("id", F.when(F.col("total") > 0, 1.0 / F.col("total")).otherwise(F.lit(0.0)).alias("closeness"))
+    ids = owner.keep(_ids(vertices, edges))
+    lv = bfs_levels(edges, ids, sources, owner=owner)
+    tot = lv.groupBy(F.col("s").alias("id")).agg(
+        F.sum("dist").alias("total"), (F.count(F.lit(1)) - 1).alias("reached")
     )
+    score = F.when(F.col("total") > 0, 1.0 / F.col("total")).otherwise(F.lit(0.0))
+    if wf_improved:
+        n = ids.count()
+        score = score * F.col("reached") / F.lit(float(max(n - 1, 1)))
+    return owner.finish(tot.select("id", score.alias("closeness")))
 
 
 def kpp(closeness_df: DataFrame, n_vertices: int) -> DataFrame:

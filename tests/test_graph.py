@@ -189,3 +189,10 @@ def test_iterate_messages_with_state(spark):
 
     out = as_dict(iterate_messages(v, e, send, merge, update, max_iter=3, state=1, next_state=lambda s: s + 1), "val")
     assert out == {1: 0, 2: 6, 3: 6, 4: 6}
+
+
+def test_closeness_wf_improved(spark):
+    e = edges_df(spark, PATH4)
+    wf = as_dict(G.closeness(e, wf_improved=True), "closeness")
+    # vertex 1 reaches 3 of 3 others (sum 6); vertex 3 reaches 1 of 3 (sum 1)
+    assert math.isclose(wf[1], 1 / 6) and math.isclose(wf[3], 1 / 3) and wf[4] == 0.0
