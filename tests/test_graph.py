@@ -196,3 +196,13 @@ def test_closeness_wf_improved(spark):
     wf = as_dict(G.closeness(e, wf_improved=True), "closeness")
     # vertex 1 reaches 3 of 3 others (sum 6); vertex 3 reaches 1 of 3 (sum 1)
     assert math.isclose(wf[1], 1 / 6) and math.isclose(wf[3], 1 / 3) and wf[4] == 0.0
+
+
+def test_betweenness_sampled_sources(spark):
+    cliques = [(a, b) for a in range(1, 6) for b in range(1, 6) if a != b] + [(5, 6), (6, 7)]
+    e = edges_df(spark, cliques)
+    exact = as_dict(G.betweenness(e), "betweenness")
+    full_sample = as_dict(G.betweenness(e, sample=100), "betweenness")
+    assert all(math.isclose(full_sample[k], exact[k], abs_tol=1e-12) for k in exact)
+    est = as_dict(G.betweenness(e, sample=4, seed=1), "betweenness")
+    assert set(est) == set(exact) and all(v >= 0 for v in est.values())
