@@ -48,12 +48,17 @@ def pagerank(
     max_iter: int = 20,
     tol: float | None = None,
     checkpoint_every: int = 3,
+    dangling: str = "keep",
 ) -> DataFrame:
     """(id, rank), unnormalised: rank' = reset + (1 - reset) * sum over
-    in-edges of rank(src) / outdeg(src), starting from 1.0. Rank held by
-    vertices without out-edges is not redistributed. With ``tol`` the loop
+    in-edges of rank(src) / outdeg(src), starting from 1.0. With
+    ``dangling="keep"`` the rank held by vertices without out-edges is not
+    redistributed; ``"spread"`` hands it to every vertex evenly (one scalar
+    per superstep), so the ranks keep summing to n. With ``tol`` the loop
     stops once the largest change is at most ``tol`` (one scalar action per
     superstep); else it runs ``max_iter`` supersteps."""
+    if dangling not in ("keep", "spread"):
+        raise ValueError("dangling must be 'keep' or 'spread'")
     loop = Loop(checkpoint_every)
     v = loop.keep(_ids(vertices, edges))
     w = loop.keep(
@@ -62,14 +67,23 @@ def pagerank(
         .transform(lambda df: fan_out(df, "src"))
     )
     ranks = loop.step(v.select("id", F.lit(1.0).alias("rank")))
+    sinks = None
+    if dangling == "spread":
+        n = v.count()
+        sinks = loop.keep(v.join(w.select(F.col("src").alias("id")).distinct(), "id", "left_anti"))
     for _ in range(max_iter):
         contrib = (
             w.join(ranks.withColumnRenamed("id", "src"), "src")
             .groupBy("dst")
             .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
         )
+        extra = 0.0
+        if sinks is not None:
+            mass = ranks.join(sinks, "id").agg(F.sum("rank")).first()[0] or 0.0
+            extra = mass / n
         new = v.join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
-            "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")
+            "id",
+            (F.lit(reset) + F.lit(1.0 - reset) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(extra))).alias("rank"),
         )
         old, ranks = ranks, loop.step(new)
         if tol is not None:

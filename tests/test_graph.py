@@ -206,3 +206,23 @@ def test_betweenness_sampled_sources(spark):
     assert all(math.isclose(full_sample[k], exact[k], abs_tol=1e-12) for k in exact)
     est = as_dict(G.betweenness(e, sample=4, seed=1), "betweenness")
     assert set(est) == set(exact) and all(v >= 0 for v in est.values())
+
+
+def test_pagerank_spread_dangling_matches_power_iteration(spark):
+    import numpy as np
+
+    ed = [(1, 2), (2, 3), (3, 1), (3, 4), (1, 4)]  # 4 is a sink
+    ids = [1, 2, 3, 4]
+    n, reset = 4, 0.15
+    out = {1: [2, 4], 2: [3], 3: [1, 4], 4: []}
+    r = np.ones(n)
+    for _ in range(15):
+        s = np.zeros(n)
+        for u, vs in out.items():
+            for x in vs:
+                s[x - 1] += r[u - 1] / len(vs)
+        mass = sum(r[u - 1] for u, vs in out.items() if not vs)
+        r = reset + (1 - reset) * (s + mass / n)
+    got = as_dict(G.pagerank(edges_df(spark, ed), ids_df(spark, ids), reset, 15, dangling="spread"), "rank")
+    assert all(math.isclose(got[i], r[i - 1], rel_tol=1e-9) for i in ids)
+    assert math.isclose(sum(got.values()), n, rel_tol=1e-9)
