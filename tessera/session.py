@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(cpus: int | str = "*", app: str = "tessera") -> SparkSession:
-    """Local session used by tests and the bench (never on a cluster)."""
+    """Local session used by tests and the bench (never on a cluster);
+    shuffle partitions follow the core count."""
+    cores = int(cpus) if str(cpus).isdigit() else (os.cpu_count() or 8)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
