@@ -1,4 +1,5 @@
-"""Plan guards over every registered query: no cross products."""
+"""Plan guards over every registered query: no cross products, no
+row-at-a-time Python UDFs, Arrow batch steps only in K-min-values."""
 
 import pytest
 
@@ -12,3 +13,6 @@ def test_no_cross_join(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    assert "BatchEvalPython" not in plan, name
+    if "MapInArrow" in plan or "PythonMapInArrow" in plan:
+        assert "kmv" in name, name
