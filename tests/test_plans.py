@@ -16,3 +16,25 @@ def test_no_cross_join(spark, name):
     assert "BatchEvalPython" not in plan, name
     if "MapInArrow" in plan or "PythonMapInArrow" in plan:
         assert "kmv" in name, name
+
+
+NO_TEXT = ["cluster_sizes", "contingency", "nmi", "pair_crosstab", "evaluate_clustering", "query_sample"]
+NO_PROPS = ["in_degree", "pagerank_k", "lpa_k", "hll_estimate", "kmv_estimate", "events_pivot", "stream_hll_daily"]
+
+
+def _scans(plan: str, table: str) -> list[str]:
+    return [line for line in plan.split("\n") if "FileScan" in line and f"{table}.parquet" in line]
+
+
+@pytest.mark.parametrize("name", NO_TEXT)
+def test_text_column_pruned(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scans = _scans(plan, "documents")
+    assert scans and all("text" not in s.split("ReadSchema:")[1] for s in scans), scans
+
+
+@pytest.mark.parametrize("name", NO_PROPS)
+def test_props_column_pruned(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for s in _scans(plan, "events"):
+        assert "props" not in s.split("ReadSchema:")[1], s
