@@ -35,7 +35,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete scratch tables that no later step reads."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(path, True)
 
 
 def settle(spark: SparkSession) -> None:
@@ -123,6 +133,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[off[0] : off[-1]], off - off[0]
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices with about ``limit`` bytes of text each, so that the arrays made
+    from them stay small; a longer text is a slice of its own."""
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        _, offsets = text_bytes(b.column(column))
+        part = offsets[:-1] // limit
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            yield b.slice(s, e - s)
+
+
 def word_hashes(body: np.ndarray, offsets: np.ndarray):
     """(hash, start byte, end byte) of every word, and the n+1 offsets of the
     rows in words. Vectorised over all texts of a batch."""

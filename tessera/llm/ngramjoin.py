@@ -42,6 +42,7 @@ from .common import (
     mix64,
     run_hashes,
     settle,
+    small_batches,
     sorted_groups,
     spread_rows,
     text_bytes,
@@ -105,7 +106,7 @@ def minhashes(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Batches) -> Batches:
-    for b in batches:
+    for b in small_batches(batches, 2):
         sets, off = shingle_sets(b.column(2))
         sig = minhashes(sets, off)
         filled = off[:-1] < off[1:]
@@ -333,7 +334,7 @@ def _links(similar: float):
 
 
 def _packed_sets(batches: Batches) -> Batches:
-    for b in batches:
+    for b in small_batches(batches, -1):
         sets, off = shingle_sets(b.column(b.num_columns - 1))
         packed = [sets[s:e].tobytes() for s, e in zip(off[:-1], off[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(

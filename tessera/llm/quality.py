@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, text_bytes, word_hashes, written
+from .common import Batches, small_batches, text_bytes, word_hashes, written
 
 HASHED = 256
 SHAPES = 24
@@ -191,7 +191,7 @@ def co_train(
 
 
 def _views(batches: Batches) -> Batches:
-    for b in batches:
+    for b in small_batches(batches, 3):
         t = text_features(b.column(3)).astype("<f4")
         m = meta_features(b.column(1), b.column(2), b.column(3)).astype("<f4")
         yield pa.RecordBatch.from_arrays(
@@ -206,7 +206,7 @@ def _views(batches: Batches) -> Batches:
 
 def _scored(model: CoTrained):
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in small_batches(batches, 3):
             pt, pm, both = model.scores(
                 text_features(b.column(3)).astype("<f4").astype(float),
                 meta_features(b.column(1), b.column(2), b.column(3)).astype("<f4").astype(float),

@@ -38,8 +38,10 @@ from .common import (
     Batches,
     document_key,
     mix64,
+    release,
     run_hashes,
     settle,
+    small_batches,
     spread_rows,
     text_bytes,
     word_hashes,
@@ -83,37 +85,30 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _minimizers(k: int):
-    def run(batches: Batches) -> Batches:
-        for b in batches:
-            row, _, _, m, _, _ = _windows(b.column(2), k)
-            s = _stretch_starts(row, m)
-            if len(s):
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(row[s]), b.column(1).take(row[s]), _long(m[s])],
-                    ["k_id", "k_tie", "m"],
-                )
-
-    return run
-
-
-def _minimizer_places(k: int):
-    """The minimizer once for every shingle position that is the minimizer of
-    a window: also repeats inside one stretch count."""
+def _places(k: int):
+    """Document and minimizer, once for every shingle position that is the
+    minimizer of a window: also repeats inside one stretch count."""
 
     def run(batches: Batches) -> Batches:
-        for b in batches:
-            _, _, at, m, _, shingles = _windows(b.column(0), k)
+        for b in small_batches(batches, 2):
+            row, _, at, m, _, shingles = _windows(b.column(2), k)
             if len(at) == 0:
                 continue
             most = np.zeros_like(shingles)  # the largest minimizer of the windows over a shingle
             most[at] = m
+            owner = np.zeros(len(shingles), np.int64)
+            owner[at] = row
             size, width = 1, k - SHINGLE + 1
             while size < width:
                 step = min(size, width - size)
                 most[step:] = np.maximum(most[step:], most[:-step])
+                owner[step:] = np.maximum(owner[step:], owner[:-step])
                 size += step
-            yield pa.RecordBatch.from_arrays([_long(shingles[(most == shingles) & (most > 0)])], ["m"])
+            place = np.flatnonzero((most == shingles) & (most > 0))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(owner[place]), b.column(1).take(owner[place]), _long(shingles[place])],
+                ["k_id", "k_tie", "m"],
+            )
 
     return run
 
@@ -123,7 +118,7 @@ def _stretches(k: int):
     of their windows."""
 
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in small_batches(batches, 2):
             row, pos, at, m, h, _ = _windows(b.column(2), k)
             s = _stretch_starts(row, m)
             if len(s) == 0:
@@ -178,23 +173,17 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k
     word ``src_start`` of the source document on."""
     spark = docs.sparkSession
     keyed = docs.select(*document_key(id_col, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    places = written(keyed.mapInArrow(_places(k), "k_id long, k_tie int, m long"), "repeats-places")
     repeated = written(
-        keyed.select("text")
-        .mapInArrow(_minimizer_places(k), "m long")
-        .groupBy("m")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .where("c > 1")
-        .select("m"),
+        places.groupBy("m").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("m"),
         "repeats-minimizers",
     )
     settle(spark)
     marked = written(
-        keyed.mapInArrow(_minimizers(k), "k_id long, k_tie int, m long")
-        .join(repeated, "m", "left_semi")
-        .groupBy("k_id", "k_tie")
-        .agg(F.collect_set("m").alias("ms")),
+        places.join(repeated, "m", "left_semi").groupBy("k_id", "k_tie").agg(F.collect_set("m").alias("ms")),
         "repeats-marks",
     )
+    release(places, repeated)
     settle(spark)
     parts = written(
         keyed.join(marked, ["k_id", "k_tie"])
@@ -205,36 +194,39 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k
         ),
         "repeats-stretches",
     )
+    release(marked)
     settle(spark)
     here = F.struct("k_id", "k_tie", "start")
     nodes = written(
         parts.groupBy("m", "h1", "h2").agg(F.min(here).alias("first"), F.max("loops").alias("loops")),
         "repeats-nodes",
     )
-    # Whole stretches: every occurrence but the first.
-    traced = parts.drop("edges", "loops").join(nodes, ["m", "h1", "h2"])
-    whole = traced.where(here != F.col("first")).select(
-        "k_id", "k_tie", "start", "n",
-        F.col("first.k_id").alias("src_id"), F.col("first.k_tie").alias("src_tie"),
-        F.col("first.start").alias("src_start"),
-    )
-    # Single edges: one occurrence of each stretch whose minimizer has others or that loops.
+    # Nodes with edges that may be in others: those that share a minimizer or loop.
     shared = (
         nodes.groupBy("m")
         .agg(F.count(F.lit(1)).alias("c"), F.max("loops").alias("l"))
-        .where("c > 1 or l")
-        .select("m")
+        .select("m", F.expr("c > 1 or l").alias("open"))
     )
-    ends = written(nodes.drop("loops").join(shared, "m", "left_semi"), "repeats-ends")
-    edges = written(
+    nodes = nodes.drop("loops").join(shared, "m")
+    is_first = here == F.col("first")
+    traced = written(
         parts.drop("loops")
-        .join(ends, ["m", "h1", "h2"])
-        .where(here == F.col("first"))
-        .dropDuplicates(["k_id", "k_tie", "start"])
-        .select("m", "k_id", "k_tie", "start", F.posexplode("edges").alias("i", "w"))
-        .select("m", "w", "k_id", "k_tie", (F.col("start") + F.col("i")).alias("start")),
-        "repeats-edges",
+        .join(nodes, ["m", "h1", "h2"])
+        .where(~is_first | F.col("open"))
+        .withColumn("edges", F.when(is_first, F.col("edges")))
+        .drop("h1", "h2", "open"),
+        "repeats-traced",
     )
+    release(parts)
+    settle(spark)
+    # Whole stretches: every occurrence but the first.
+    source = [
+        F.col("first.k_id").alias("src_id"), F.col("first.k_tie").alias("src_tie"), F.col("first.start").alias("src_start"),
+    ]
+    whole = traced.where(~is_first).select("k_id", "k_tie", "start", "n", *source)
+    # Single edges: those of the first occurrences.
+    edges = traced.where(is_first).select("m", "k_id", "k_tie", "start", F.posexplode("edges").alias("i", "w"))
+    edges = edges.select("m", "w", "k_id", "k_tie", (F.col("start") + F.col("i")).alias("start"))
     firsts = written(
         edges.groupBy("m", "w")
         .agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("c"))
@@ -242,15 +234,8 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k
         .drop("c"),
         "repeats-first-edges",
     )
-    single = (
-        edges.join(firsts, ["m", "w"])
-        .where(here != F.col("first"))
-        .select(
-            "k_id", "k_tie", "start", F.lit(1).alias("n"),
-            F.col("first.k_id").alias("src_id"), F.col("first.k_tie").alias("src_tie"),
-            F.col("first.start").alias("src_start"),
-        )
-    )
+    single = edges.join(firsts, ["m", "w"]).where(here != F.col("first"))
+    single = single.select("k_id", "k_tie", "start", F.lit(1).alias("n"), *source)
     return whole.unionByName(single)
 
 
@@ -284,7 +269,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def _kept(k: int):
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in small_batches(batches, 1):
             body, offsets = text_bytes(b.column(1))
             _, starts, ends, rows_at = word_hashes(body, offsets)
             raw, spans = body.tobytes(), b.column(2).to_pylist()
