@@ -170,7 +170,8 @@ def _stretches(k: int):
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
     """Runs of windows that occur earlier: (k_id, k_tie, start, n, src_id,
     src_tie, src_start): n windows from word ``start`` on equal those from
-    word ``src_start`` of the source document on."""
+    word ``src_start`` of the source document on. ``feeds`` are the scratch
+    tables it reads."""
     spark = docs.sparkSession
     keyed = docs.select(*document_key(id_col, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
     places = written(keyed.mapInArrow(_places(k), "k_id long, k_tie int, m long"), "repeats-places")
@@ -202,22 +203,24 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k
         "repeats-nodes",
     )
     # Nodes with edges that may be in others: those that share a minimizer or loop.
-    shared = (
+    shared = written(
         nodes.groupBy("m")
         .agg(F.count(F.lit(1)).alias("c"), F.max("loops").alias("l"))
-        .select("m", F.expr("c > 1 or l").alias("open"))
+        .where("c > 1 or l")
+        .select("m", F.lit(True).alias("open")),
+        "repeats-open",
     )
-    nodes = nodes.drop("loops").join(shared, "m")
+    all_nodes, nodes = nodes, nodes.drop("loops").join(shared, "m", "left")
     is_first = here == F.col("first")
     traced = written(
         parts.drop("loops")
         .join(nodes, ["m", "h1", "h2"])
-        .where(~is_first | F.col("open"))
+        .where(~is_first | F.coalesce(F.col("open"), F.lit(False)))
         .withColumn("edges", F.when(is_first, F.col("edges")))
         .drop("h1", "h2", "open"),
         "repeats-traced",
     )
-    release(parts)
+    release(parts, all_nodes, shared)
     settle(spark)
     # Whole stretches: every occurrence but the first.
     source = [
@@ -236,7 +239,9 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k
     )
     single = edges.join(firsts, ["m", "w"]).where(here != F.col("first"))
     single = single.select("k_id", "k_tie", "start", F.lit(1).alias("n"), *source)
-    return whole.unionByName(single)
+    out = whole.unionByName(single)
+    out.feeds = [traced, firsts]
+    return out
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
@@ -251,9 +256,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         & (F.lag(shift).over(order) == shift)
         & (F.lag(F.col("start") + F.col("n")).over(order) >= F.col("start"))
     )
-    runs = later_windows(docs, id_col, text, k).dropDuplicates(["k_id", "k_tie", "start", "n"])
+    later = later_windows(docs, id_col, text, k)
+    runs = later.dropDuplicates(["k_id", "k_tie", "start", "n"])
     path = F.sum(F.when(same, 0).otherwise(1)).over(order)
-    return (
+    out = (
         runs.withColumn("_path", path)
         .groupBy("k_id", "k_tie", "_path")
         .agg(
@@ -265,6 +271,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         )
         .drop("_path")
     )
+    out.feeds = later.feeds
+    return out
 
 
 def _kept(k: int):
@@ -305,12 +313,13 @@ def remove_repeats(
 ) -> DataFrame:
     """Each document without the words of its repeated windows: doc_id,
     n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
+    paths = repeated_spans(docs, id_col, text, k)
     spans = written(
-        repeated_spans(docs, id_col, text, k)
-        .groupBy("k_id", "k_tie")
+        paths.groupBy("k_id", "k_tie")
         .agg(F.collect_list(F.struct("start", "n")).alias("spans")),
         "repeats-spans",
     )
+    release(*paths.feeds)
     settle(docs.sparkSession)
     keyed = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
