@@ -385,7 +385,8 @@ def similarity_classes(
     comp = components(near)
     sizes = written(comp.groupBy("r_id", "r_tie").agg(F.count(F.lit(1)).alias("members")), "join-components")
     comp = written(comp.join(sizes, ["r_id", "r_tie"]).join(reps.select(*KEY, "copies"), KEY), "join-component-members")
-    texts = keyed.join(comp, KEY).dropDuplicates(KEY)
+    # Merged at every size: near copies are too many to broadcast on large inputs.
+    texts = keyed.join(comp.hint("merge"), KEY).dropDuplicates(KEY)
     packed = texts.select(*KEY, "r_id", "r_tie", "members", "copies", "text").mapInArrow(
         _packed_sets,
         "k_id long, k_tie int, r_id long, r_tie int, members long, copies long, shingles binary",
