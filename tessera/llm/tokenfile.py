@@ -23,7 +23,9 @@ text's ids are those of its words in order.
 
 from __future__ import annotations
 
+import json
 import zlib
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -100,38 +102,78 @@ def unpack(index: list[dict], body: bytes) -> np.ndarray:
 
 # --- tokenizing -------------------------------------------------------------
 
-_loaded: dict[str, tuple] = {}
+_loaded: dict[str, _Words] = {}
 
 
-def _tokenizer(path: str):
-    """The tokenizer of a file and the words remembered, once per worker."""
-    if path not in _loaded:
+class _Words:
+    """A tokenizer's ids of single words, remembered by a worker."""
+
+    def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
-    return _loaded[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        form = json.loads(self.tokenizer.to_str())
+        normal = form.get("normalizer") or {}
+        self.folds = any(n.get("type") == "Lowercase" for n in [normal, *normal.get("normalizers", [])])
+        self.special = [a.content.lower().encode() for a in self.tokenizer.get_added_tokens_decoder().values()]
+        # With a mark at word ends, words of letters can be encoded in one run
+        # and parted at the marked ids.
+        self.marked = None
+        if end := form["model"].get("end_of_word_suffix"):
+            vocab = self.tokenizer.get_vocab()
+            self.marked = np.zeros(max(vocab.values()) + 1, bool)
+            self.marked[[i for w, i in vocab.items() if w.endswith(end)]] = True
+        self.met: dict[bytes, bytes] = {}
+
+    def _run(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words of small letters by one run, if they can be told apart."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.marked[ids]) + 1) * 4
+        if len(ends) != len(words) or ends[-1] != len(ids) * 4:
+            return None
+        raw, ends = ids.tobytes(), ends.tolist()
+        return [raw[s:e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for raw in words:
+            w = raw.decode()
+            letters = self.marked is not None and w.isalpha() and w.islower() and is_normalized("NFC", w)
+            (plain if letters else other).append((raw, w))
+        found = self._run([w for _, w in plain]) if plain else []
+        if found is None:
+            other, plain, found = other + plain, [], []
+        self.met.update(zip((r for r, _ in plain), found, strict=True))
+        done = self.tokenizer.encode_batch_fast([w for _, w in other], add_special_tokens=False) if other else []
+        self.met.update((r, np.array(e.ids, "<u4").tobytes()) for (r, _), e in zip(other, done, strict=True))
+
+    def encode(self, raw: bytes) -> np.ndarray:
+        if self.folds:  # it lower-cases all but its own added tokens
+            low = raw.lower()
+            raw = raw if any(x in low for x in self.special) else low
+        words = raw.split()  # ASCII white space only: no tokenizer joins across it
+        met = self.met
+        new = list(set(words).difference(met))
+        if new:
+            if len(met) > REMEMBERED:
+                met.clear()
+                new = list(set(words))
+            self.learn(new)
+        out = np.frombuffer(b"".join([met[w] for w in words]), "<u4")
+        for w in new:
+            if len(w) > LONG:
+                del met[w]
+        return out
 
 
 def encode(text: bytes | str | None, path: str) -> np.ndarray:
     """Ids of a whole text, without special tokens."""
-    tokenizer, met = _tokenizer(path)
-    raw = text.encode() if isinstance(text, str) else text or b""
-    words = raw.split()  # ASCII white space only: no tokenizer joins across it
-    new = list(set(words).difference(met))
-    if new:
-        if len(met) > REMEMBERED:
-            met.clear()
-            new = list(set(words))
-        done = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        met.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, done, strict=True))
-    out = np.frombuffer(b"".join([met[w] for w in words]), "<u4")
-    for w in new:
-        if len(w) > LONG:
-            del met[w]
-    return out
+    if path not in _loaded:
+        _loaded[path] = _Words(path)
+    return _loaded[path].encode(text.encode() if isinstance(text, str) else text or b"")
 
 
 def _encoder(path: str, end_id: int, planes: int, segment: int):
