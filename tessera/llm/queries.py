@@ -88,8 +88,8 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = read_table(spark, sf, "documents").select("doc_id", text.alias("text"), sketch.sketch(text).alias("sk"))
-    rows = sketch.with_next(docs, "doc_id", ["text", "sk"])
+    docs = read_table(spark, sf, "documents").select("doc_id", text.alias("text"))
+    rows = sketch.with_next(docs, "doc_id", ["text"], {"sk": sketch.sketch(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))

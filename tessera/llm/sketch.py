@@ -19,8 +19,7 @@ fingerprints; repeated shingles count once.
 (null ids come last, ties by text hash and text; after the last the first).
 Documents are dealt to id ranges cut at quantiles, so one shuffle moves each
 text once; the first document of a range is also sent to the range above it.
-The table of ranges that is broadcast has as many rows as there are shuffle
-partitions.
+The table of ranges that is broadcast has four rows for each shuffle partition.
 """
 
 from __future__ import annotations
@@ -87,7 +86,7 @@ def id_ranges(docs: DataFrame, id_col: str, n: int) -> list[int]:
     if n < 2:
         return []
     shares = [i / n for i in range(1, n)]
-    cuts = docs.agg(F.percentile_approx(F.col(id_col), shares, 10_000).alias("c")).first()["c"]
+    cuts = docs.agg(F.percentile_approx(F.col(id_col), shares, max(10_000, 4 * n)).alias("c")).first()["c"]
     return sorted(set(cuts or []))
 
 
@@ -103,11 +102,15 @@ def _cuts_above(cuts: list[int], id_col: Column) -> Column:
     return at + F.size(F.filter(F.slice(every, at + 1, F.lit(step)), lambda c: c > id_col))
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str], n: int | None = None) -> DataFrame:
-    """Add ``next_<c>`` for each of ``columns``: its value in the next
-    document in descending id order. ``columns`` holds the text column too."""
+def with_next(
+    docs: DataFrame, id_col: str, columns: list[str], derived: dict[str, Column] | None = None, n: int | None = None
+) -> DataFrame:
+    """Add the ``derived`` columns, and ``next_<c>`` for each of them and of
+    ``columns``: its value in the next document in descending id order.
+    ``columns`` holds the text column too; ``n`` is the number of ranges."""
     spark = docs.sparkSession
-    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    derived = derived or {}
+    n = n or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = id_ranges(docs, id_col, n)
     # Ranges count down with the id; null ids are the last range.
     number = F.when(F.col(id_col).isNull(), len(cuts) + 1).otherwise(_cuts_above(cuts, F.col(id_col)))
@@ -128,11 +131,12 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str], n: int | None =
         .withColumn("_guest", F.lit(True))
         .drop("_r", "_top", "_above", "_n")
     )
-    both = dealt.withColumn("_guest", F.lit(False)).unionByName(heads)
+    both = dealt.withColumn("_guest", F.lit(False)).unionByName(heads).withColumns(derived)
+    every = [*columns, *derived]
     inside = Window.partitionBy("_range").orderBy(
         "_guest", F.col(id_col).desc_nulls_last(), *[F.col(c) for c in columns]
     )
-    following = both.withColumn("_next", F.lead(F.struct(*columns)).over(inside)).where("not _guest")
+    following = both.withColumn("_next", F.lead(F.struct(*every)).over(inside)).where("not _guest")
     return following.select(
-        *docs.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns]
+        *docs.columns, *derived, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in every]
     )
