@@ -4,8 +4,9 @@
 returns a DataFrame, which is written as Parquet and read again as the next
 one's documents. All but the last return the columns of ``documents``.
 
-1. ``language_id``: documents without a letter, or hardly like any language
-   that was learned (score under 0.03), go.
+1. ``language_id``: documents without a letter or unlike all languages that
+   were learned (score 0) go, and those of 200 characters and more that are
+   hardly like any (score under 0.05).
 2. ``ngram_jaccard_join``: of each class of near duplicates the document with
    the least id stays.
 3. ``benchmark_decontamination``: documents that contain a benchmark item go.
@@ -24,16 +25,17 @@ from tessera.llm import decontam, langid, mixing, ngramjoin, tokenfile
 from tessera.llm.common import read_table, written
 from tessera.llm.queries import END_ID, TOKENIZER
 
-LEAST_SCORE = 0.03
+LEAST_SCORE = 0.05
+LONG_TEXT = 200
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     packed = docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("_t"))
+    unlike = (F.col("score") <= 0) | ((F.length("_row.text") >= LONG_TEXT) & (F.col("score") < LEAST_SCORE))
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
     judged = langid.predict(packed, model, [F.col("_row")], text="_t")
-    kept = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("_row.*")
+    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & ~unlike).select("_row.*")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

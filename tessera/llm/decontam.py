@@ -83,7 +83,7 @@ def blocks(fp: Column, radius: int) -> Column:
     edges = [round(i * 64 / (radius + 1)) for i in range(radius + 2)]
     return F.array(
         *[
-            F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long"))
+            F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1).cast("long"))
             for lo, hi in zip(edges[:-1], edges[1:], strict=True)
         ]
     )
