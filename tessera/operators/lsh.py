@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import h60
 from tessera.functions.text import tokens
-from tessera.operators.partitioning import BUCKET_SALTS, salted_join, spread
+from tessera.operators.partitioning import BUCKET_SALTS, dense_index, salted_join
 from tessera.operators.classify import majority_vote
 from tessera.operators.graph.core import Loop
 from tessera.operators.similarity import HALF_PI, candidate_distance, overlap_distance
@@ -68,7 +68,7 @@ def lsh_signature(
     exactly ``bands`` independent tables of ``planes`` planes each."""
     _check(planes, bands)
     occ = (
-        spread(docs.select(id_col, text_col))
+        docs.select(id_col, text_col)
         .select(F.col(id_col).alias("doc_id"), F.explode(tokens(F.col(text_col))).alias("token"))
         .where(F.col("token") != "")
         .select("doc_id", "token", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
@@ -129,12 +129,11 @@ def lsh_vote(candidates: DataFrame, model_labels: DataFrame) -> DataFrame:
     return majority_vote(candidates, model_labels, weight_col="hits")
 
 
-def fallback_pool(model_ids: DataFrame, size: int = 1024, seed: int = 0) -> DataFrame:
-    """(pos, m_id): a bounded random sample of at most ``size`` model ids
-    (the smallest seeded hashes), numbered 0.. for seeded picks."""
+def fallback_pool(model_ids: DataFrame, seed: int = 0) -> DataFrame:
+    """(pos, m_id): all model ids in seeded hash order, numbered 0.. for
+    seeded picks."""
     keyed = model_ids.select("m_id", h60(F.col("m_id"), "pool", seed).alias("hk"))
-    top = keyed.orderBy("hk", "m_id").limit(size)
-    return top.select((F.row_number().over(Window.orderBy("hk", "m_id")) - 1).alias("pos"), "m_id")
+    return dense_index(keyed, "hk", "m_id").select("pos", "m_id")
 
 
 def lsh_nearest(
@@ -144,12 +143,11 @@ def lsh_nearest(
     model_sig: DataFrame,
     keys: Sequence[str] = (),
     seed: int = 0,
-    pool_size: int = 1024,
     overlap: DataFrame | None = None,
 ) -> DataFrame:
     """(keys..., q_id, distance, fallback): the smallest distance to a model
     vector in the query's buckets; when the buckets are empty, the distance
-    to one model vector picked by a seeded hash of the query id.
+    to one vector of the whole model, picked by a seeded hash of the query id.
 
     Distances come from looking up each candidate's tokens, or, when
     ``overlap`` (``overlap_distance`` of the same bags) is given, from that
@@ -175,12 +173,12 @@ def lsh_nearest(
     # every (keys, q_id) with a signature, i.e. every non-empty query
     qk = query_sig.select(*keys, F.col("doc_id").alias("q_id")).distinct()
     missing = qk.join(best, [*keys, "q_id"], "left_anti")
-    pool = fallback_pool(model_sig.select(F.col("doc_id").alias("m_id")).distinct(), pool_size, seed)
-    n_pool = pool.count()  # scalar, at most pool_size
+    pool = fallback_pool(model_sig.select(F.col("doc_id").alias("m_id")).distinct(), seed)
+    n_pool = pool.count()
     if n_pool == 0:
         return best.withColumn("fallback", F.lit(False))
     picks = missing.withColumn("pos", F.pmod(h60(F.col("q_id"), "pick", seed), F.lit(n_pool))).join(
-        F.broadcast(pool), "pos"
+        pool, "pos"
     )
     fb = distances(picks)
     fb_rows = picks.join(fb, ["q_id", "m_id"]).select(*keys, "q_id", "distance")

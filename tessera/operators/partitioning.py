@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a narrow input over the cluster before row-expanding work
-    (tokenising, per-token hashing) that would otherwise run in the few
-    tasks of a small scan. Inputs that already have at least as many
-    partitions as the cluster has cores are left alone, so at scale this is
-    a no-op and adds no shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+
+def dense_index(df: DataFrame, *order, name: str = "pos") -> DataFrame:
+    """Add ``name``: the position 0, 1, ... of every row in a total order,
+    without one task for all: ranges of the order, a position inside each, and
+    the number of rows in the ranges before (one row per range)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
+    )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return (
+        ranged.withColumn("_in", inside)
+        .join(base, "_part")
+        .withColumn(name, F.col("_base") + F.col("_in"))
+        .drop("_part", "_in", "_base")
+    )
 
 
 def fan_out(df: DataFrame, key: str) -> DataFrame:
@@ -49,8 +59,6 @@ def salted_join(
     exactly those of the plain join (each pair meets under one salt)."""
     if salts <= 1:
         return small.join(large, on)
-    from pyspark.sql import functions as F
-
     s = small.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     lg = large.withColumn("_salt", F.pmod(F.xxhash64(F.col(large_id)), F.lit(salts)).cast("int"))
     return s.join(lg, [*on, "_salt"]).drop("_salt")

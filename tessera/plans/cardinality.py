@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import h60_sql
 from tessera.functions.text import TOKEN_SPLIT_SQL, tokens
 from tessera.operators import cardinality as K
-from tessera.operators.partitioning import spread
 from tessera.sources.tables import table
 
 EVENT_PS = (2, 4, 6, 8, 10)
@@ -25,7 +24,7 @@ TWO60 = float(1 << 60)
 
 
 def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("text"))
+    docs = table(spark, sf_dir, "documents").select("text")
     return docs.select(F.explode(tokens(F.col("text"))).alias("token")).where(F.col("token") != "")
 
 

@@ -15,7 +15,6 @@ from tessera.sources.tables import table
 PLANES, BANDS, SEED = 16, 4, 0
 NEAREST_PLANES = 16
 SWEEP = (1, 2, 4, 8, 16, 32, 64)
-POOL = 1024
 
 
 def _labels(df):
@@ -34,11 +33,11 @@ def _cands(spark, sf_dir, queries):
 
 
 def q_lsh_candidates(spark, sf_dir):
-    return _cands(spark, sf_dir, C.query_sample(spark, sf_dir))[1]
+    return _cands(spark, sf_dir, C.holdout(spark, sf_dir))[1]
 
 
 def q_lsh_vote(spark, sf_dir):
-    qs = C.query_sample(spark, sf_dir)
+    qs = C.holdout(spark, sf_dir)
     model, cands = _cands(spark, sf_dir, qs)
     votes = L.lsh_vote(cands, _labels(model))
     return (
@@ -49,14 +48,13 @@ def q_lsh_vote(spark, sf_dir):
 
 
 def q_lsh_nearest(spark, sf_dir):
-    qs, model = C.query_sample(spark, sf_dir), C.model(spark, sf_dir)
+    qs, model = C.holdout(spark, sf_dir), C.model(spark, sf_dir)
     out = L.lsh_nearest(
         token_bag(qs),
         token_bag(model),
         L.lsh_signature(qs, NEAREST_PLANES, 1, SEED),
         L.lsh_signature(model, NEAREST_PLANES, 1, SEED),
         seed=SEED,
-        pool_size=POOL,
     )
     return out.select("q_id", F.round("distance", 6).alias("distance"), "fallback")
 
@@ -68,7 +66,7 @@ def _classified(spark, sf_dir, queries):
 
 
 def q_lsh_classify(spark, sf_dir):
-    out = _classified(spark, sf_dir, C.query_sample(spark, sf_dir))
+    out = _classified(spark, sf_dir, C.holdout(spark, sf_dir))
     return out.select("q_id", "label", "m_id", F.round("distance", 6).alias("distance"), "predicted")
 
 
@@ -152,7 +150,7 @@ cls AS (SELECT q.doc_id AS q_id, q.label, b.m_id, b.distance, b.label AS predict
   FROM {qsrc} q LEFT JOIN best b ON b.q_id = q.doc_id)"""
 
 
-def _nearest_sql(planes_list, key: bool) -> str:
+def _nearest_sql(planes_list, qsrc: str) -> str:
     """Nearest distance with fallback for one band of max(planes_list)
     planes masked to each count in planes_list."""
     top = max(planes_list)
@@ -160,11 +158,11 @@ def _nearest_sql(planes_list, key: bool) -> str:
     lo = "CASE WHEN n >= 32 THEN 4294967295 ELSE (1::BIGINT << n) - 1 END"
     hi = "(1::BIGINT << GREATEST(n - 32, 0)) - 1"
     return f"""WITH {C.CORPUS_CTES},
-{C.bag_cte('qb', 'qsample')},
+{C.bag_cte('qb', qsrc)},
 {C.bag_cte('mb', 'model')},
 {C.norms_cte('qn', 'qb')},
 {C.norms_cte('mn', 'mb')},
-{sig_sql('qs0', 'qsample', top, 1)},
+{sig_sql('qs0', qsrc, top, 1)},
 {sig_sql('ms0', 'model', top, 1)},
 ns(n) AS (VALUES {ns}),
 qs AS (SELECT n, doc_id, sig_lo & ({lo}) AS sig_lo, sig_hi & ({hi}) AS sig_hi FROM qs0, ns),
@@ -176,7 +174,7 @@ best AS (SELECT c.n, c.q_id, min(cd.distance) AS distance FROM cands c
   JOIN cd ON cd.q_id = c.q_id AND cd.m_id = c.m_id GROUP BY 1, 2),
 pool AS (SELECT row_number() OVER (ORDER BY hk, m_id) - 1 AS pos, m_id FROM (
   SELECT m_id, {h60_sql('m_id', 'pool', SEED)} AS hk FROM (SELECT DISTINCT doc_id AS m_id FROM ms0)
-  ORDER BY hk, m_id LIMIT {POOL})),
+)),
 missing AS (SELECT DISTINCT q.n, q.doc_id AS q_id FROM qs q
   WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.n = q.n AND b.q_id = q.doc_id)),
 picks AS (SELECT mi.n, mi.q_id, p.m_id FROM missing mi JOIN pool p
@@ -194,17 +192,17 @@ exact AS (SELECT q_id, acos(COALESCE(max(LEAST(GREATEST(dot / (sqrt(qn.sq_norm)
 
 ORACLES = {
     "lsh_signature": f"WITH {sig_sql('s', 'documents', PLANES, BANDS)} SELECT * FROM s",
-    "lsh_candidates": f"{_base('qsample')} SELECT q_id, m_id, hits FROM cands",
-    "lsh_vote": f"""{_base('qsample')},
+    "lsh_candidates": f"{_base('holdout')} SELECT q_id, m_id, hits FROM cands",
+    "lsh_vote": f"""{_base('holdout')},
 votes AS (SELECT c.q_id, m.label, SUM(hits) AS n FROM cands c JOIN model m ON m.doc_id = c.m_id GROUP BY 1, 2),
 best AS (SELECT q_id, label, n, row_number() OVER (PARTITION BY q_id ORDER BY n DESC) AS o,
   count(*) OVER (PARTITION BY q_id, n) AS same, SUM(n) OVER (PARTITION BY q_id) AS tot FROM votes)
 SELECT q.doc_id AS q_id, q.label, CASE WHEN b.same = 1 THEN b.label END AS predicted,
   COALESCE(b.tot, 0)::BIGINT AS votes
-FROM qsample q LEFT JOIN best b ON b.q_id = q.doc_id AND b.o = 1""",
-    "lsh_nearest": f"""{_nearest_sql((NEAREST_PLANES,), False)}
+FROM holdout q LEFT JOIN best b ON b.q_id = q.doc_id AND b.o = 1""",
+    "lsh_nearest": f"""{_nearest_sql((NEAREST_PLANES,), 'holdout')}
 SELECT q_id, round(distance, 6) AS distance, fallback FROM approx""",
-    "lsh_classify": f"""{_classify_sql('qsample')}
+    "lsh_classify": f"""{_classify_sql('holdout')}
 SELECT q_id, label, m_id, round(distance, 6) AS distance, predicted FROM cls""",
     "lsh_confusion": f"""{_classify_sql('holdout')}
 SELECT count(*) FILTER (WHERE predicted = {C.HAM} AND label = {C.HAM})::BIGINT AS true_ham,
@@ -212,7 +210,7 @@ SELECT count(*) FILTER (WHERE predicted = {C.HAM} AND label = {C.HAM})::BIGINT A
   count(*) FILTER (WHERE predicted = {C.SPAM} AND label = {C.SPAM})::BIGINT AS true_spam,
   count(*) FILTER (WHERE predicted = {C.SPAM} AND label = {C.HAM})::BIGINT AS false_spam,
   count(*) FILTER (WHERE predicted IS NULL)::BIGINT AS no_pred FROM cls""",
-    "lsh_sweep": f"""{_nearest_sql(SWEEP, True)},
+    "lsh_sweep": f"""{_nearest_sql(SWEEP, 'qsample')},
 {_NEAREST_EXACT}
 SELECT n::INTEGER AS num_hyperplanes, count(*)::BIGINT AS queries,
   round(avg(abs(a.distance - e.exact)), 6) AS mean_abs_err,

@@ -1,14 +1,12 @@
 from pyspark.sql import functions as F
 
-from tessera.operators.partitioning import fan_out, salted_join, spread
+from tessera.operators.partitioning import dense_index, fan_out, salted_join
 
 
-def test_spread_only_widens_narrow_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, numPartitions=cores * 2)
-    assert spread(wide) is wide
+def test_dense_index_numbers_every_row_in_order(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3001).alias("x"))
+    rows = dense_index(df, "x").orderBy("x").collect()
+    assert [r.pos for r in rows] == list(range(3000))
 
 
 def test_fan_out_partition_count_and_rows(spark):
