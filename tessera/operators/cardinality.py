@@ -18,9 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -209,64 +206,21 @@ def hll_builtin(df: DataFrame, value_col: str, lg_k: int = 12, group_cols=None)
 # ---- K-min-values ------------------------------------------------------------
 
 
-def _kmv_partial(k: int, keys: list[str]):
-    """Per task: the k smallest distinct hashes of every group seen. Rows at
-    or above a group's current k-th value are dropped with one vectorised
-    comparison, so a full state costs one pass over each batch."""
-
-    def run(batches):
-        state: dict = {}
-        schema = None
-        for batch in batches:
-            schema = batch.schema
-            pdf = batch.to_pandas()
-            groups = pdf.groupby(keys, sort=False)["h"] if keys else [((), pdf["h"])]
-            for g, hs in groups:
-                vals = hs.to_numpy(dtype=np.int64)
-                cur = state.get(g)
-                if cur is not None and len(cur) >= k:
-                    vals = vals[vals < cur[-1]]
-                    if not len(vals):
-                        continue
-                merged = np.unique(vals if cur is None else np.concatenate([cur, vals]))
-                state[g] = merged[:k]
-        if state:
-            cols = {c: [] for c in keys}
-            hs = []
-            for g, vals in state.items():
-                gk = g if isinstance(g, tuple) else (g,)
-                for c, v in zip(keys, gk):
-                    cols[c].extend([v] * len(vals))
-                hs.append(vals)
-            out = pd.DataFrame({**cols, "h": np.concatenate(hs)})
-            yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
-
-    return run
-
-
 def kmv_smallest(hashed: DataFrame, k: int, group_cols=None, distinct_input: bool = False) -> DataFrame:
     """(groups..., h, pos): the k smallest distinct hashes of every group.
 
-    Raw input: each task keeps at most k distinct hashes per group (an Arrow
-    batch step; memory bounded by k times the groups it sees), so neither a
-    full distinct nor a hot value's duplicates are ever shuffled.
-    ``distinct_input=True`` (rows already distinct per group): a JVM
-    ``dense_rank <= k`` window, which Spark limits per task before the
-    shuffle."""
+    Raw rows are made distinct first (partial aggregates keep a hot value's
+    duplicates out of the shuffle; ``distinct_input=True`` says they are), then
+    a ``dense_rank <= k`` window, which Spark limits per task before its
+    shuffle. Null groups are groups like others."""
     if k < 1:
         raise ValueError("k must be >= 1")
     g = _groups(group_cols)
     src = hashed.select(*g, "h").where(F.col("h").isNotNull())
     w = Window.partitionBy(*g).orderBy("h") if g else Window.orderBy("h")
-    if distinct_input:
-        ranked = src.withColumn("pos", F.dense_rank().over(w)).where(F.col("pos") <= k)
-        return ranked.dropDuplicates([*g, "h"])
-    partial = src.mapInArrow(_kmv_partial(k, g), src.schema)
-    return (
-        partial.distinct()
-        .withColumn("pos", F.row_number().over(w))
-        .where(F.col("pos") <= k)
-    )
+    rows = src if distinct_input else src.distinct()
+    ranked = rows.withColumn("pos", F.dense_rank().over(w)).where(F.col("pos") <= k)
+    return ranked.dropDuplicates([*g, "h"])
 
 
 def kmv_estimate(smallest: DataFrame, k: int, group_cols=None, estimator: str = "k-1") -> DataFrame:
