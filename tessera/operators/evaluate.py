@@ -62,6 +62,17 @@ def _sum_of(kind: str, expr: Column) -> Column:
     return F.sum(F.when(F.col("kind") == kind, expr))
 
 
+def _entropy(h: Column, clusters: str) -> Column:
+    """0 exactly for one cluster, and never below 0 by rounding."""
+    return F.when(F.col(clusters) == 1, F.lit(0.0)).otherwise(F.greatest(h, F.lit(0.0)))
+
+
+def _information(mi: Column) -> Column:
+    """0 exactly if either side has one cluster, and never below 0 by rounding."""
+    one = (F.col("k_pred") == 1) | (F.col("k_actual") == 1)
+    return F.when(one, F.lit(0.0)).otherwise(F.greatest(mi, F.lit(0.0)))
+
+
 def nmi_parts(table: DataFrame, tagged: DataFrame | None = None) -> DataFrame:
     """One row: n, h_pred, h_actual, mi, nmi (natural log; NMI uses the
     arithmetic mean of the two entropies and is null when both are 0).
@@ -73,11 +84,13 @@ def nmi_parts(table: DataFrame, tagged: DataFrame | None = None) -> DataFrame:
         _sum_of("cell", nlogn).alias("s_cell"),
         _sum_of("pred", nlogn).alias("s_pred"),
         _sum_of("actual", nlogn).alias("s_actual"),
+        _sum_of("pred", F.lit(1)).alias("k_pred"),
+        _sum_of("actual", F.lit(1)).alias("k_actual"),
     )
     n, ln_n = F.col("total"), F.log(F.col("total"))
-    h_pred = ln_n - F.col("s_pred") / n
-    h_act = ln_n - F.col("s_actual") / n
-    mi = ln_n + (F.col("s_cell") - F.col("s_pred") - F.col("s_actual")) / n
+    h_pred = _entropy(ln_n - F.col("s_pred") / n, "k_pred")
+    h_act = _entropy(ln_n - F.col("s_actual") / n, "k_actual")
+    mi = _information(ln_n + (F.col("s_cell") - F.col("s_pred") - F.col("s_actual")) / n)
     mean_h = (h_pred + h_act) / 2
     return agg.select(
         n.cast("bigint").alias("n"),
@@ -93,19 +106,22 @@ def nmi(pred: DataFrame, actual: DataFrame, id_col: str = "id", cluster_col: str
 
 
 def _pairs(n: Column) -> Column:
-    """C(n, 2) exactly (decimal arithmetic, no float rounding)."""
-    d = n.cast("decimal(38,0)")
-    return (d * (d - 1) / 2).cast("bigint")
+    """C(n, 2) exactly: one of n and n - 1 is even, so both factors are whole."""
+    n = n.cast("bigint")
+    even, half = n % 2 == 0, F.shiftright(n, 1)
+    a = F.when(even, half).otherwise(n).cast("decimal(19,0)")
+    b = F.when(even, n - 1).otherwise(half).cast("decimal(19,0)")
+    return (a * b).cast("decimal(38,0)")
 
 
 def pair_crosstab_from(table: DataFrame, tagged: DataFrame | None = None) -> DataFrame:
-    """One row: tp, fp, fn, tn over all unordered pairs of ids.
+    """One row: tp, fp, fn, tn (DECIMAL(38,0)) over all unordered pairs of ids.
     tp = sum C(n_ij, 2); tp + fp = sum C(n_i, 2) over predicted clusters;
     tp + fn = sum C(n_j, 2) over actual clusters; all pairs = C(N, 2)."""
     agg = (tagged if tagged is not None else _tagged_counts(table)).agg(
-        F.coalesce(_sum_of("cell", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("tp"),
-        F.coalesce(_sum_of("pred", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("pp"),
-        F.coalesce(_sum_of("actual", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("ap"),
+        F.coalesce(_sum_of("cell", _pairs(F.col("n"))), F.lit(0)).cast("decimal(38,0)").alias("tp"),
+        F.coalesce(_sum_of("pred", _pairs(F.col("n"))), F.lit(0)).cast("decimal(38,0)").alias("pp"),
+        F.coalesce(_sum_of("actual", _pairs(F.col("n"))), F.lit(0)).cast("decimal(38,0)").alias("ap"),
         F.coalesce(_sum_of("cell", F.col("n")), F.lit(0)).cast("bigint").alias("total"),
     )
     tp = F.col("tp")
@@ -113,9 +129,9 @@ def pair_crosstab_from(table: DataFrame, tagged: DataFrame | None = None) -> Dat
     fn = F.col("ap") - tp
     return agg.select(
         tp.alias("tp"),
-        fp.alias("fp"),
-        fn.alias("fn"),
-        (_pairs(F.col("total")) - tp - fp - fn).cast("bigint").alias("tn"),
+        fp.cast("decimal(38,0)").alias("fp"),
+        fn.cast("decimal(38,0)").alias("fn"),
+        (_pairs(F.col("total")) - tp - fp - fn).cast("decimal(38,0)").alias("tn"),
     )
 
 
@@ -142,14 +158,16 @@ def evaluate_clustering(pred: DataFrame, actual: DataFrame, id_col: str = "id",
         _sum_of("cell", nlogn).alias("s_cell"),
         _sum_of("pred", nlogn).alias("s_pred"),
         _sum_of("actual", nlogn).alias("s_actual"),
-        F.coalesce(_sum_of("cell", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("tp"),
-        F.coalesce(_sum_of("pred", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("pp"),
-        F.coalesce(_sum_of("actual", _pairs(F.col("n"))), F.lit(0)).cast("bigint").alias("ap"),
+        _sum_of("pred", F.lit(1)).alias("k_pred"),
+        _sum_of("actual", F.lit(1)).alias("k_actual"),
+        F.coalesce(_sum_of("cell", _pairs(F.col("n"))), F.lit(0)).cast("decimal(38,0)").alias("tp"),
+        F.coalesce(_sum_of("pred", _pairs(F.col("n"))), F.lit(0)).cast("decimal(38,0)").alias("pp"),
+        F.coalesce(_sum_of("actual", _pairs(F.col("n"))), F.lit(0)).cast("decimal(38,0)").alias("ap"),
     )
     n, ln_n = F.col("total"), F.log(F.col("total"))
-    h_pred = ln_n - F.col("s_pred") / n
-    h_act = ln_n - F.col("s_actual") / n
-    mi = ln_n + (F.col("s_cell") - F.col("s_pred") - F.col("s_actual")) / n
+    h_pred = _entropy(ln_n - F.col("s_pred") / n, "k_pred")
+    h_act = _entropy(ln_n - F.col("s_actual") / n, "k_actual")
+    mi = _information(ln_n + (F.col("s_cell") - F.col("s_pred") - F.col("s_actual")) / n)
     mean_h = (h_pred + h_act) / 2
     tp, fp, fn = F.col("tp"), F.col("pp") - F.col("tp"), F.col("ap") - F.col("tp")
     tn = _pairs(n.cast("bigint")) - tp - fp - fn
@@ -160,8 +178,8 @@ def evaluate_clustering(pred: DataFrame, actual: DataFrame, id_col: str = "id",
         mi.alias("mi"),
         F.when(mean_h > 0, mi / mean_h).alias("nmi"),
         tp.alias("tp"),
-        fp.cast("bigint").alias("fp"),
-        fn.cast("bigint").alias("fn"),
-        tn.cast("bigint").alias("tn"),
+        fp.cast("decimal(38,0)").alias("fp"),
+        fn.cast("decimal(38,0)").alias("fn"),
+        tn.cast("decimal(38,0)").alias("tn"),
     )
     return pair_prf(crosstab, keep=["n", "h_pred", "h_actual", "mi", "nmi"])

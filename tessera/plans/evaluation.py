@@ -20,6 +20,10 @@ def _r(cols):
     return [F.round(c, 6).alias(c) for c in cols]
 
 
+def _whole(cols):
+    return [F.col(c).cast("bigint").alias(c) for c in cols]
+
+
 def q_cluster_sizes(spark, sf_dir):
     return E.cluster_sizes(_clusterings(spark, sf_dir)[1])
 
@@ -33,18 +37,18 @@ def q_nmi(spark, sf_dir):
 
 
 def q_pair_crosstab(spark, sf_dir):
-    return E.pair_crosstab(*_clusterings(spark, sf_dir))
+    return E.pair_crosstab(*_clusterings(spark, sf_dir)).select(*_whole(["tp", "fp", "fn", "tn"]))
 
 
 def q_pair_prf(spark, sf_dir):
     return E.pair_prf(E.pair_crosstab(*_clusterings(spark, sf_dir))).select(
-        "tp", "fp", "fn", "tn", *_r(["precision", "recall", "f1"])
+        *_whole(["tp", "fp", "fn", "tn"]), *_r(["precision", "recall", "f1"])
     )
 
 
 def q_evaluate_clustering(spark, sf_dir):
     return E.evaluate_clustering(*_clusterings(spark, sf_dir)).select(
-        "n", "tp", "fp", "fn", "tn", *_r(["h_pred", "h_actual", "mi", "nmi", "precision", "recall", "f1"])
+        "n", *_whole(["tp", "fp", "fn", "tn"]), *_r(["h_pred", "h_actual", "mi", "nmi", "precision", "recall", "f1"])
     )
 
 
