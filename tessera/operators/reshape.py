@@ -55,9 +55,12 @@ def sequence_ids(
     numbered = b.withColumn("_rn", F.row_number().over(w))
     counts = b.groupBy(key_col, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     cw = Window.partitionBy(key_col).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key_col, "_bk", F.coalesce(F.sum("_n").over(cw), F.lit(0)).alias("_off"))
+    offsets = counts.select(
+        F.col(key_col).alias("_ok"), F.col("_bk").alias("_ob"), F.coalesce(F.sum("_n").over(cw), F.lit(0)).alias("_off")
+    )
+    same = F.col(key_col).eqNullSafe(F.col("_ok")) & F.col("_bk").eqNullSafe(F.col("_ob"))  # null keys count too
     return (
-        numbered.join(offsets, [key_col, "_bk"])
+        numbered.join(offsets, same)
         .withColumn(seq_col, F.col("_off") + F.col("_rn"))
-        .drop("_bk", "_rn", "_off")
+        .drop("_bk", "_rn", "_off", "_ok", "_ob")
     )
