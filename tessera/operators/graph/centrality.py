@@ -56,7 +56,8 @@ def pagerank(
     redistributed; ``"spread"`` hands it to every vertex evenly (one scalar
     per superstep), so the ranks keep summing to n. With ``tol`` the loop
     stops once the largest change is at most ``tol`` (one scalar action per
-    superstep); else it runs ``max_iter`` supersteps."""
+    superstep; an error if ``max_iter`` supersteps don't get there); else it
+    runs ``max_iter`` supersteps."""
     if dangling not in ("keep", "spread"):
         raise ValueError("dangling must be 'keep' or 'spread'")
     loop = Loop(checkpoint_every)
@@ -92,6 +93,10 @@ def pagerank(
             ).first()[0]
             if delta is None or delta <= tol:
                 break
+    else:
+        if tol is not None:
+            loop.release()
+            raise RuntimeError(f"PageRank did not reach tol={tol} in {max_iter} supersteps")
     return loop.finish(ranks)
 
 
@@ -114,14 +119,15 @@ def _normalised(df: DataFrame, col: str, loop: Loop, now: bool = True) -> DataFr
 def hits(
     edges: DataFrame,
     vertices: DataFrame | None = None,
-    max_iter: int = 50,
+    max_iter: int = 1000,
     tol: float | None = 1e-6,
     checkpoint_every: int = 3,
 ) -> DataFrame:
     """(id, hub, authority), each summing to 1. Authority = sum of hub
     scores over in-edges, hub = sum of authority over out-edges, both
-    normalised every half step; stop after ``max_iter`` or when no score
-    moves more than ``tol``."""
+    normalised every half step; stop when no score moves more than ``tol``
+    (an error if ``max_iter`` steps don't get there) or, without a
+    tolerance, after ``max_iter`` steps."""
     aloop, hloop = Loop(checkpoint_every), Loop(checkpoint_every)
     v = aloop.keep(_ids(vertices, edges))
     e = aloop.keep(edges.select("src", "dst"))
@@ -155,6 +161,10 @@ def hits(
         auth, hub = a_new, h_new
         if done:
             break
+    else:
+        if tol is not None and max_iter:
+            aloop.release(), hloop.release()
+            raise RuntimeError(f"HITS did not reach tol={tol} in {max_iter} steps")
     if auth is None:
         auth = v.select("id", F.lit(0.0).alias("auth"))
     out = aloop.finish(hub.join(auth, "id").select("id", "hub", F.col("auth").alias("authority")))
@@ -213,7 +223,7 @@ def bfs_levels(
     d = 0
     while max_depth is None or d < max_depth:
         d += 1
-        step = _spread(frontier).join(e.withColumnRenamed("src", "v"), "v").select(
+        step = _spread(frontier, "v").join(e.withColumnRenamed("src", "v"), "v").select(
             "s", F.col("dst").alias("v"), (F.col("sigma") if with_paths else F.lit(0.0)).alias("sg"),
             F.lit(0).alias("old"),
         )
@@ -319,7 +329,7 @@ def betweenness(
             cur = here.withColumn("delta", F.lit(0.0))
         else:
             back = (
-                _spread(below).join(rev, "w")
+                _spread(below, "w").join(rev, "w")
                 .groupBy("s", F.col("v").alias("w"))
                 .agg(F.sum((1.0 + F.col("delta")) / F.col("sw")).alias("c"))
             )
@@ -345,6 +355,11 @@ def betweenness(
     return owner.finish(bc.select("id", (F.col("betweenness") * F.lit(scale)).alias("betweenness")))
 
 
+def significant(x, digits: int):
+    """A double rounded to significant digits."""
+    return F.format_string(f"%.{digits - 1}e", x).cast("double")
+
+
 # ---- report ----------------------------------------------------------------------
 
 
@@ -353,14 +368,15 @@ def measure_report(
     n: int = 5,
     resets: Sequence[float] = (0.05, 0.15, 0.3),
     pagerank_iter: int = 20,
-    hits_iter: int = 50,
+    hits_iter: int = 1000,
     hits_tol: float | None = 1e-6,
-    tie_digits: int = 9,
+    tie_digits: int = 12,
 ) -> DataFrame:
     """(measure, position, id, score): top n of every measure. Scores equal
-    to ``tie_digits`` decimals are ties, broken by the smaller id, so the
-    order does not depend on floating-point summation order (symmetric
-    vertices get equal scores only up to the last bits)."""
+    to ``tie_digits`` significant digits are ties, broken by the smaller id,
+    so the order does not depend on floating-point summation order (symmetric
+    vertices get equal scores only up to the last bits) nor on the size of
+    the scores, which shrink as the graph grows."""
     owner = Loop()
     ids = owner.keep(vertices_of(edges))
     nv = ids.count()
@@ -380,7 +396,7 @@ def measure_report(
     out = None
     for name, (df, col) in measures.items():
         ranked = df.select(
-            "id", F.col(col).cast("double").alias("score"), F.round(F.col(col).cast("double"), tie_digits).alias("key")
+            "id", F.col(col).cast("double").alias("score"), significant(F.col(col).cast("double"), tie_digits).alias("key")
         )
         t = top_n(ranked, "key", n)
         t = t.withColumn("position", F.row_number().over(Window.orderBy(F.col("key").desc(), "id")))

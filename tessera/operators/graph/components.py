@@ -3,6 +3,8 @@ smallest vertex id in it."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,18 +12,22 @@ from tessera.operators.graph.core import Loop, simple_edges, vertices_of
 from tessera.session import cut_lineage
 
 
+TRIMS = 2
+
+
 def weak_components(
-    edges: DataFrame, vertices: DataFrame | None = None, max_iter: int = 200, checkpoint_every: int = 2
+    edges: DataFrame, vertices: DataFrame | None = None, max_iter: int | None = None, checkpoint_every: int = 2
 ) -> DataFrame:
     """(id, component). Min-label propagation over undirected edges with
     pointer jumping (label := label of label), so long paths need about
     log(diameter) rounds instead of diameter rounds. The jump joins on the
-    label, whose hot values (a giant component) AQE's skew join splits."""
+    label, whose hot values (a giant component) AQE's skew join splits. Runs to
+    the fixed point; with ``max_iter`` it is an error not to reach it."""
     loop = Loop(checkpoint_every)
     ids = loop.keep(vertices.select("id") if vertices is not None else vertices_of(edges))
     und = loop.keep(simple_edges(edges, directed=False))
     lab = loop.step(ids.select("id", F.col("id").alias("label")))
-    for _ in range(max_iter):
+    for _ in _rounds(max_iter, "weak components"):
         nb = (
             und.join(lab.withColumnRenamed("id", "src"), "src")
             .groupBy(F.col("dst").alias("id"))
@@ -39,11 +45,17 @@ def weak_components(
     return loop.finish(lab.select("id", F.col("label").alias("component")))
 
 
-def _min_colour(e: DataFrame, ids: DataFrame, max_iter: int, checkpoint_every: int) -> DataFrame:
+def _rounds(limit: int | None, what: str):
+    """Round numbers; an error if a loop with a limit uses all of them up."""
+    yield from itertools.count() if limit is None else range(limit)
+    raise RuntimeError(f"{what}: not finished after {limit} rounds")
+
+
+def _min_colour(e: DataFrame, ids: DataFrame, max_iter: int | None, checkpoint_every: int) -> DataFrame:
     """(id, colour) = smallest id that reaches the vertex along ``e``."""
     loop = Loop(checkpoint_every)
     col = loop.step(ids.select("id", F.col("id").alias("colour")))
-    for _ in range(max_iter):
+    for _ in _rounds(max_iter, "colouring"):
         nb = (
             e.join(col.withColumnRenamed("id", "src"), "src")
             .groupBy(F.col("dst").alias("id"))
@@ -57,7 +69,7 @@ def _min_colour(e: DataFrame, ids: DataFrame, max_iter: int, checkpoint_every: i
 
 
 def strong_components(
-    edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 10_000, max_iter: int = 10_000,
+    edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int | None = None, max_iter: int | None = None,
     checkpoint_every: int = 2,
 ) -> DataFrame:
     """(id, component). Each round: forward min-colouring (colour = smallest
@@ -65,13 +77,30 @@ def strong_components(
     is its own id; the root's component is the set of same-coloured vertices
     that reach it (a backward search inside the colour). Found components
     are removed, edges between colours dropped, and the rest goes round
-    again. Chains of many single-vertex components need one round each."""
+    again. Before each round, vertices without an edge in or without one out
+    are components of their own (twice); long chains of single vertices are
+    peeled from both ends. Runs until no vertex is left; with a limit it is an
+    error to reach it."""
     owner = Loop(checkpoint_every)
     ids = vertices.select("id") if vertices is not None else vertices_of(edges)
-    e = simple_edges(edges)
+    e = owner.keep(simple_edges(edges))
     remaining = owner.keep(ids)
     found = None
-    for _ in range(max_rounds):
+    for _ in _rounds(max_rounds, "strong components"):
+        for _ in range(TRIMS):
+            ends = e.select(F.col("src").alias("id")).distinct()
+            core = remaining.join(ends, "id", "left_semi").join(
+                e.select(F.col("dst").alias("id")).distinct(), "id", "left_semi"
+            )
+            core = cut_lineage(core)
+            single = remaining.join(core, "id", "left_anti").select("id", F.col("id").alias("component"))
+            found = cut_lineage(single if found is None else found.unionByName(single))
+            remaining = core
+            e = cut_lineage(
+                e.join(core.select(F.col("id").alias("src")), "src", "left_semi").join(
+                    core.select(F.col("id").alias("dst")), "dst", "left_semi"
+                ).select("src", "dst")
+            )
         if remaining.limit(1).count() == 0:
             break
         col = owner.keep(_min_colour(e, remaining, max_iter, checkpoint_every))
@@ -86,7 +115,7 @@ def strong_components(
         loop = Loop(checkpoint_every)
         comp = loop.step(col.where(F.col("id") == F.col("colour")).select("id", F.col("colour").alias("component")))
         frontier = comp
-        for _ in range(max_iter):
+        for _ in _rounds(max_iter, "backward search"):
             nxt = (
                 ec.join(frontier.select(F.col("id").alias("dst"), F.col("component").alias("colour")), ["dst", "colour"])
                 .select(F.col("src").alias("id"), F.col("colour").alias("component"))

@@ -7,6 +7,7 @@ previous state, and take one scalar per superstep as the stop value.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -141,7 +142,7 @@ def iterate_messages(
     send,
     merge,
     update,
-    max_iter: int,
+    max_iter: int | None = None,
     state=None,
     next_state=None,
     checkpoint_every: int = 3,
@@ -153,17 +154,18 @@ def iterate_messages(
     from (src, dst, src_*, dst_* columns); ``merge(messages)`` groups them
     by ``dst`` into one row per receiver; ``update(vertices, merged, state)``
     returns the new vertices (receivers without a message keep their
-    attributes by a left join). Stops after ``max_iter`` supersteps or when
-    no message is sent. ``next_state(state)`` advances a driver value that
+    attributes by a left join). Stops when no message is sent, or after
+    ``max_iter`` supersteps if the caller sets that many. ``next_state(state)`` advances a driver value that
     the callbacks turn into literals.
     """
     loop = Loop(checkpoint_every)
+    edges = loop.keep(edges)
     v = loop.step(vertices)
-    for _ in range(max_iter):
+    for _ in itertools.count() if max_iter is None else range(max_iter):
         src = v.select([F.col(c).alias(f"src_{c}") if c != "id" else F.col("id").alias("src") for c in v.columns])
         dst = v.select([F.col(c).alias(f"dst_{c}") if c != "id" else F.col("id").alias("dst") for c in v.columns])
         triplets = edges.join(src, "src").join(dst, "dst")
-        merged = merge(send(triplets, state))
+        merged = loop.keep(merge(send(triplets, state)))
         if merged.limit(1).count() == 0:
             break
         v = loop.step(update(v, merged, state))

@@ -69,7 +69,7 @@ def q_closeness(spark, sf_dir):
 def q_kpp(spark, sf_dir):
     e = edges(spark, sf_dir)
     n = vertices_of(e).count()
-    return G.kpp(G.closeness(e), n).select("id", _r("kpp"))
+    return G.kpp(G.closeness(e), n).select("id", G.significant(F.col("kpp"), 9).alias("kpp"))
 
 
 def q_betweenness(spark, sf_dir):
@@ -84,6 +84,31 @@ def q_strong_components(spark, sf_dir):
     return CC.strong_components(edges(spark, sf_dir))
 
 
+def forest_edges(spark, sf_dir):
+    """Customers and suppliers to their nations, nations to their regions and
+    back: as many weak components as regions, with hubs, and a strong one
+    (a region and its nations) in each."""
+    def key(name, col, base):
+        return (F.col(col) + base).cast("bigint").alias(name)
+
+    cust, supp, nat = (table(spark, sf_dir, t) for t in ("customer", "supplier", "nation"))
+    return (
+        cust.select(key("src", "c_custkey", 1_000_000_000), key("dst", "c_nationkey", 100))
+        .union(supp.select(key("src", "s_suppkey", 1_000_000), key("dst", "s_nationkey", 100)))
+        .union(nat.select(key("src", "n_nationkey", 100), key("dst", "n_regionkey", 0)))
+        .union(nat.select(key("src", "n_regionkey", 0), key("dst", "n_nationkey", 100)))
+        .distinct()
+    )
+
+
+def q_weak_components_forest(spark, sf_dir):
+    return CC.weak_components(forest_edges(spark, sf_dir))
+
+
+def q_strong_components_forest(spark, sf_dir):
+    return CC.strong_components(forest_edges(spark, sf_dir))
+
+
 def q_lpa_k(spark, sf_dir):
     return LP.label_propagation(edges(spark, sf_dir), steps=LPA_STEPS)
 
@@ -113,7 +138,7 @@ def q_measure_report(spark, sf_dir):
     rep = G.measure_report(
         edges(spark, sf_dir), 5, REPORT_RESETS, REPORT_PR_ITER, hits_iter=HITS_ITER, hits_tol=None
     )
-    return rep.select("measure", "position", "id", _r("score", 6))
+    return rep.select("measure", "position", "id", G.significant(F.col("score"), 6).alias("score"))
 
 
 QUERIES = {
@@ -129,6 +154,8 @@ QUERIES = {
     "betweenness": q_betweenness,
     "weak_components": q_weak_components,
     "strong_components": q_strong_components,
+    "weak_components_forest": q_weak_components_forest,
+    "strong_components_forest": q_strong_components_forest,
     "lpa_k": q_lpa_k,
     "lpa_partitioned": q_lpa_partitioned,
     "lpa_annealed": q_lpa_annealed,
@@ -161,7 +188,7 @@ def pagerank_sql(k: int, reset: float, digits: int = 6) -> str:
     return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, {digits}) AS rank FROM r{k}"
 
 
-def hits_sql(k: int) -> str:
+def hits_sql(k: int, digits: int = 9) -> str:
     parts = [GRAPH, "h0 AS (SELECT id, 1.0::DOUBLE AS hub FROM verts)"]
     for i in range(1, k + 1):
         parts.append(
@@ -176,7 +203,7 @@ def hits_sql(k: int) -> str:
         parts.append(f"h{i} AS MATERIALIZED (SELECT id, hub / (SELECT SUM(hub) FROM hr{i}) AS hub FROM hr{i})")
     return (
         "WITH " + ",\n".join(parts)
-        + f"\nSELECT h.id, round(h.hub, 9) AS hub, round(a.auth, 9) AS authority FROM h{k} h JOIN a{k} a USING (id)"
+        + f"\nSELECT h.id, round(h.hub, {digits}) AS hub, round(a.auth, {digits}) AS authority FROM h{k} h JOIN a{k} a USING (id)"
     )
 
 
@@ -201,19 +228,20 @@ SIMPLE = "se AS (SELECT DISTINCT src, dst FROM g_edges WHERE src <> dst)"
 UNDIRECTED = "ue AS (SELECT src, dst FROM se UNION SELECT dst, src FROM se)"
 
 
-def closeness_sql(kpp: bool) -> str:
+def closeness_sql(kpp: bool, raw: bool = False) -> str:
     parts = [GRAPH, SIMPLE] + bfs_sql("se", BFS_DEPTH, False)
     parts.append(
         "cl AS (SELECT s AS id, CASE WHEN SUM(d) > 0 THEN 1.0 / SUM(d) ELSE 0.0 END AS closeness FROM allp GROUP BY 1)"
     )
     if kpp:
-        return "WITH " + ",\n".join(parts) + (
-            "\nSELECT id, round(closeness / ((SELECT count(*) FROM verts) - 1), 9) AS kpp FROM cl"
-        )
-    return "WITH " + ",\n".join(parts) + "\nSELECT id, round(closeness, 9) AS closeness FROM cl"
+        score = "closeness / ((SELECT count(*) FROM verts) - 1)"
+        score = score if raw else f"printf('%.8e', {score})::DOUBLE"
+        return "WITH " + ",\n".join(parts) + f"\nSELECT id, {score} AS kpp FROM cl"
+    score = "closeness" if raw else "round(closeness, 9)"
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, {score} AS closeness FROM cl"
 
 
-def betweenness_sql() -> str:
+def betweenness_sql(raw: bool = False) -> str:
     parts = [GRAPH, SIMPLE, UNDIRECTED] + bfs_sql("ue", BFS_DEPTH, True)
     parts.append(
         """pd AS (SELECT sv.v AS id, SUM(sv.sigma * vt.sigma / st.sigma) AS b
@@ -221,14 +249,23 @@ def betweenness_sql() -> str:
   WHERE sv.d > 0 AND vt.d > 0 AND sv.d + vt.d = st.d GROUP BY 1)"""
     )
     parts.append("n AS (SELECT count(*)::DOUBLE AS n FROM verts)")
-    return "WITH " + ",\n".join(parts) + """
-SELECT v.id, round(COALESCE(pd.b, 0.0) / ((n - 1) * (n - 2)), 9) AS betweenness
+    score = "COALESCE(pd.b, 0.0) / ((n - 1) * (n - 2))"
+    score = score if raw else f"round({score}, 9)"
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT v.id, {score} AS betweenness
 FROM verts v LEFT JOIN pd USING (id), n"""
 
 
-def components_sql(strong: bool) -> str:
+FOREST_GRAPH = """g_edges AS (SELECT 1000000000 + c_custkey AS src, (100 + c_nationkey)::BIGINT AS dst FROM customer
+  UNION SELECT 1000000 + s_suppkey, 100 + s_nationkey FROM supplier
+  UNION SELECT 100 + n_nationkey, n_regionkey FROM nation
+  UNION SELECT n_regionkey, 100 + n_nationkey FROM nation),
+verts AS (SELECT src AS id FROM g_edges UNION SELECT dst FROM g_edges)"""
+
+
+def components_sql(strong: bool, graph: str = GRAPH) -> str:
     e = "se" if strong else "ue"
-    head = f"""WITH RECURSIVE {GRAPH}, {SIMPLE}, {UNDIRECTED},
+    head = f"""WITH RECURSIVE {graph}, {SIMPLE}, {UNDIRECTED},
 reach(a, b) AS (SELECT id, id FROM verts UNION SELECT r.a, e.dst FROM reach r JOIN {e} e ON e.src = r.b)"""
     if strong:
         return head + """
@@ -409,19 +446,21 @@ def measure_report_sql() -> str:
     parts = [
         ("in_degree", ORACLES["in_degree"], "in_degree"),
         ("out_degree", ORACLES["out_degree"], "out_degree"),
-        ("betweenness", betweenness_sql(), "betweenness"),
-        ("closeness", closeness_sql(False), "closeness"),
-        ("kpp", closeness_sql(True), "kpp"),
-        ("hub", hits_sql(HITS_ITER), "hub"),
-        ("authority", hits_sql(HITS_ITER), "authority"),
-    ] + [(f"pagerank_{r}", pagerank_sql(REPORT_PR_ITER, r, 12), "rank") for r in REPORT_RESETS]
+        ("betweenness", betweenness_sql(True), "betweenness"),
+        ("closeness", closeness_sql(False, True), "closeness"),
+        ("kpp", closeness_sql(True, True), "kpp"),
+        ("hub", hits_sql(HITS_ITER, 17), "hub"),
+        ("authority", hits_sql(HITS_ITER, 17), "authority"),
+    ] + [(f"pagerank_{r}", pagerank_sql(REPORT_PR_ITER, r, 17), "rank") for r in REPORT_RESETS]
     union = "\nUNION ALL ".join(
         f"SELECT '{name}' AS measure, id, {col}::DOUBLE AS score FROM ({sql})" for name, sql, col in parts
     )
     return f"""WITH m AS ({union})
-SELECT measure, position::INTEGER AS position, id, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY measure ORDER BY round(score, 9) DESC, id) AS position FROM m)
+SELECT measure, position::INTEGER AS position, id, printf('%.5e', score)::DOUBLE AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY measure ORDER BY printf('%.11e', score)::DOUBLE DESC, id) AS position FROM m)
 WHERE position <= 5"""
 
 
 ORACLES["measure_report"] = measure_report_sql()
+ORACLES["weak_components_forest"] = components_sql(False, FOREST_GRAPH)
+ORACLES["strong_components_forest"] = components_sql(True, FOREST_GRAPH)
