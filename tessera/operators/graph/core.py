@@ -30,28 +30,29 @@ def sequential_pairs(
     key_col: str = "event_type",
     order_cols: Sequence[str] = ("ts", "event_id"),
     node_col: str = "user_id",
-    bucket: str = "1 hour",
+    bucket_seconds: int = 3600,
 ) -> DataFrame:
     """(src, dst): every node followed by the next node of the same key in
     (ts, event_id) order, i.e. ``lead(node) OVER (PARTITION BY key ORDER
     BY ts, event_id)``, without one task per key: rows are windowed per
     (key, time bucket) and the last row of a bucket is linked to the first
     row of the next non-empty bucket through a small table of bucket heads
-    (one row per key and bucket)."""
+    (one row per key and bucket). Rows without a time come last, by the
+    other order columns."""
     ts = order_cols[0]
     b = events.select(
         F.col(key_col).alias("k"),
         *[F.col(c) for c in order_cols],
         F.col(node_col).alias("node"),
-        F.window(F.col(ts), bucket).start.alias("bk"),
+        F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / bucket_seconds).alias("bk"),
     )
-    w = Window.partitionBy("k", "bk").orderBy(*order_cols)
+    w = Window.partitionBy("k", "bk").orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
     inner = b.select("k", "bk", F.col("node").alias("src"), F.lead("node").over(w).alias("dst"))
     order_struct = F.struct(*[F.col(c) for c in order_cols])
     heads = b.groupBy("k", "bk").agg(
         F.min_by("node", order_struct).alias("first"), F.max_by("node", order_struct).alias("last")
     )
-    hw = Window.partitionBy("k").orderBy("bk")
+    hw = Window.partitionBy("k").orderBy(F.col("bk").asc_nulls_last())
     links = heads.select(F.col("last").alias("src"), F.lead("first").over(hw).alias("dst"))
     return inner.where(F.col("dst").isNotNull()).select("src", "dst").unionByName(
         links.where(F.col("dst").isNotNull())

@@ -15,7 +15,8 @@ from tessera.operators.graph import labelprop as LP
 from tessera.operators.graph.core import graph_counts, in_degree, out_degree, top_n, user_graph, vertices_of
 from tessera.sources.tables import table
 
-PR_ITER, PR_RESET = 10, 0.15
+PR_ITER, PR_RESET, PR_TOL = 10, 0.15, 0.001
+PR_UNROLLED = 40  # supersteps written out in the SQL twins of the tolerance mode
 HITS_ITER = 10
 LPA_STEPS = 5
 PLPA = dict(steps=2, partitions=2, seed=0)
@@ -53,9 +54,17 @@ def q_pagerank_k(spark, sf_dir):
     return G.pagerank(edges(spark, sf_dir), reset=PR_RESET, max_iter=PR_ITER).select("id", _r("rank", 6))
 
 
-def q_pagerank(spark, sf_dir):
-    """Tolerance mode (0.001), reset 0.15: no SQL twin (data-dependent loop)."""
-    return G.pagerank(edges(spark, sf_dir), reset=PR_RESET, max_iter=200, tol=0.001).select("id", _r("rank", 6))
+def q_pagerank(spark, sf_dir, reset=PR_RESET):
+    """Tolerance mode (0.001)."""
+    return G.pagerank(edges(spark, sf_dir), reset=reset, max_iter=200, tol=PR_TOL).select("id", _r("rank", 6))
+
+
+def q_pagerank_reset_low(spark, sf_dir):
+    return q_pagerank(spark, sf_dir, 0.05)
+
+
+def q_pagerank_reset_high(spark, sf_dir):
+    return q_pagerank(spark, sf_dir, 0.3)
 
 
 def q_hits_k(spark, sf_dir):
@@ -148,6 +157,8 @@ QUERIES = {
     "top_in_degree": q_top_in_degree,
     "pagerank_k": q_pagerank_k,
     "pagerank": q_pagerank,
+    "pagerank_reset_low": q_pagerank_reset_low,
+    "pagerank_reset_high": q_pagerank_reset_high,
     "hits_k": q_hits_k,
     "closeness": q_closeness,
     "kpp": q_kpp,
@@ -172,7 +183,7 @@ GRAPH = """g_edges AS (SELECT DISTINCT user_id AS src, nxt AS dst FROM (
 verts AS (SELECT src AS id FROM g_edges UNION SELECT dst FROM g_edges)"""
 
 
-def pagerank_sql(k: int, reset: float, digits: int = 6) -> str:
+def pagerank_sql(k: int, reset: float, digits: int = 6, tol: float | None = None) -> str:
     parts = [
         GRAPH,
         "od AS (SELECT src, count(*) AS outdeg FROM g_edges GROUP BY 1)",
@@ -185,7 +196,20 @@ def pagerank_sql(k: int, reset: float, digits: int = 6) -> str:
   FROM verts v LEFT JOIN (SELECT w.dst, SUM(r.rank * w.w) AS s FROM w JOIN r{i - 1} r ON r.id = w.src GROUP BY 1) x
   ON x.dst = v.id)"""
         )
-    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, {digits}) AS rank FROM r{k}"
+    if tol is None:
+        return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, {digits}) AS rank FROM r{k}"
+    # The first step whose largest change is within the tolerance.
+    parts += [
+        f"d{i} AS (SELECT {i} AS step, max(abs(a.rank - b.rank)) AS d FROM r{i} a JOIN r{i - 1} b USING (id))"
+        for i in range(1, k + 1)
+    ]
+    deltas = " UNION ALL ".join(f"SELECT * FROM d{i}" for i in range(1, k + 1))
+    ranks = " UNION ALL ".join(f"SELECT {i} AS step, id, rank FROM r{i}" for i in range(1, k + 1))
+    parts.append(f"stop AS (SELECT min(step) AS step FROM ({deltas}) WHERE d <= {tol!r})")
+    return (
+        "WITH " + ",\n".join(parts)
+        + f"\nSELECT id, round(rank, {digits}) AS rank FROM ({ranks}) JOIN stop USING (step)"
+    )
 
 
 def hits_sql(k: int, digits: int = 9) -> str:
@@ -331,6 +355,9 @@ ORACLES = {
     "top_in_degree": f"""WITH {GRAPH} SELECT dst AS id, count(*)::BIGINT AS in_degree FROM g_edges GROUP BY 1
   ORDER BY in_degree DESC, id LIMIT 5""",
     "pagerank_k": pagerank_sql(PR_ITER, PR_RESET),
+    "pagerank": pagerank_sql(PR_UNROLLED, PR_RESET, tol=PR_TOL),
+    "pagerank_reset_low": pagerank_sql(PR_UNROLLED, 0.05, tol=PR_TOL),
+    "pagerank_reset_high": pagerank_sql(PR_UNROLLED, 0.3, tol=PR_TOL),
     "hits_k": hits_sql(HITS_ITER),
     "closeness": closeness_sql(False),
     "kpp": closeness_sql(True),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators.bags import token_bag
 from tessera.operators.classify import majority_vote
-from tessera.operators.reshape import pivot, sequence_ids, unpivot
+from tessera.operators.reshape import pivot, sequence_ids, tag_union, unpivot
 from tessera.operators.similarity import knn_exact
 from tessera.plans import corpus as C
 from tessera.plans import graph as GP
@@ -52,6 +53,41 @@ def q_edge_list_roundtrip(spark, sf_dir):
     return io.read_long_pairs(spark, path, ("src", "dst"))
 
 
+def q_edge_list(spark, sf_dir):
+    """Edges written as text lines and read with the tolerant reader."""
+    path = scratch_path(spark, "edge-list")
+    io.write_long_pairs(GP.edges(spark, sf_dir), path, ("src", "dst"))
+    return io.read_edge_list(spark, path)
+
+
+def q_kv_log(spark, sf_dir):
+    """A key/value log (event type and value per line, in event order) written
+    as one sorted text file set, read back and numbered per file and line."""
+    path = scratch_path(spark, "kv-log")
+    ev = table(spark, sf_dir, "events").where(F.col("value").isNotNull())
+    ev.select(
+        F.concat_ws(" ", F.coalesce("event_type", F.lit("none")), F.col("event_id").cast("string")).alias("value"), "event_id"
+    ).repartitionByRange("event_id").sortWithinPartitions("event_id").select("value").write.text(path)
+    log = io.read_kv_log(spark, path)
+    # Event ids rise along the lines of every file.
+    place = Window.partitionBy("file").orderBy("value")
+    rows = log.withColumn("by_value", F.row_number().over(place) - 1)
+    return rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("bigint")).alias("ids"),
+        F.count_if(F.col("by_value") == F.col("line_no")).alias("in_order"),
+    )
+
+
+def q_tagged_union(spark, sf_dir):
+    """Balances of customers and suppliers as one tagged table."""
+    cust, supp = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    parts = {
+        "customer": cust.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance")),
+        "supplier": supp.select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance")),
+    }
+    return tag_union(parts, "kind")
+
+
 def q_knn_saved_model(spark, sf_dir):
     """Save the exact model (bag + labels), load it back, classify."""
     model = C.model(spark, sf_dir)
@@ -76,6 +112,9 @@ QUERIES = {
     "events_pivot": q_events_pivot,
     "events_records": q_events_records,
     "edge_list_roundtrip": q_edge_list_roundtrip,
+    "edge_list": q_edge_list,
+    "kv_log": q_kv_log,
+    "tagged_union": q_tagged_union,
     "knn_saved_model": q_knn_saved_model,
 }
 
@@ -95,6 +134,11 @@ UNION ALL SELECT day, event_type, 'total_value', total_value FROM daily""",
 SELECT seq, """
     + ", ".join(f"max(value) FILTER (WHERE event_type = '{t}') AS {t}" for t in EVENT_TYPES)
     + " FROM s GROUP BY seq",
+    "edge_list": f"WITH {GP.GRAPH} SELECT src, dst FROM g_edges",
+    "kv_log": """SELECT coalesce(event_type, 'none') AS key, count(*) AS n, sum(event_id)::BIGINT AS ids, count(*) AS in_order
+FROM events WHERE value IS NOT NULL GROUP BY 1""",
+    "tagged_union": """SELECT 'customer' AS kind, c_custkey AS key, c_acctbal AS balance FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier""",
     "edge_list_roundtrip": f"WITH {GP.GRAPH} SELECT src, dst FROM g_edges",
     "knn_saved_model": TX.ORACLES["knn_classify"],
 }

@@ -90,6 +90,15 @@ def test_records_of_null_keys_and_new_types(spark):
     assert "new" in pivot(seq.where("k is not null"), "seq", "k", "t").columns
 
 
+def test_pairs_of_rows_without_a_time(spark):
+    from tessera.operators.graph.core import sequential_pairs
+
+    rows = [("a", None, 9, 4), ("a", "2024-01-01 00:10:00", 1, 1), ("a", "2024-01-01 05:00:00", 2, 2), ("a", None, 3, 3)]
+    ev = spark.createDataFrame(rows, "event_type STRING, t STRING, event_id BIGINT, user_id BIGINT")
+    ev = ev.select("event_type", F.to_timestamp("t").alias("ts"), "event_id", "user_id")
+    assert sorted(tuple(r) for r in sequential_pairs(ev).collect()) == [(1, 2), (2, 3), (3, 4)]
+
+
 def test_ranking_does_not_depend_on_the_size_of_scores(spark):
     df = spark.createDataFrame([(1, 2.110001e-12), (2, 2.110002e-12)], "id BIGINT, x DOUBLE")
     keys = [r.k for r in df.select(G.significant(F.col("x"), 12).alias("k")).collect()]
