@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, mix64, written
+from .common import Batches, mix64, small_batches, written
 
 DIM = 512
 UNKNOWN = "und"
@@ -123,7 +123,7 @@ def _partial(dim: int):
 
     def run(batches: Batches) -> Batches:
         sums: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in small_batches(batches, 1, 1 << 23):  # eight bytes are held for each of its letters
             held: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 codes = trigrams(text.as_py())
