@@ -30,12 +30,13 @@ LONG_TEXT = 200
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("_t"))
-    unlike = (F.col("score") <= 0) | ((F.length("_row.text") >= LONG_TEXT) & (F.col("score") < LEAST_SCORE))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
-    judged = langid.predict(packed, model, [F.col("_row")], text="_t")
-    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & ~unlike).select("_row.*")
+    judged = docs.select(F.struct(*columns).alias("row"), langid.predicted(model, "text").alias("judged"))
+    unlike = (F.col("judged.score") <= 0) | (
+        (F.length("row.text") >= LONG_TEXT) & (F.col("judged.score") < LEAST_SCORE)
+    )
+    return judged.where((F.col("judged.lang_pred") != langid.UNKNOWN) & ~unlike).select("row.*")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,8 @@ The score is the cosine, cut to 0..1.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -169,46 +171,59 @@ def _centred(model: list[tuple[str, bytes]]) -> tuple[list[str], np.ndarray, np.
     return names, p / np.where(norms == 0, 1, norms), mean
 
 
-def _predict(model: list[tuple[str, bytes]], dim: int):
-    def run(batches: Batches) -> Batches:
-        names, profiles, mean = _centred(model) if model else ([], None, None)
-        known = _state.setdefault(f"known{dim}", _Known(dim))
-        for b in batches:
-            langs, scores = [], []
-            for x in b.column(b.num_columns - 1):
-                codes = trigrams(x.as_py() or "") if names else ()
-                if len(codes) == 0:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                codes, counts = np.unique(codes, return_counts=True)
-                v = (counts.astype(np.float32) @ known.rows(codes).astype(np.float32)).astype(np.float64)
-                v = v / max(np.linalg.norm(v), 1e-12) - mean
-                cos = profiles @ (v / max(np.linalg.norm(v), 1e-12))
-                best = int(np.argmax(np.round(cos, 9)))
-                langs.append(names[best])
-                scores.append(float(min(max(cos[best], 0.0), 1.0)))
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in range(b.num_columns - 1)], pa.array(langs), pa.array(scores, pa.float64())],
-                [*b.schema.names[:-1], "lang_pred", "score"],
-            )
+def _judge(model: list[tuple[str, bytes]], dim: int) -> Callable[[pa.Array], pa.Array]:
+    """(lang_pred, score) of every text of an Arrow column."""
+    names, profiles, mean = _centred(model) if model else ([], None, None)
+    known = _state.setdefault(f"known{dim}", _Known(dim))
+
+    def run(texts: pa.Array) -> pa.Array:
+        langs, scores = [], []
+        for x in texts:
+            codes = trigrams(x.as_py() or "") if names else ()
+            if len(codes) == 0:
+                langs.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            codes, counts = np.unique(codes, return_counts=True)
+            v = (counts.astype(np.float32) @ known.rows(codes).astype(np.float32)).astype(np.float64)
+            v = v / max(np.linalg.norm(v), 1e-12) - mean
+            cos = profiles @ (v / max(np.linalg.norm(v), 1e-12))
+            best = int(np.argmax(np.round(cos, 9)))
+            langs.append(names[best])
+            scores.append(float(min(max(cos[best], 0.0), 1.0)))
+        return pa.StructArray.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
+        )
 
     return run
 
 
-def predict(
-    docs: DataFrame, model: DataFrame, keep: list[Column], text: str = "text", dim: int = DIM, max_langs: int = 1000
-) -> DataFrame:
-    """``keep`` columns, lang_pred and score of every row. The model is read
-    once by the driver: at most ``max_langs`` vectors, else an error."""
+def predicted(
+    model: DataFrame, text: str | Column = "text", dim: int = DIM, max_langs: int = 1000
+) -> Column:
+    """Struct (lang_pred, score) of a text column. Only the text goes to
+    Python; the other columns of the row stay where they are. The model is
+    read once by the driver: at most ``max_langs`` vectors, else an error."""
     rows = model.limit(max_langs + 1).collect()
     if len(rows) > max_langs:
         raise ValueError(f"more than {max_langs} languages; raise max_langs")
-    kept = docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(
-        _predict([(r["lang"], bytes(r["v"])) for r in rows], dim), f"{schema}, lang_pred string, score double"
-    )
+    vectors = [(r["lang"], bytes(r["v"])) for r in rows]
+
+    @F.arrow_udf("lang_pred string, score double")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        judge = _judge(vectors, dim)
+        for texts in batches:
+            yield judge(texts)
+
+    return judged(text)
+
+
+def predict(
+    docs: DataFrame, model: DataFrame, keep: list[Column], text: str = "text", dim: int = DIM, max_langs: int = 1000
+) -> DataFrame:
+    """``keep`` columns, lang_pred and score of every row."""
+    judged = docs.select(*keep, predicted(model, text, dim, max_langs).alias("_judged"))
+    return judged.select(*judged.columns[:-1], "_judged.lang_pred", "_judged.score")
 
 
 def held_out(id_col: Column) -> Column:
