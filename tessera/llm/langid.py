@@ -36,6 +36,8 @@ from .common import Batches, mix64, small_batches, written
 DIM = 512
 UNKNOWN = "und"
 PARTS = 64
+SLICE = 1 << 21  # bytes of text that a task holds as trigrams at a time
+BOUND = 1 << 12  # trigrams bound at a time
 KNOWN_TRIGRAMS = 60_000  # bound trigrams that a worker keeps (DIM bytes each)
 
 
@@ -87,8 +89,8 @@ def bound(codes: np.ndarray, dim: int = DIM) -> np.ndarray:
 def bundle(codes: np.ndarray, counts: np.ndarray, dim: int = DIM) -> np.ndarray:
     """Sum of trigram vectors times counts, exact."""
     out = np.zeros(dim, np.int64)
-    for at in range(0, len(codes), 1 << 14):
-        part = slice(at, at + (1 << 14))
+    for at in range(0, len(codes), BOUND):
+        part = slice(at, at + BOUND)
         out += (counts[part].astype(np.float64) @ bound(codes[part], dim).astype(np.float64)).astype(np.int64)
     return out
 
@@ -125,7 +127,7 @@ def _partial(dim: int):
 
     def run(batches: Batches) -> Batches:
         sums: dict[str, np.ndarray] = {}
-        for b in small_batches(batches, 1, 1 << 23):  # eight bytes are held for each of its letters
+        for b in small_batches(batches, 1, SLICE):  # eight bytes are held for each of its letters
             held: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 codes = trigrams(text.as_py())

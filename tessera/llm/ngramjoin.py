@@ -106,7 +106,7 @@ def minhashes(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Batches) -> Batches:
-    for b in small_batches(batches, 2):
+    for b in small_batches(batches, 2, 1 << 18):
         sets, off = shingle_sets(b.column(2))
         sig = minhashes(sets, off)
         filled = off[:-1] < off[1:]
