@@ -161,14 +161,17 @@ def seeded_propagation(
     seed: int = 0,
     sweep_steps: int | None = None,
     reshuffle: bool = False,
+    decay_steps: int = 0,
 ) -> DataFrame:
     """(id, cluster): only ``seeds`` (ids) start labelled (with their own
-    id); propagate, then a sweep pass fills only vertices still unlabelled;
-    vertices never reached get -1."""
+    id); propagate, with falling acceptance in the last ``decay_steps``, then
+    a sweep pass of ``sweep_steps`` (else ``steps``) fills only vertices still
+    unlabelled; vertices never reached get -1."""
+    accept, total = annealing(steps, decay_steps)
     ids = vertices.select("id") if vertices is not None else vertices_of(edges)
     flagged = ids.join(seeds.select("id").distinct().withColumn("is_seed", F.lit(True)), "id", "left")
     lab = flagged.select("id", F.when(F.col("is_seed"), F.col("id")).alias("label"))
-    lab = propagate(lab, edges, steps, partitions, seed, reshuffle)
+    lab = propagate(lab, edges, total, partitions, seed, reshuffle, accept)
     lab = propagate(lab, edges, sweep_steps or steps, partitions, seed, reshuffle, sweep=True)
     return lab.select("id", F.coalesce(F.col("label"), F.lit(-1)).alias("cluster"))
 
@@ -212,5 +215,8 @@ def cluster(edges: DataFrame, algorithm: str, vertices: DataFrame | None = None,
         )
     if algorithm == "authorities":
         seeds = central_vertices(edges, opts.get("centrality", "hubs"), opts.get("n", 10))
-        return seeded_propagation(edges, seeds, ids, steps, opts.get("partitions", 1), seed)
+        return seeded_propagation(
+            edges, seeds, ids, steps, opts.get("partitions", 1), seed, reshuffle=opts.get("reshuffle", False),
+            decay_steps=opts.get("decay_steps", 0),
+        )
     raise ValueError(f"unknown algorithm {algorithm!r}")

@@ -136,6 +136,13 @@ def q_lpa_seeded(spark, sf_dir):
     return LP.seeded_propagation(e, seeds, steps=SEEDED["steps"])
 
 
+def q_lpa_seeded_annealed(spark, sf_dir):
+    """Seeds by in-degree, with falling acceptance before the sweep."""
+    return LP.cluster(
+        edges(spark, sf_dir), "authorities", centrality="indeg", n=SEEDED["n"], **ANNEAL
+    )
+
+
 def q_random_clusters(spark, sf_dir):
     return LP.random_clusters(vertices_of(edges(spark, sf_dir)), RANDOM_P, 0)
 
@@ -171,6 +178,7 @@ QUERIES = {
     "lpa_partitioned": q_lpa_partitioned,
     "lpa_annealed": q_lpa_annealed,
     "lpa_seeded": q_lpa_seeded,
+    "lpa_seeded_annealed": q_lpa_seeded_annealed,
     "random_clusters": q_random_clusters,
     "measure_report": q_measure_report,
 }
@@ -373,6 +381,13 @@ ORACLES = {
         extra=[_SEEDS],
         sweep_steps=SEEDED["steps"],
     ),
+    "lpa_seeded_annealed": lpa_sql(
+        _tot,
+        accept=_acc,
+        init="SELECT v.id, CASE WHEN s.id IS NOT NULL THEN v.id END AS label FROM verts v LEFT JOIN seeds s USING (id)",
+        extra=[_SEEDS.replace("src", "dst")],
+        sweep_steps=ANNEAL["steps"],
+    ),
     "random_clusters": f"""WITH {GRAPH} SELECT id, (({h32_sql('id', 'slice', 0)} * {RANDOM_P}) >> 32)::BIGINT AS cluster
   FROM verts""",
 }

@@ -3,8 +3,9 @@
 * HyperLogLog: the registers are a plain streaming aggregate,
   ``groupBy(g, idx).agg(max(rank))``; Spark's state store keeps at most
   2^p rows per group and the checkpoint makes it exactly-once. Each trigger
-  writes the complete (small) register table; the estimate is a batch query
-  over it.
+  writes the complete (small) register table as version ``batch_id`` and
+  removes versions older than the previous one, so a reader always finds a
+  whole table; the estimate is a batch query over the latest.
 * K-min-values: ``foreachBatch`` merges the batch's k smallest distinct
   hashes per group into the previous version of a small state table and
   writes version ``batch_id``. A replayed batch recomputes the same version
@@ -54,6 +55,14 @@ def _drop_version(spark: SparkSession, state_dir: str, v: int) -> None:
         fs.delete(p, True)
 
 
+def _latest(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The last whole version."""
+    vs = _versions(spark, state_dir)
+    if not vs:
+        raise ValueError("no state written yet")
+    return spark.read.parquet(f"{state_dir}/v={vs[-1]}")
+
+
 def hll_stream(
     stream: DataFrame,
     value_col: str,
@@ -78,7 +87,11 @@ def hll_stream(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        s = batch.sparkSession
+        older = [v for v in _versions(s, out_dir) if v < batch_id]
+        batch.write.mode("overwrite").parquet(f"{out_dir}/v={batch_id}")
+        for v in older[:-1]:
+            _drop_version(s, out_dir, v)
 
     q = (
         regs.writeStream.outputMode("complete")
@@ -91,7 +104,7 @@ def hll_stream(
 
 
 def hll_stream_estimate(spark: SparkSession, out_dir: str, p: int, group_cols=None) -> DataFrame:
-    return K.hll_estimate(spark.read.parquet(out_dir), p, group_cols)
+    return K.hll_estimate(_latest(spark, out_dir), p, group_cols)
 
 
 def kmv_stream(
@@ -132,11 +145,7 @@ def kmv_stream(
 
 def kmv_stream_estimate(spark: SparkSession, state_dir: str, k: int, group_cols=None) -> DataFrame:
     g = K._groups(group_cols)
-    vs = _versions(spark, state_dir)
-    if not vs:
-        raise ValueError("no state written yet")
-    latest = spark.read.parquet(f"{state_dir}/v={vs[-1]}")
-    return K.kmv_estimate(K.kmv_merge(latest, k=k, group_cols=g), k, g)
+    return K.kmv_estimate(K.kmv_merge(_latest(spark, state_dir), k=k, group_cols=g), k, g)
 
 
 def streaming_distinct(

@@ -125,6 +125,16 @@ def test_seeded_propagation_and_sweep(spark):
     assert got[10] == -1 and got[11] == -1
 
 
+def test_seeded_propagation_with_decay(spark):
+    ed = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 4), (10, 11)]
+    ids = sorted({x for p in ed for x in p})
+    acc, total = LP.annealing(2, 2)
+    lab = simulate_lpa(ed, ids, total, accept=acc, labels={i: (i if i in (1, 6) else None) for i in ids})
+    lab = simulate_lpa(ed, ids, 2, labels=lab, sweep=True)
+    got = as_dict(LP.seeded_propagation(edges_df(spark, ed), ids_df(spark, [1, 6]), steps=2, decay_steps=2), "cluster")
+    assert got == {k: (v if v is not None else -1) for k, v in lab.items()}
+
+
 def test_random_clusters_partition(spark):
     v = ids_df(spark, list(range(200)))
     rc = LP.random_clusters(v, 7, 3).collect()

@@ -2,7 +2,7 @@
 from tessera.operators import cardinality as K
 from tessera.session import scratch_path
 from tessera.sources.tables import table
-from tessera.streaming.distinct import hll_stream, hll_stream_estimate, kmv_stream, kmv_stream_estimate
+from tessera.streaming.distinct import _versions, hll_stream, hll_stream_estimate, kmv_stream, kmv_stream_estimate
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,6 +18,8 @@ def test_stream_equals_batch_hll(spark):
     ev, st = _stream(spark)
     q, out = hll_stream(st, "user_id", 6, "event_type")
     q.awaitTermination()
+    # at least the version before the last stays for readers that opened it
+    assert _versions(spark, out) == [1, 2]
     got = sorted(hll_stream_estimate(spark, out, 6, "event_type").collect())
     want = sorted(K.hll_count(ev, "user_id", 6, "event_type").collect())
     assert got == want
