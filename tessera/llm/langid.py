@@ -224,8 +224,8 @@ def predict(
     docs: DataFrame, model: DataFrame, keep: list[Column], text: str = "text", dim: int = DIM, max_langs: int = 1000
 ) -> DataFrame:
     """``keep`` columns, lang_pred and score of every row."""
-    judged = docs.select(*keep, predicted(model, text, dim, max_langs).alias("_judged"))
-    return judged.select(*judged.columns[:-1], "_judged.lang_pred", "_judged.score")
+    judged = docs.select(F.struct(*keep).alias("row"), predicted(model, text, dim, max_langs).alias("judged"))
+    return judged.select("row.*", "judged.*")
 
 
 def held_out(id_col: Column) -> Column:

@@ -418,6 +418,16 @@ def test_language(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
 
 
+def test_language_keeps_columns_of_any_name(spark):
+    rows = [(1, "the sun and the sea", "en", 5, "x"), (2, None, "en", 6, "y"), (3, "der wald und das meer", "de", 7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, judged int, row string")
+    got = langid.predict(df, langid.train(df), [F.col(c) for c in df.columns])
+    assert got.columns == [*df.columns, "lang_pred", "score"]
+    assert sorted((r.doc_id, r.judged, r.row, r.lang_pred) for r in got.collect()) == [
+        (1, 5, "x", "en"), (2, 6, "y", "und"), (3, 7, None, "de"),
+    ]
+
+
 def test_bundle_is_the_sum_of_bound_letters():
     codes = langid.trigrams("Abc, abC!")
     assert len(codes) == 7  # _ab abc bc_ c_a _ab abc bc_
