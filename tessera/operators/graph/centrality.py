@@ -183,7 +183,6 @@ def bfs_levels(
     max_depth: int | None = None,
     checkpoint_every: int = 2,
     owner: Loop | None = None,
-    prune: bool = False,
 ) -> DataFrame:
     """(s, v, dist[, sigma]) for every v reachable from source s (dist 0 for
     v = s); sigma = number of shortest s-v paths.
@@ -191,14 +190,8 @@ def bfs_levels(
     One level per superstep: the frontier joined to the out-edges, and one
     ``groupBy(s, v)`` over those candidates together with the pairs already
     reached (a tagged union instead of a second, anti-join shuffle).
-    With ``prune`` a source leaves the frontier once it has reached every
-    vertex of its weak component (an upper bound of what it can reach):
-    it has nothing left to find, so the result is unchanged, but on dense
-    graphs the last levels stop expanding millions of finished sources.
     Cached levels belong to ``owner`` (the caller releases them once its
     result is checkpointed)."""
-    from tessera.operators.graph.components import weak_components
-
     owner = owner or Loop(checkpoint_every)
     e = owner.keep(simple_edges(edges))
     ids = _ids(vertices, edges)
@@ -209,15 +202,6 @@ def bfs_levels(
         *([F.lit(1.0).alias("sigma")] if with_paths else []),
     )
     frontier = owner.keep(frontier)
-    left = None
-    if prune:
-        comp = weak_components(e, ids)
-        size = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        left = owner.keep(
-            comp.join(size, "component")
-            .join(src, "id", "left_semi")
-            .select(F.col("id").alias("s"), (F.col("size") - 1).alias("left"))
-        )
     levels = [frontier]
     seen = frontier.select("s", "v")
     d = 0
@@ -242,12 +226,6 @@ def bfs_levels(
         seen = seen.unionByName(nxt.select("s", "v"))
         seen = _cut(seen) if d % checkpoint_every == 0 else owner.keep(seen)
         frontier = nxt
-        if left is not None:
-            found = nxt.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-            left = owner.keep(
-                left.join(found, "s", "left").select("s", (F.col("left") - F.coalesce("n", F.lit(0))).alias("left"))
-            )
-            frontier = nxt.join(left.where(F.col("left") > 0).select("s"), "s", "left_semi")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

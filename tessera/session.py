@@ -69,16 +69,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     iterative jobs from growing."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    return path[len("file:") :] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir(path), exist_ok=True)
