@@ -4,9 +4,8 @@
 returns a DataFrame, which is written as Parquet and read again as the next
 one's documents. All but the last return the columns of ``documents``.
 
-1. ``language_id``: documents without a letter or unlike all languages that
-   were learned (score 0) go, and those of 200 characters and more that are
-   hardly like any (score under 0.05).
+1. ``language_id``: documents without a letter go, and those of any length
+   that are no more like a learned language than chance.
 2. ``ngram_jaccard_join``: of each class of near duplicates the document with
    the least id stays.
 3. ``benchmark_decontamination``: documents that contain a benchmark item go.
@@ -25,18 +24,12 @@ from tessera.llm import decontam, langid, mixing, ngramjoin, tokenfile
 from tessera.llm.common import read_table, written
 from tessera.llm.queries import END_ID, TOKENIZER
 
-LEAST_SCORE = 0.05
-LONG_TEXT = 200
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
-    judged = docs.select(F.struct(*columns).alias("row"), langid.predicted(model, "text").alias("judged"))
-    unlike = (F.col("judged.score") <= 0) | (
-        (F.length("row.text") >= LONG_TEXT) & (F.col("judged.score") < LEAST_SCORE)
-    )
-    return judged.where((F.col("judged.lang_pred") != langid.UNKNOWN) & ~unlike).select("row.*")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))), dim=langid.LIKE_DIM)
+    judged = docs.select(F.struct(*columns).alias("row"), langid.alike(model, "text").alias("alike"))
+    return judged.where("alike").select("row.*")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

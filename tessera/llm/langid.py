@@ -20,10 +20,19 @@ Null texts and texts without a letter are ``und`` with score 0; ties go to the
 first language by name; null languages are not learned; with nothing to learn
 from everything is ``und``. Repeated rows are learned as often as they occur.
 The score is the cosine, cut to 0..1.
+
+``alike`` tells whether a text is like any learned language at all, by the
+cosines without that centring. The cosine of a text with nothing in common
+with a prototype is noise of standard deviation ``1 / sqrt(dim)`` whatever the
+text's length, so the limit follows from ``dim`` and the number of languages
+(``noise_limit``). A trigram's products with the prototypes are kept instead of
+its vector, so that many dimensions cost little.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +48,8 @@ PARTS = 64
 SLICE = 1 << 21  # bytes of text that a task holds as trigrams at a time
 BOUND = 1 << 12  # trigrams bound at a time
 KNOWN_TRIGRAMS = 60_000  # bound trigrams that a worker keeps (DIM bytes each)
+LIKE_DIM = 8192  # dimensions of the profiles that ``alike`` is given
+CHANCE = 1e-3  # bound on the share of texts unlike all languages that pass as alike
 
 
 def _letter_table() -> np.ndarray:
@@ -89,8 +100,9 @@ def bound(codes: np.ndarray, dim: int = DIM) -> np.ndarray:
 def bundle(codes: np.ndarray, counts: np.ndarray, dim: int = DIM) -> np.ndarray:
     """Sum of trigram vectors times counts, exact."""
     out = np.zeros(dim, np.int64)
-    for at in range(0, len(codes), BOUND):
-        part = slice(at, at + BOUND)
+    step = max(1, BOUND * DIM // dim)
+    for at in range(0, len(codes), step):
+        part = slice(at, at + step)
         out += (counts[part].astype(np.float64) @ bound(codes[part], dim).astype(np.float64)).astype(np.int64)
     return out
 
@@ -99,10 +111,13 @@ class _Known:
     """Bound trigrams a worker has met; starts anew when full."""
 
     def __init__(self, dim: int):
-        self.dim = dim
+        self.dim, self.most = dim, KNOWN_TRIGRAMS
         self.codes = np.zeros(0, np.int64)
         self.vectors = np.zeros((0, dim), np.int8)
 
+    def made(self, codes: np.ndarray) -> np.ndarray:
+        return bound(codes, self.dim)
+
     def rows(self, codes: np.ndarray) -> np.ndarray:
         """Vectors of sorted distinct trigrams."""
         at = np.searchsorted(self.codes, codes)
@@ -111,12 +126,12 @@ class _Known:
             hit = self.codes[np.minimum(at, len(self.codes) - 1)] == codes
         if not hit.all():
             new = codes[~hit]
-            if len(self.codes) + len(new) > KNOWN_TRIGRAMS:
-                self.codes, self.vectors = np.zeros(0, np.int64), np.zeros((0, self.dim), np.int8)
+            if len(self.codes) + len(new) > self.most:
+                self.codes, self.vectors = self.codes[:0], self.vectors[:0]
                 new = codes
             merged = np.concatenate([self.codes, new])
             order = np.argsort(merged, kind="stable")
-            self.vectors = np.concatenate([self.vectors, bound(new, self.dim)])[order]
+            self.vectors = np.concatenate([self.vectors, self.made(new)])[order]
             self.codes = merged[order]
             at = np.searchsorted(self.codes, codes)
         return self.vectors[at]
@@ -228,6 +243,70 @@ def predict(
     return judged.select("row.*", "judged.*")
 
 
+def noise_limit(langs: int, dim: int) -> float:
+    """Cosine that a text unlike all languages exceeds with any of them in at
+    most ``CHANCE`` of cases (tail bound of the normal distribution)."""
+    return math.sqrt(2 * math.log(max(langs, 1) / CHANCE) / dim)
+
+
+class _Products(_Known):
+    """Products of trigrams a worker has met with unit prototypes, one column per language."""
+
+    def __init__(self, profiles: np.ndarray):
+        self.profiles = profiles
+        self.most = max(1, KNOWN_TRIGRAMS * DIM // (4 * len(profiles)))
+        self.step = max(1, BOUND * DIM // profiles.shape[1])
+        self.codes = np.zeros(0, np.int64)
+        self.vectors = np.zeros((0, len(profiles)), np.float32)
+
+    def made(self, codes: np.ndarray) -> np.ndarray:
+        parts = [codes[at : at + self.step] for at in range(0, len(codes), self.step)]
+        dim = self.profiles.shape[1]
+        return np.concatenate([bound(x, dim).astype(np.float32) @ self.profiles.T for x in parts])
+
+
+def _likeness(model: list[tuple[str, bytes]], dim: int) -> Callable[[str | None], float]:
+    """Highest cosine of a text with any prototype; -1 without a letter or language.
+    The length of a text's bundle is its expected one, of distinct trigrams."""
+    if not model:
+        return lambda text: -1.0
+    p = np.array([np.frombuffer(v, np.int64) for _, v in sorted(model)], dtype=np.float64)
+    norms = np.linalg.norm(p, axis=1, keepdims=True)
+    p = (p / np.where(norms == 0, 1, norms)).astype(np.float32)
+    key = "products", hashlib.sha256(p.tobytes()).digest()
+    if _state.get("products", (None,))[0] != key:
+        _state["products"] = key, _Products(p)
+    products = _state["products"][1]
+
+    def run(text: str | None) -> float:
+        codes = trigrams(text or "")
+        if len(codes) == 0:
+            return -1.0
+        codes, counts = np.unique(codes, return_counts=True)
+        counts = counts.astype(np.float64)
+        return float((counts @ products.rows(codes)).max() / math.sqrt(dim * (counts @ counts)))
+
+    return run
+
+
+def alike(model: DataFrame, text: str | Column = "text", dim: int = LIKE_DIM, max_langs: int = 1000) -> Column:
+    """Whether a text column is like any language of a model of ``dim``
+    dimensions, beyond chance. The model is read as in ``predicted``."""
+    rows = model.limit(max_langs + 1).collect()
+    if len(rows) > max_langs:
+        raise ValueError(f"more than {max_langs} languages; raise max_langs")
+    vectors = [(r["lang"], bytes(r["v"])) for r in rows]
+    limit = noise_limit(len(vectors), dim)
+
+    @F.arrow_udf("boolean")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        like = _likeness(vectors, dim)
+        for texts in batches:
+            yield pa.array([like(x.as_py()) > limit for x in texts], pa.bool_())
+
+    return judged(text)
+
+
 def held_out(id_col: Column) -> Column:
     """crc32 of the id's text mod 3 is 1 (null id: of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))), F.lit(3)) == 1
