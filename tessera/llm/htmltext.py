@@ -76,7 +76,8 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+# Every attribute in turn, quoted values whole; a stray quoted text has no name.
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -102,7 +103,7 @@ def _is_noise(tag: str, attrs: str, inside: bool) -> bool:
                 return True
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return tag != "main"
-        else:
+        elif name in ("class", "id"):
             words = {w.lower() for w in _WORDS.findall(value)}
             if words & COMMENT_WORDS or (tag not in ("article", "main") and words & NOISE_WORDS):
                 return True

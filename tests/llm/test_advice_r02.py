@@ -3,10 +3,11 @@
 import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import common, langid
+from tessera.llm import common, htmltext, langid
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -39,3 +40,17 @@ def test_unlearned_scripts_go_and_clean_short_texts_stay(spark):
         own = short[(3, 5, 10).index(n) :: 3]
         assert sum(s[0] in left for s in own) >= (0.97 if n == 3 else 0.99) * len(own)
     assert sum(r.doc_id in left for r in clean) == len(clean)
+
+
+# --- op4: attributes --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<article style="overflow:hidden"><h1 title="The hidden truth">T</h1><p>yes</p></article>', "T yes"),
+    ('<article><p>a <a href="/hidden-gems">b</a> <a href="/p?id=related">c</a> <a href=/hidden>d</a></p></article>', "a b c d"),
+    ("<article><div data-id='promo'>a</div><div data-class=ad aria-label=hidden>b</div><p title='x class=\"ad\"'>c</p></article>", "a b c"),
+    ('<article><p>a</p><div HIDDEN>b</div><div Class="x ad">c</div><div id=related>d</div><div aria-hidden = true>e</div>'
+     "<div data-x='1' role='navigation'>f</div></article>", "a"),
+])
+def test_only_whole_attribute_names_make_noise(page, text):
+    assert htmltext.main_text(page) == text
