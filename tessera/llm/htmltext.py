@@ -4,11 +4,12 @@ Every node of a page's tree gets a density: its characters outside links per
 tag below it (a node without tags counts one). A node's score is the sum of
 its children's densities; the node with the highest score is the core. The
 least density on the path from the body to the core is the page's threshold.
-From the core the selection climbs to the enclosing ``article`` or ``main``
-element, else out of paragraphs, headings, lists and inline markup to the
-first block that holds them, and on to the body as long as the blocks beside
-it are text by that threshold (dense, or paragraphs and headings, and not
-mostly links). All text of the selected subtree is returned.
+If an ``article`` or ``main`` element encloses the core, all its text is
+returned. Else the core is widened out of paragraphs, headings, lists and inline
+markup to the first block that holds them, and every block of the page beside
+the path from the body to it (or in the body, if that is the core) is kept
+unless it is mostly links, or has links, no text paragraph and less density
+than the threshold.
 
 Before that, nodes that are never main text are cut: menus, footers, sidebars,
 forms, scripts, styles and the like by tag, role or the words of their class
@@ -69,7 +70,7 @@ SIBLINGS = {
 INNER = frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dd dt blockquote pre table tbody thead tr td th figure figcaption".split()
 )
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre".split())
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
@@ -82,13 +83,14 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "chars", "link", "tags", "density", "score")
+    __slots__ = ("tag", "parent", "children", "noise", "chars", "link", "tags", "density", "score", "prose")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool = False):
         self.tag, self.parent, self.noise = tag, parent, noise
         self.children: list[Node | str] = []
         self.chars = self.link = self.tags = 0
         self.density = self.score = 0.0
+        self.prose = False  # has a paragraph that is not mostly links
 
 
 def _is_noise(tag: str, attrs: str, inside: bool) -> bool:
@@ -180,6 +182,13 @@ def _within(n: Node | None, *tags: str):
         n = n.parent
 
 
+def _above(n: Node):
+    """The parents of a node, up to the body."""
+    while n.tag != "body":
+        n = n.parent
+        yield n
+
+
 def _order(root: Node) -> list[Node]:
     """Nodes that are not noise, parents first."""
     out, todo = [], [root]
@@ -199,21 +208,23 @@ def _measure(nodes: list[Node]) -> None:
                     n.link += c.chars if c.tag == "a" else c.link
                     n.tags += c.tags + 1
                     n.score += c.density
+                    n.prose |= c.prose
             else:
                 n.chars += len("".join(c.split()))
         if n.tag == "a":
             n.link = n.chars
         n.density = (n.chars - n.link) / max(n.tags, 1)
+        n.prose |= n.tag in PARAGRAPHS and n.chars > 0 and n.link * 2 <= n.chars
 
 
 def _is_text(n: Node, threshold: float) -> bool:
     if n.chars == 0 or n.link * 2 > n.chars:
         return False
-    return n.tag in HEADINGS or n.tag in INNER or n.density >= threshold
+    return n.link == 0 or n.tag in INNER or n.prose or n.density >= threshold
 
 
-def _collect(n: Node, keep: set[int] | None) -> str:
-    """Text of a subtree; ``keep`` limits the children of ``n`` itself."""
+def _collect(n: Node, cut: set[int]) -> str:
+    """Text of a subtree without the nodes of ``cut``."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -223,24 +234,21 @@ def _collect(n: Node, keep: set[int] | None) -> str:
             blocks.append(words)
         run.clear()
 
-    todo: list[tuple[Node | str | None, bool]] = [(n, True)]
+    todo: list[Node | str | None] = [n]
     while todo:
-        x, first = todo.pop()
+        x = todo.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
             run.append(_html.unescape(x))
-        elif not x.noise:
+        elif not x.noise and id(x) not in cut:
             if x.tag == "br":
                 run.append(" ")
                 continue
             if x.tag in BLOCKS:
                 flush()
-                todo.append((None, False))
-            kids = x.children if not (first and keep is not None) else [
-                c for c in x.children if isinstance(c, str) or id(c) in keep
-            ]
-            todo.extend((c, False) for c in reversed(kids))
+                todo.append(None)
+            todo.extend(reversed(x.children))
     flush()
     return " ".join(blocks)
 
@@ -259,24 +267,18 @@ def main_text(page: str | None) -> str:
     path = list(_within(core, *{n.tag for n in nodes}))
     threshold = min((n.density for n in path if n is not root), default=0.0)
     for holder in _within(core, "article", "main"):
-        return _collect(holder, None)
+        return _collect(holder, set())
     while core is not body and (core.tag in INNER or core.tag not in BLOCKS):
         core = core.parent
-    trunk = {id(core)}
-    while core is not body:
-        beside = [c for c in core.parent.children if isinstance(c, Node) and not c.noise and c is not core]
-        if not any(_is_text(c, threshold) for c in beside):
-            break
-        core = core.parent
-        trunk.add(id(core))
-    if core is body:
-        keep = trunk | {
-            id(c)
-            for c in body.children
-            if isinstance(c, Node) and not c.noise and (c.tag not in BLOCKS or _is_text(c, threshold))
-        }
-        return _collect(body, keep)
-    return _collect(core, None)
+    trunk = [core] if core is body else list(_above(core))
+    kept = {id(core), *map(id, trunk)}
+    cut = {
+        id(c)
+        for n in trunk
+        for c in n.children
+        if isinstance(c, Node) and id(c) not in kept and c.tag in BLOCKS and not _is_text(c, threshold)
+    }
+    return _collect(body, cut)
 
 
 def _extract(batches: Batches) -> Batches:

@@ -54,3 +54,24 @@ def test_unlearned_scripts_go_and_clean_short_texts_stay(spark):
 ])
 def test_only_whole_attribute_names_make_noise(page, text):
     assert htmltext.main_text(page) == text
+
+
+# --- op4: pages without article or main ---------------------------------------------
+
+
+def paragraphs(word, n, chars):
+    return f"<p>{word * (chars // len(word))}</p>" * n
+
+
+LINKS = "<div><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></div>"
+
+
+@pytest.mark.parametrize("page,counts", [
+    (f"<body><section>{paragraphs('a', 5, 300)}</section><section>{paragraphs('b', 5, 150)}</section></body>", (1500, 750)),
+    (f"<body>{LINKS}<div>{'a' * 400}</div><div>bb</div><div>{'a' * 200}</div><div>b</div></body>", (600, 3)),
+    (f"<body><div><section>{paragraphs('a', 5, 300)}</section></div>{LINKS}<div><div>{paragraphs('b', 2, 30)}</div></div></body>", (1500, 60)),
+    (f"<body><div>{paragraphs('a', 5, 300)}</div><div>b <a href=x>N</a><b>,</b> <i>,</i></div></body>", (1500, 0)),
+])
+def test_blocks_beside_the_core_are_kept(page, counts):
+    text = htmltext.main_text(page)
+    assert (text.count("a"), text.count("b")) == counts and "Home" not in text and "News" not in text
