@@ -74,12 +74,9 @@ def q_kmv_tokens(spark, sf_dir):
 
 
 def q_hll_merge(spark, sf_dir):
-    """Sketch each event type, then merge the sketches into one."""
-    hashed = _events(spark, sf_dir)
-    per_type = K.hll_registers(hashed, MERGE_P, "event_type")
-    parts = [per_type.where(F.col("event_type") == t).drop("event_type") for t in ("click", "view")]
-    rest = per_type.where(~F.col("event_type").isin("click", "view")).drop("event_type")
-    merged = K.hll_merge(*parts, rest)
+    """Sketch each event type (null is one too), then merge the sketches into one."""
+    per_type = K.hll_registers(_events(spark, sf_dir), MERGE_P, "event_type")
+    merged = K.hll_merge(per_type.drop("event_type"))
     return K.hll_estimate(merged, MERGE_P).select("registers_used", F.round("estimate", 4).alias("estimate"))
 
 

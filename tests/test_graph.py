@@ -163,7 +163,7 @@ def test_iterate_messages_max_propagation(spark):
 
 def test_sequential_pairs_match_lead(spark):
     ev = table(spark, "/root/testdata/sf0.001", "events")
-    got = sorted((r.src, r.dst) for r in sequential_pairs(ev, bucket="1 hour").collect())
+    got = sorted((r.src, r.dst) for r in sequential_pairs(ev, bucket_seconds=7200).collect())
     pdf = ev.select("event_type", "ts", "event_id", "user_id").toPandas()
     pdf = pdf.sort_values(["event_type", "ts", "event_id"])
     pdf["nxt"] = pdf.groupby("event_type")["user_id"].shift(-1)

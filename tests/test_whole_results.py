@@ -127,3 +127,13 @@ def test_building_a_plan_starts_no_job(spark):
         assert all(t == 1 for t in tasks) and len(tasks) <= 12
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_events_without_type_or_value_are_kept(spark, tmp_path):
+    from tessera.plans import cardinality, reshape
+
+    rows = [(i, 10 + i, t, v) for i, (t, v) in enumerate([("click", 1.0), (None, 2.0), ("view", None), (None, None), ("buy", 3.0)])]
+    ev = spark.createDataFrame(rows, "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
+    ev.write.parquet(f"{tmp_path}/events.parquet")
+    assert cardinality.q_hll_merge(spark, str(tmp_path)).first().registers_used == 5
+    assert {r.key: r.n for r in reshape.q_kv_log(spark, str(tmp_path)).collect()} == {"click": 1, "view": 1, "buy": 1, "none": 2}
