@@ -15,34 +15,64 @@ from tessera.session import cut_lineage
 TRIMS = 2
 
 
-def weak_components(
-    edges: DataFrame, vertices: DataFrame | None = None, max_iter: int | None = None, checkpoint_every: int = 2
-) -> DataFrame:
-    """(id, component). Min-label propagation over undirected edges with
-    pointer jumping (label := label of label), so long paths need about
-    log(diameter) rounds instead of diameter rounds. The jump joins on the
-    label, whose hot values (a giant component) AQE's skew join splits. Runs to
-    the fixed point; with ``max_iter`` it is an error not to reach it."""
-    loop = Loop(checkpoint_every)
-    ids = loop.keep(vertices.select("id") if vertices is not None else vertices_of(edges))
-    und = loop.keep(simple_edges(edges, directed=False))
-    lab = loop.step(ids.select("id", F.col("id").alias("label")))
+def star_components(pairs: DataFrame, max_iter: int | None = None) -> DataFrame:
+    """(id, component) of every id in ``pairs(src, dst)``: the least id of its
+    component, by alternating large and small stars on a shrinking edge table.
+
+    Large star: every edge u > v becomes u - (least id next to v). Small star:
+    the smaller neighbours of a vertex are tied to the least of them. Distances
+    about halve, so long paths need about log2(length) rounds. A vertex whose
+    only neighbour is smaller is a leaf: it takes that neighbour's component
+    later and leaves the table, so finished parts are not touched again and the
+    loop ends when no edge is left. Ids are of any one orderable type. The hot
+    keys (the centre of a large component) are join keys only, which AQE's skew
+    join splits; aggregates are partial before the shuffle."""
+    loop = Loop(1)
+    ends = pairs.where(F.col("src") != F.col("dst"))
+    alone = pairs.where(F.col("src") == F.col("dst")).select(F.col("src").alias("id"))
+    e = loop.step(ends.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
+    leaves = []
     for _ in _rounds(max_iter, "weak components"):
-        nb = (
-            und.join(lab.withColumnRenamed("id", "src"), "src")
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.min("label").alias("m"))
-        )
-        l1 = lab.join(nb, "id", "left").select("id", F.least("label", F.coalesce("m", "label")).alias("label"))
-        jump = l1.alias("a").join(l1.alias("b"), F.col("a.label") == F.col("b.id"), "left")
-        l2 = jump.select(
-            F.col("a.id").alias("id"), F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label")
-        )
-        old, lab = lab, loop.step(l2)
-        changed = lab.alias("n").join(old.alias("o"), "id").where(F.col("n.label") != F.col("o.label")).limit(1).count()
-        if changed == 0:
+        if e.isEmpty():
             break
-    return loop.finish(lab.select("id", F.col("label").alias("component")))
+        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        low = cut_lineage(low.withColumn("leaf", (F.col("n") == 1) & (F.col("m") < F.col("u"))))
+        leaves.append(low.where("leaf").select(F.col("u").alias("id"), F.col("m").alias("up")))
+        inner = low.where(~F.col("leaf")).select("u")
+        nearest = low.select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+        large = e.join(inner, "u", "left_semi").join(nearest, "v").select("u", F.col("m").alias("v")).distinct()
+        large = loop.keep(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        tied = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = loop.step(tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        loop.drop_kept()
+    found = None
+    for t in reversed(leaves):
+        if found is None:
+            up = t.select("id", F.col("up").alias("component"))
+        else:
+            over = found.select(F.col("id").alias("up"), "component")
+            up = t.join(over, "up", "left").select("id", F.coalesce("component", "up").alias("component"))
+        found = cut_lineage(up if found is None else found.unionByName(up))
+    roots = alone.unionByName(ends.select(F.least("src", "dst").alias("id"))).distinct()
+    roots = roots.select("id", F.col("id").alias("component"))
+    if found is not None:
+        roots = roots.join(found.select("id"), "id", "left_anti").unionByName(found)
+    return loop.finish(roots)
+
+
+def weak_components(
+    edges: DataFrame, vertices: DataFrame | None = None, max_iter: int | None = None
+) -> DataFrame:
+    """(id, component) by ``star_components``; with ``vertices``, those without
+    an edge are components of their own. Runs to the end; with ``max_iter`` it
+    is an error not to reach it."""
+    found = star_components(edges.select("src", "dst"), max_iter)
+    if vertices is None:
+        return found
+    rest = vertices.select("id").join(found.select("id"), "id", "left_anti")
+    return found.unionByName(rest.select("id", F.col("id").alias("component")))
 
 
 def _rounds(limit: int | None, what: str):

@@ -126,6 +126,12 @@ class Loop:
         self.extra.append(out)
         return out
 
+    def drop_kept(self) -> None:
+        """Unpersist what ``keep`` holds: inputs of one superstep only."""
+        for d in self.extra:
+            d.unpersist()
+        self.extra = []
+
     def release(self) -> None:
         for d in self.kept + self.extra:
             d.unpersist()

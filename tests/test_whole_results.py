@@ -1,5 +1,7 @@
 """Nothing is capped, dropped or left unfinished: cases beyond the fixtures."""
 
+import random
+
 import pytest
 from conftest import edges_df
 from pyspark.sql import functions as F
@@ -137,3 +139,34 @@ def test_events_without_type_or_value_are_kept(spark, tmp_path):
     ev.write.parquet(f"{tmp_path}/events.parquet")
     assert cardinality.q_hll_merge(spark, str(tmp_path)).first().registers_used == 5
     assert {r.key: r.n for r in reshape.q_kv_log(spark, str(tmp_path)).collect()} == {"click": 1, "view": 1, "buy": 1, "none": 2}
+
+
+def test_star_contraction_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    plain = CC._rounds
+    monkeypatch.setattr(CC, "_rounds", lambda limit, what: (rounds.append(i) or i for i in plain(limit, what)))
+    order = list(range(10_001))
+    random.Random(3).shuffle(order)
+    for ids in (list(range(10_001)), order):
+        rounds.clear()
+        got = CC.weak_components(edges_df(spark, list(zip(ids, ids[1:]))))
+        assert got.count() == 10_001 and got.where("component <> 0").isEmpty()
+        assert len(rounds) < 20
+
+
+def test_star_contraction_matches_union_find(spark):
+    rng = random.Random(8)
+    pairs = [(rng.randrange(900), rng.randrange(900)) for _ in range(500)]
+    pairs += [(2000, 3000 + i) for i in range(400)] + [(1500, 5000 + i) for i in range(400)] + [(2000, 1500), (7, 7), (9999, 9999)]
+    up = {x: x for p in pairs for x in p}
+
+    def root(x):
+        return x if up[x] == x else root(up[x])
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    assert {r.id: r.component for r in CC.star_components(edges_df(spark, pairs)).collect()} == {x: root(x) for x in up}
+    text = edges_df(spark, pairs).select(F.format_string("v%05d", "src").alias("src"), F.format_string("v%05d", "dst").alias("dst"))
+    assert CC.star_components(text).where("component > id").isEmpty()
+    assert CC.star_components(text.limit(0)).isEmpty()
