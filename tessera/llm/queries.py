@@ -2,8 +2,8 @@
 
 Each query applies one operator with its production parameters to its whole
 table. Twins are given where SQL can express the result; the trees (op3), the
-page tree (op4), the tokenizer (op5) and the trained classifiers (op8, op9)
-have none and are tested against brute force, round trips or held-out rows.
+page tree (op4), the tokenizer (op5), the trained classifiers (op8, op9) and
+the XXH64 fingerprints (op13) have none and are tested against brute force, round trips or held-out rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, langid, mixing, ngramjoin, quality, repeats, sketch, tokenfile, urlfilter
+from . import audit, decontam, gridcodes, htmltext, langid, mixing, ngramjoin, pivots, quality, repeats, sketch, tokenfile, urlfilter
 from .common import document_key, read_table, written
 
 # The rules of the URL filter (action, host, path).
@@ -109,11 +109,25 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded = gridcodes.encode(read_table(spark, sf, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.audit(audit.judge(read_table(spark, sf, "documents"), read_table(spark, sf, "labels")))
+
+
+def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    linked = pivots.near_components(read_table(spark, sf, "documents"))
+    return linked.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_repeats, op3_urls, op4_html, op5_tokens, op6_decontamination, op7_ngram_join, op8_language,
-        op9_quality, op10_fingerprints,
+        op9_quality, op10_fingerprints, op11_vector_codes, op12_filter_audit, op13_simhash,
     )
 }
 
@@ -298,10 +312,101 @@ SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
 FROM z
 """
 
+def _op11_sql(rounds: int = 6, entries: int = 16, parts: int = 8) -> str:
+    """Every round unrolled: nearest entries, then floored means of their parts."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096.0 * x) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) = 0
+), pieces AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x
+  FROM kept, range({parts}) t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, e, x FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM pieces)
+  WHERE e < {entries}
+)"""]
+    near = """
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, x, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT i.vec_id, i.p, i.x, b.e,
+           CAST(list_sum(list_transform(list_zip(i.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM pieces i JOIN book{k} b ON i.p = b.p)
+  GROUP BY vec_id, p, x
+)"""
+    for k in range(rounds):
+        steps.append(near.format(k=k))
+        steps.append(f"""
+sums{k} AS (
+  SELECT p, e, j, sum(x[j + 1]) AS s, count(*) AS c FROM near{k}, range(64) t(j) WHERE j < len(x) GROUP BY p, e, j
+), means{k} AS (
+  SELECT p, e, list(CAST((s - ((s % c) + c) % c) // c AS BIGINT) ORDER BY j) AS x FROM sums{k} GROUP BY p, e
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN means{k} m ON b.p = m.p AND b.e = m.e
+)""")
+    steps.append(near.format(k=rounds))
+    return f"""
+WITH {",".join(steps)}, sha AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+), coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id
+)
+SELECT c.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded c JOIN kept k ON c.vec_id = k.vec_id, sha
+"""
+
+
+_OP12 = f"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first_id FROM w GROUP BY text
+), j AS (
+  SELECT w.doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 3 * length(w.text) AS c,
+         regexp_matches(w.text, '[#$%&*|]') AS d, w.doc_id > first_id AS e
+  FROM w JOIN firsts ON w.text = firsts.text
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, if(a, 'A', '') || if(b, 'B', '') || if(c, 'C', '') || if(d, 'D', '') || if(coalesce(e, false), 'E', '') AS fails,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM j LEFT JOIN l ON j.doc_id = l.doc_id
+), g AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), r AS (
+  SELECT part, fails, n, good, toxic, o, step::INT AS step, substr(o, step::INT, 1) AS x,
+         len(regexp_replace(left(o, step::INT - 1), '[^' || fails || 'Z]', '', 'g')) > 0 AS earlier
+  FROM g, orders, range(1, 6) t(step)
+), s AS (
+  SELECT part, o AS filter_order, step, x,
+         coalesce(sum(n) FILTER (WHERE NOT earlier AND NOT contains(fails, x)), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT earlier AND contains(fails, x)), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE earlier AND contains(fails, x)), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = x), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT earlier AND contains(fails, x)), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT earlier AND contains(fails, x)), 0) AS toxic_lost
+  FROM r GROUP BY part, o, step, x
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM s
+"""
+
 ORACLES = {
     "op1_mixing": _OP1,
     "op2_repeats": _OP2,
     "op6_decontamination": _OP6,
     "op7_ngram_join": _OP7,
     "op10_fingerprints": _OP10,
+    "op11_vector_codes": _op11_sql(),
+    "op12_filter_audit": _OP12,
 }

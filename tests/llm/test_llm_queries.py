@@ -24,7 +24,7 @@ def test_registered():
     names = E.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.ORACLES) <= set(E.oracle_sql())
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", ["op1_mixing", "op6_decontamination", "op10_fingerprints"])
