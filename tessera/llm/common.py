@@ -88,6 +88,19 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     )
 
 
+_kept: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps from task to task, for one operator at a time:
+    when another one asks, the last one's is dropped."""
+    if owner not in _kept:
+        _kept.clear()
+        gc.collect()
+        _kept[owner] = {}
+    return _kept[owner]
+
+
 # --- numpy word hashing -----------------------------------------------------
 
 _SPACE = np.zeros(256, dtype=bool)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, mix64, small_batches, written
+from .common import Batches, mix64, small_batches, worker_cache, written
 
 DIM = 512
 UNKNOWN = "und"
@@ -60,13 +60,15 @@ def _letter_table() -> np.ndarray:
     return table
 
 
-_state: dict[str, object] = {}
+def _state() -> dict:
+    return worker_cache("langid")
 
 
 def _letters() -> np.ndarray:
-    if "letters" not in _state:
-        _state["letters"] = _letter_table()
-    return _state["letters"]
+    state = _state()
+    if "letters" not in state:
+        state["letters"] = _letter_table()
+    return state["letters"]
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -191,7 +193,7 @@ def _centred(model: list[tuple[str, bytes]]) -> tuple[list[str], np.ndarray, np.
 def _judge(model: list[tuple[str, bytes]], dim: int) -> Callable[[pa.Array], pa.Array]:
     """(lang_pred, score) of every text of an Arrow column."""
     names, profiles, mean = _centred(model) if model else ([], None, None)
-    known = _state.setdefault(f"known{dim}", _Known(dim))
+    known = _state().setdefault(f"known{dim}", _Known(dim))
 
     def run(texts: pa.Array) -> pa.Array:
         langs, scores = [], []
@@ -274,9 +276,10 @@ def _likeness(model: list[tuple[str, bytes]], dim: int) -> Callable[[str | None]
     norms = np.linalg.norm(p, axis=1, keepdims=True)
     p = (p / np.where(norms == 0, 1, norms)).astype(np.float32)
     key = "products", hashlib.sha256(p.tobytes()).digest()
-    if _state.get("products", (None,))[0] != key:
-        _state["products"] = key, _Products(p)
-    products = _state["products"][1]
+    state = _state()
+    if state.get("products", (None,))[0] != key:
+        state["products"] = key, _Products(p)
+    products = state["products"][1]
 
     def run(text: str | None) -> float:
         codes = trigrams(text or "")

@@ -35,12 +35,13 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from .common import Batches
+from .common import Batches, worker_cache
 
 BLOCK = 1 << 16
 SEGMENT = 1 << 20
 LEVEL = 3
-REMEMBERED = 1 << 20  # words a worker remembers (about 200 MB)
+REMEMBERED = 24 << 20  # bytes of words and ids in one generation of a worker's memory; two are kept
+ENTRY = 160  # bytes that a word takes besides its own and those of its ids
 LONG = 12  # bytes; longer words seldom come again and are not remembered
 
 SEGMENT_SCHEMA = (
@@ -102,11 +103,10 @@ def unpack(index: list[dict], body: bytes) -> np.ndarray:
 
 # --- tokenizing -------------------------------------------------------------
 
-_loaded: dict[str, _Words] = {}
-
-
 class _Words:
-    """A tokenizer's ids of single words, remembered by a worker."""
+    """A tokenizer's ids of single words, remembered by a worker in two
+    generations: when the young one is full the old one is dropped, so words
+    that come again stay and the bytes held are bounded."""
 
     def __init__(self, path: str):
         import os
@@ -127,6 +127,8 @@ class _Words:
             self.marked = np.zeros(max(vocab.values()) + 1, bool)
             self.marked[[i for w, i in vocab.items() if w.endswith(end)]] = True
         self.met: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _run(self, words: list[str]) -> list[bytes] | None:
         """Ids of words of small letters by one run, if they can be told apart."""
@@ -155,25 +157,30 @@ class _Words:
             low = raw.lower()
             raw = raw if any(x in low for x in self.special) else low
         words = raw.split()  # ASCII white space only: no tokenizer joins across it
-        met = self.met
-        new = list(set(words).difference(met))
+        met, old = self.met, self.old
+        new = set(words).difference(met)
+        if old:
+            met.update([(w, old[w]) for w in new if w in old])
+            new = new.difference(met)
         if new:
-            if len(met) > REMEMBERED:
-                met.clear()
-                new = list(set(words))
-            self.learn(new)
+            self.learn(list(new))
         out = np.frombuffer(b"".join([met[w] for w in words]), "<u4")
         for w in new:
             if len(w) > LONG:
                 del met[w]
+            else:
+                self.held += ENTRY + len(w) + len(met[w])
+        if self.held > REMEMBERED:
+            self.met, self.old, self.held = {}, met, 0
         return out
 
 
 def encode(text: bytes | str | None, path: str) -> np.ndarray:
     """Ids of a whole text, without special tokens."""
-    if path not in _loaded:
-        _loaded[path] = _Words(path)
-    return _loaded[path].encode(text.encode() if isinstance(text, str) else text or b"")
+    loaded = worker_cache("tokens")
+    if path not in loaded:
+        loaded[path] = _Words(path)
+    return loaded[path].encode(text.encode() if isinstance(text, str) else text or b"")
 
 
 def _encoder(path: str, end_id: int, planes: int, segment: int):
