@@ -13,8 +13,14 @@ least id of all documents connected by such links) and its number of links.
    again. Buckets of at most ``bucket`` sets are compared by brute force on
    their minhashes, generously (estimate 0.58 and more), and give a spanning
    forest of the candidate pairs. A pair of similarity 0.8 shares a bucket of a
-   given run with probability 0.8 per split; ``runs`` runs find it with
-   1 - (1 - 0.8^d)^runs, over 0.9999999 at one split and 0.99999 at two.
+   given run with probability 0.8 per split, so the number of runs follows from
+   the target recall: the least for which 1 - (1 - 0.8^d)^runs reaches it at
+   d = ``SPLITS`` splits.
+   Near copies never part, however often they are split. So before a large bucket
+   is split, one of its sets stands for it: the sets whose estimate with that one
+   reaches the similarity are tied to it as candidates and leave the bucket, and
+   only the rest and the head go on. A group of near copies is gone in a step or
+   two, and its rows grow with its size. Each run and bucket has a head of its own.
    Buckets that do not get small in ``depth`` splits are dealt out in blocks,
    each pair of blocks being one group, so none is dropped.
 3. *Verification.* The sets of each candidate component are brought together
@@ -31,6 +37,8 @@ spread over the cluster; rows do not.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,7 +60,8 @@ from .common import (
 
 SHINGLE = 5
 COORDINATES = 64
-RUNS = 16
+RECALL = 0.99998
+SPLITS = 3
 BUCKET = 1024
 DEPTH = 12
 BLOCK = 1024
@@ -139,34 +148,91 @@ def _minhash(at):
     return F.substring(F.col("sig"), at * 4 + 1, 4)
 
 
-def _buckets(reps: DataFrame, runs: int, bucket: int, depth: int) -> DataFrame:
-    """(k_id, k_tie, node, members): small buckets with two sets and more, and
-    block pairs of those that stay large."""
+def runs_for(recall: float, similar: float = SIMILAR, splits: int = SPLITS) -> int:
+    """Runs that find a pair of the least similarity with the target recall, if
+    its buckets are split ``splits`` times."""
+    if not 0 < recall < 1:
+        raise ValueError("recall: between 0 and 1")
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similar**splits) - 1e-9))
+
+
+def _heads(rows: DataFrame) -> DataFrame:
+    """Rows (k_id, k_tie, node, sig) with the head of their bucket, h_id, h_tie
+    and h_sig: the set of the least hash."""
+    pick = F.xxhash64("node", *KEY)
+    head = F.min_by(F.struct(*KEY, "sig"), F.struct(pick, *KEY)).alias("h")
+    heads = rows.groupBy("node").agg(head).select(
+        "node", F.col("h.k_id").alias("h_id"), F.col("h.k_tie").alias("h_tie"), F.col("h.sig").alias("h_sig")
+    )
+    return rows.join(heads, "node")
+
+
+def _alike(least: float):
+    """Adds whether a set is like the head of its bucket."""
+
+    def run(batches: Batches) -> Batches:
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            names = b.schema.names
+            x, y = (
+                np.frombuffer(b"".join(b.column(names.index(c)).to_pylist()), np.uint32).reshape(b.num_rows, -1)
+                for c in ("sig", "h_sig")
+            )
+            keep = [i for i, c in enumerate(names) if c not in ("sig", "h_sig")]
+            alike = pa.array((x == y).mean(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), alike], [*(names[i] for i in keep), "alike"])
+
+    return run
+
+
+def _buckets(reps: DataFrame, runs: int, bucket: int, depth: int, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """(k_id, k_tie, node, a, b): small buckets with two sets and more, and block
+    pairs of those that stay large; and the candidate pairs (a_id, a_tie, b_id,
+    b_tie) of the sets that were tied to a head."""
     run = F.explode(F.sequence(F.lit(0), F.lit(runs - 1)))
     rows = reps.select(*KEY, "sig", run.alias("run"))
     # Runs start at different coordinates.
     rows = rows.select(
         *KEY, F.xxhash64("run", _minhash(F.pmod(F.col("run") * 37, F.lit(COORDINATES)))).alias("node")
     )
-    found = None
+    found = tied = None
     for level in range(depth + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
         sizes = written(sizes, "join-sizes")
         here = written(rows.join(sizes, "node"), "join-members")
         small = here.where(F.col("members") <= bucket).select(*KEY, "node", F.lit(0).alias("a"), F.lit(0).alias("b"))
-        large = here.where(F.col("members") > bucket)
         found = small if found is None else found.unionByName(small)
-        if level == depth or large.isEmpty():
+        large = here.where(F.col("members") > bucket)
+        if large.isEmpty():
+            break
+        headed = _heads(large.join(reps, KEY).select(*KEY, "node", "sig"))
+        headed = written(
+            headed.mapInArrow(_alike(similar), "node long, k_id long, k_tie int, h_id long, h_tie int, alike boolean"),
+            "join-headed",
+        )
+        head = F.struct("h_id", "h_tie") == F.struct(*KEY)
+        to_head = headed.where(F.col("alike") & ~head).select(
+            F.col("k_id").alias("a_id"), F.col("k_tie").alias("a_tie"), F.col("h_id").alias("b_id"), F.col("h_tie").alias("b_tie")
+        )
+        tied = to_head if tied is None else tied.unionByName(to_head)
+        left = headed.where(~F.col("alike") | head).select(*KEY, "node")
+        if level == depth:
+            sizes = left.groupBy("node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+            last = left.join(sizes, "node")
+            found = found.unionByName(_block_pairs(last, ["node"], "members", bucket).select(*KEY, "node", "a", "b"))
             break
         node = F.col("node")
         again = F.pmod(F.xxhash64("node", F.lit("twice")), F.lit(4)) == 0
         picks = F.when(again, F.array(_coordinate(node, 1), _coordinate(node, 2))).otherwise(
             F.array(_coordinate(node, 1))
         )
-        rows = large.join(reps, KEY).select(*KEY, "sig", "node", F.explode(picks).alias("at")).select(
+        rows = left.join(reps, KEY).select(*KEY, "sig", "node", F.explode(picks).alias("at")).select(
             *KEY, F.xxhash64("node", "at", _minhash(F.col("at"))).alias("node")
         )
-    return found.unionByName(_block_pairs(large, ["node"], "members", bucket).select(*KEY, "node", "a", "b"))
+    if tied is None:
+        tied = found.sparkSession.createDataFrame([], EDGE_SCHEMA)
+    return found, tied
 
 
 def _block_pairs(rows: DataFrame, group: list[str], members: str, block: int) -> DataFrame:
@@ -347,7 +413,7 @@ def similarity_classes(
     id_col: str = "doc_id",
     text: str = "text",
     similar: float = SIMILAR,
-    runs: int = RUNS,
+    recall: float = RECALL,
     bucket: int = BUCKET,
     depth: int = DEPTH,
     block: int = BLOCK,
@@ -373,14 +439,14 @@ def similarity_classes(
     heads = sets.select("rep.*", "copies")
     reps = written(sigs.select(*KEY, "sig").dropDuplicates(KEY).join(heads, KEY), "join-reps")
 
-    buckets = _buckets(reps.select(*KEY, "sig"), runs, bucket, depth)
+    buckets, tied = _buckets(reps.select(*KEY, "sig"), runs_for(recall, similar), bucket, depth, similar)
     near = (
         buckets.join(reps.select(*KEY, "sig"), KEY)
         .repartition(n_tasks, "node", "a", "b")
         .sortWithinPartitions("node", "a", "b", *KEY)
         .mapInArrow(_candidates(CANDIDATE), EDGE_SCHEMA)
     )
-    near = written(near.distinct(), "join-near")
+    near = written(near.unionByName(tied).distinct(), "join-near")
     settle(spark)
     comp = components(near)
     sizes = written(comp.groupBy("r_id", "r_tie").agg(F.count(F.lit(1)).alias("members")), "join-components")

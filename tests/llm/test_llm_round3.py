@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import audit, gridcodes, pivots, queries
+from tessera.llm import audit, common, gridcodes, ngramjoin, pivots, queries
 
 VECTORS = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT, code STRING"
 DOCS = "doc_id BIGINT, text STRING, lang STRING, mask INT, `a.b` STRING"
@@ -303,3 +303,41 @@ def test_query_over_the_given_table(spark):
         least[c] = min(r.doc_id, least.get(c, r.doc_id))
     want = {r.doc_id: (f"{p:016x}", least[c]) for r, p, c in zip(docs, prints, comp)}
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op13_simhash(spark, sf).collect()} == want
+
+
+# --- chosen paths -----------------------------------------------------------------
+
+
+def test_runs_follow_from_the_target_recall(spark):
+    assert ngramjoin.runs_for(0.99998) == 16 and ngramjoin.runs_for(0.5, splits=1) == 1
+    assert [ngramjoin.runs_for(r) for r in (0.9, 0.99, 0.999)] == sorted(ngramjoin.runs_for(r) for r in (0.9, 0.99, 0.999))
+    # Planted pairs of the least similarity, amid sets that make every bucket split.
+    rng = random.Random(12)
+    rows = []
+    for i in range(150):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(94)]  # 90 shingles
+        other = words[:-10] + [f"v{rng.randrange(10**6)}" for _ in range(10)]  # 80 of 100 are shared
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = {r.k_id: (r.c_id, r.n_links) for r in ngramjoin.similarity_classes(df, bucket=4).collect()}
+    assert sum(got[2 * i + 1] == (2 * i, 1) for i in range(150)) == 150
+
+
+def test_near_copies_do_not_multiply_path_rows(spark):
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(400)}" for _ in range(300)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        words[rng.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"w{rng.randrange(400)}" for _ in range(60))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    sigs = docs.selectExpr("doc_id k_id", "0 k_tie", "text").mapInArrow(
+        ngramjoin._signatures, "k_id long, k_tie int, size int, s1 long, s2 long, sig binary"
+    )
+    found, tied = ngramjoin._buckets(common.written(sigs.select("k_id", "k_tie", "sig"), "t"), 16, 32, 12)
+    assert found.count() + tied.count() < 16 * 450 * 1.5
+    got = ngramjoin.similarity_classes(docs, bucket=32, block=64).collect()
+    assert {r.c_id for r in got if r.k_id < 400} == {0}
+    assert all(r.n_links == 399 for r in got if r.k_id < 400)
