@@ -5,29 +5,32 @@ with the current vertex state followed by a ``groupBy`` on the receiving
 vertex; partial aggregation absorbs hub skew. State is persisted, cut by a
 reliable checkpoint every few steps, and the previous state unpersisted.
 
-All-sources measures (closeness, betweenness) hold one row per reachable
-(source, vertex) pair, i.e. up to V^2 rows: pass ``sources`` (ids) to bound
-that on large graphs; with a sample, betweenness is an estimate that should
-be scaled by V / |sources|.
+All-sources measures (closeness, betweenness) go through the vertices in
+batches: the values of a batch stand side by side in the rows of a vertex, and
+only one sum per vertex outlives a batch. No table has a row per (source,
+vertex) pair of the whole graph.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import h60
-from tessera.operators.partitioning import fan_out
+from tessera.operators.partitioning import dense_index, fan_out
 from tessera.operators.graph.core import (
     Loop,
     in_degree,
+    laid_out,
     out_degree,
     simple_edges,
     top_n,
     vertices_of,
 )
+from tessera.session import cut_lineage
 
 
 def _spread(df: DataFrame, key: str = "s") -> DataFrame:
@@ -61,61 +64,50 @@ def pagerank(
     if dangling not in ("keep", "spread"):
         raise ValueError("dangling must be 'keep' or 'spread'")
     loop = Loop(checkpoint_every)
-    v = loop.keep(_ids(vertices, edges))
-    w = loop.keep(
-        edges.join(out_degree(edges).withColumnRenamed("id", "src"), "src")
-        .select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"))
-        .transform(lambda df: fan_out(df, "src"))
-    )
-    ranks = loop.step(v.select("id", F.lit(1.0).alias("rank")))
-    sinks = None
-    if dangling == "spread":
-        n = v.count()
-        sinks = loop.keep(v.join(w.select(F.col("src").alias("id")).distinct(), "id", "left_anti"))
-    for _ in range(max_iter):
-        contrib = (
-            w.join(ranks.withColumnRenamed("id", "src"), "src")
-            .groupBy("dst")
-            .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
-        )
-        extra = 0.0
-        if sinks is not None:
-            mass = ranks.join(sinks, "id").agg(F.sum("rank")).first()[0] or 0.0
-            extra = mass / n
-        new = v.join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
-            "id",
-            (F.lit(reset) + F.lit(1.0 - reset) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(extra))).alias("rank"),
+    with laid_out(edges) as parts:
+        w = loop.keep(
+            edges.join(out_degree(edges).withColumnRenamed("id", "src"), "src")
+            .select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"))
+            .repartition(parts, "src"),
+            now=True,
         )
-        old, ranks = ranks, loop.step(new)
-        if tol is not None:
-            delta = ranks.alias("n").join(old.alias("o"), "id").agg(
-                F.max(F.abs(F.col("n.rank") - F.col("o.rank")))
-            ).first()[0]
-            if delta is None or delta <= tol:
-                break
-    else:
-        if tol is not None:
-            loop.release()
-            raise RuntimeError(f"PageRank did not reach tol={tol} in {max_iter} supersteps")
-    return loop.finish(ranks)
+        v = _ids(vertices, edges).select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("was"))
+        ranks = loop.keep(v.repartition(parts, "id"), now=True)
+        sinks = None
+        if dangling == "spread":
+            n = ranks.count()
+            sinks = loop.keep(ranks.select("id").join(w.select(F.col("src").alias("id")).distinct(), "id", "left_anti"))
+        for _ in range(max_iter):
+            extra = 0.0
+            if sinks is not None:
+                mass = ranks.join(sinks, "id").agg(F.sum("rank")).first()[0] or 0.0
+                extra = mass / n
+            ranks = loop.step(_rank_step(ranks, w, reset, extra), partition_by=(parts, "id"))
+            if tol is not None:
+                delta = ranks.agg(F.max(F.abs(F.col("rank") - F.col("was")))).first()[0]
+                if delta is None or delta <= tol:
+                    break
+        else:
+            if tol is not None:
+                loop.release()
+                raise RuntimeError(f"PageRank did not reach tol={tol} in {max_iter} supersteps")
+        return loop.finish(ranks.select("id", "rank"))
+
+
+def _rank_step(ranks: DataFrame, w: DataFrame, reset: float, extra: float) -> DataFrame:
+    """(id, rank, was) after one superstep; one exchange, of the summed shares."""
+    shares = (
+        w.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+        .groupBy(F.col("dst").alias("id"))
+        .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
+    )
+    new = F.lit(reset) + F.lit(1.0 - reset) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(extra))
+    return ranks.join(shares, "id", "left").select("id", new.alias("rank"), F.col("rank").alias("was"))
 
 
 # ---- HITS ----------------------------------------------------------------------
 
 
-def _normalised(df: DataFrame, col: str, loop: Loop, now: bool = True) -> DataFrame:
-    """Persist the new scores and, when ``now``, scale them to sum to 1 (one
-    scalar action). Scaling is linear, so skipping it on some steps changes
-    only the magnitude carried to the next step, not the final scores."""
-    df = loop.step(df)
-    if not now:
-        return df
-    total = df.agg(F.sum(col)).first()[0] or 0.0
-    if total == 0:
-        return df
-    return df.select("id", (F.col(col) / F.lit(total)).alias(col))
-
-
 def hits(
     edges: DataFrame,
     vertices: DataFrame | None = None,
@@ -125,51 +117,57 @@ def hits(
 ) -> DataFrame:
     """(id, hub, authority), each summing to 1. Authority = sum of hub
     scores over in-edges, hub = sum of authority over out-edges, both
-    normalised every half step; stop when no score moves more than ``tol``
-    (an error if ``max_iter`` steps don't get there) or, without a
-    tolerance, after ``max_iter`` steps."""
-    aloop, hloop = Loop(checkpoint_every), Loop(checkpoint_every)
-    v = aloop.keep(_ids(vertices, edges))
-    e = aloop.keep(edges.select("src", "dst"))
-    hub = v.select("id", F.lit(1.0).alias("hub"))
-    auth = None
-    for it in range(1, max_iter + 1):
-        # with a tolerance every step needs normalised scores for the delta;
-        # with a fixed count, normalise every few steps and at the end
-        now = tol is not None or it % checkpoint_every == 0 or it == max_iter
-        a_raw = (
-            e.join(hub.withColumnRenamed("id", "src"), "src").groupBy("dst").agg(F.sum("hub").alias("auth"))
-        )
-        a_new = v.join(a_raw.withColumnRenamed("dst", "id"), "id", "left").select(
-            "id", F.coalesce(F.col("auth"), F.lit(0.0)).alias("auth")
-        )
-        a_new = _normalised(a_new, "auth", aloop, now)
-        h_raw = e.join(a_new.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.sum("auth").alias("hub"))
-        h_new = v.join(h_raw.withColumnRenamed("src", "id"), "id", "left").select(
-            "id", F.coalesce(F.col("hub"), F.lit(0.0)).alias("hub")
-        )
-        h_new = _normalised(h_new, "hub", hloop, now)
-        done = False
-        if tol is not None and auth is not None:
-            d = (
-                a_new.join(auth.withColumnRenamed("auth", "a0"), "id")
-                .join(h_new.join(hub.withColumnRenamed("hub", "h0"), "id"), "id")
-                .agg(F.max(F.greatest(F.abs(F.col("auth") - F.col("a0")), F.abs(F.col("hub") - F.col("h0")))))
-                .first()[0]
+    normalised every step (scaling is linear, so the hubs may be summed from
+    unscaled authorities); stop when no score moves more than ``tol`` (an error
+    if ``max_iter`` steps don't get there) or, without a tolerance, after
+    ``max_iter`` steps. The edges lie twice, by source and by target, the scores
+    by id: a half step has one exchange."""
+    loop = Loop(checkpoint_every)
+    with laid_out(edges) as parts:
+        by_src = loop.keep(edges.select("src", "dst").repartition(parts, "src"), now=True)
+        by_dst = loop.keep(by_src.repartition(parts, "dst"), now=True)
+        zero = F.lit(0.0)
+        start = _ids(vertices, edges).select("id", F.lit(1.0).alias("hub"), zero.alias("authority"))
+        state = loop.keep(start.repartition(parts, "id"), now=True)
+        hub_sum = auth_sum = 1.0
+        for it in range(1, max_iter + 1):
+            scaled = state.select(
+                "id", (F.col("hub") / F.lit(hub_sum)).alias("hub"), (F.col("authority") / F.lit(auth_sum)).alias("authority_was")
             )
-            done = d is not None and d <= tol
-        auth, hub = a_new, h_new
-        if done:
-            break
-    else:
-        if tol is not None and max_iter:
-            aloop.release(), hloop.release()
-            raise RuntimeError(f"HITS did not reach tol={tol} in {max_iter} steps")
-    if auth is None:
-        auth = v.select("id", F.lit(0.0).alias("auth"))
-    out = aloop.finish(hub.join(auth, "id").select("id", "hub", F.col("auth").alias("authority")))
-    hloop.release()
-    return out
+            half = loop.step(_hits_half(scaled, by_src, "hub", "authority"), partition_by=(parts, "id"))
+            half = half.withColumnRenamed("hub", "hub_was")
+            state = loop.step(_hits_half(half, by_dst, "authority", "hub"), partition_by=(parts, "id"))
+            # With a fixed number of steps, scores are scaled now and then and at the end.
+            if tol is None and it % checkpoint_every and it < max_iter:
+                hub_sum = auth_sum = 1.0
+                continue
+            hub_sum, auth_sum = (x or 1.0 for x in state.agg(F.sum("hub"), F.sum("authority")).first())
+            if tol is not None and it > 1:
+                moved = F.greatest(
+                    F.abs(F.col("hub") / F.lit(hub_sum) - F.col("hub_was")),
+                    F.abs(F.col("authority") / F.lit(auth_sum) - F.col("authority_was")),
+                )
+                delta = state.agg(F.max(moved)).first()[0]
+                if delta is None or delta <= tol:
+                    break
+        else:
+            if tol is not None and max_iter:
+                loop.release()
+                raise RuntimeError(f"HITS did not reach tol={tol} in {max_iter} steps")
+        return loop.finish(
+            state.select(
+                "id", (F.col("hub") / F.lit(hub_sum)).alias("hub"), (F.col("authority") / F.lit(auth_sum)).alias("authority")
+            )
+        )
+
+
+def _hits_half(state: DataFrame, links: DataFrame, of: str, to: str) -> DataFrame:
+    """``state`` with the column ``to``: the sum of ``of`` over the links, which
+    lie by the vertex that sends it; one exchange, of the sums."""
+    sender, receiver = links.columns if to == "authority" else reversed(links.columns)
+    sent = state.select(F.col("id").alias(sender), F.col(of).alias("sent"))
+    sums = links.join(sent, sender).groupBy(F.col(receiver).alias("id")).agg(F.sum("sent").alias("sums"))
+    return state.join(sums, "id", "left").select(*state.columns, F.coalesce("sums", F.lit(0.0)).alias(to))
 
 
 # ---- breadth-first search from many sources ------------------------------------
@@ -219,12 +217,12 @@ def bfs_levels(
             .withColumn("dist", F.lit(d))
             .select(*cols)
         )
-        nxt = owner.keep(nxt) if d % checkpoint_every else _cut(nxt)
+        nxt = owner.keep(nxt) if d % checkpoint_every else cut_lineage(nxt)
         if nxt.limit(1).count() == 0:
             break
         levels.append(nxt)
         seen = seen.unionByName(nxt.select("s", "v"))
-        seen = _cut(seen) if d % checkpoint_every == 0 else owner.keep(seen)
+        seen = cut_lineage(seen) if d % checkpoint_every == 0 else owner.keep(seen)
         frontier = nxt
     out = levels[0]
     for lv in levels[1:]:
@@ -232,10 +230,89 @@ def bfs_levels(
     return out
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    from tessera.session import cut_lineage
+# Bits of a long, longs of a row: targets that one pass of the reach search holds.
+LANE = 64
+MAX_LANES = 32
+# Sources whose path counts stand side by side in a row, and sources of one pass.
+SIDE = 32
+BATCH = 2048
+
 
-    return cut_lineage(df)
+def reach_sums(
+    edges: DataFrame, ids: DataFrame, batch: int = BATCH, checkpoint_every: int = 3
+) -> DataFrame:
+    """(id, total, reached): the sum of distances from every vertex to all it
+    reaches, and their number.
+
+    Targets are taken in batches; a vertex holds one bit per target of the batch
+    (64 to a long): reached before, and reached in the last step. In a step a
+    vertex takes the OR of its successors' last bits; bits that are new at step d
+    add d each. So a step moves one row per edge, whatever the batch, sums stay
+    with the vertex, and the state is V rows of ``batch`` bits. Edges lie
+    partitioned by the join key and the state by its id with the same count, so
+    a step has one exchange (the partly OR-ed messages); the state is dropped
+    after each batch."""
+    if batch < 1:
+        raise ValueError("batch must be >= 1")
+    with laid_out(edges) as parts:
+        return _reach_sums(edges, ids, batch, checkpoint_every, parts)
+
+
+def _reach_sums(edges: DataFrame, ids: DataFrame, batch: int, checkpoint_every: int, n: int) -> DataFrame:
+    owner = Loop()
+    e = owner.keep(simple_edges(edges).repartition(n, "dst"), now=True)
+    ranked = owner.keep(dense_index(ids.select("id").distinct(), F.col("id")).repartition(n, "id"))
+    count = ranked.count()
+    lanes = max(1, min(-(-min(batch, count) // LANE), MAX_LANES))
+    batch = min(batch, lanes * LANE)
+    front, seen = [f"f{i}" for i in range(lanes)], [f"s{i}" for i in range(lanes)]
+    sums = None
+    for lo in range(0, count, batch):
+        loop = Loop(checkpoint_every)
+        at = F.col("pos") - lo
+        bit = F.when((at >= 0) & (at < batch), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(LANE)).cast("int")))
+        own = [F.coalesce(F.when(F.floor(at / LANE) == i, bit), F.lit(0).cast("long")) for i in range(lanes)]
+        zero = F.lit(0).cast("long")
+        state = loop.step(
+            ranked.select(
+                "id", *[c.alias(f) for c, f in zip(own, front)], *[c.alias(s) for c, s in zip(own, seen)],
+                zero.alias("total"), zero.alias("reached"), F.lit(0).cast("long").alias("d"),
+            ),
+            partition_by=(n, "id"),
+        )
+        while True:
+            state = loop.step(_reach_step(state, e, front, seen), partition_by=(n, "id"))
+            if state.where(_any_bit(front)).isEmpty():
+                break
+        part = state.select("id", "total", "reached")
+        if sums is not None:
+            part = part.unionByName(sums).groupBy("id").agg(F.sum("total").alias("total"), F.sum("reached").alias("reached"))
+        sums = loop.finish(part)
+    owner.release()
+    if sums is None:
+        return ids.select("id", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("reached")).limit(0)
+    return sums
+
+
+def _any_bit(cols: list[str]):
+    return functools.reduce(lambda x, y: x.bitwiseOR(y), [F.col(c) for c in cols]) != 0
+
+
+def _reach_step(state: DataFrame, e: DataFrame, front: list[str], seen: list[str]) -> DataFrame:
+    """State after the next step: bits of the successors that are new here. The
+    step's number is a column, so that all steps share their compiled code."""
+    moving = state.where(_any_bit(front)).select(F.col("id").alias("dst"), *front)
+    msgs = e.join(moving, "dst").groupBy("src").agg(*[F.bit_or(c).alias(f"m_{c}") for c in front])
+    met = state.join(msgs.withColumnRenamed("src", "id"), "id", "left")
+    new = {f: F.coalesce(f"m_{f}", F.lit(0).cast("long")).bitwiseAND(F.bitwise_not(s)) for f, s in zip(front, seen)}
+    met = met.select(
+        "id", *[c.alias(f) for f, c in new.items()], *seen, "total", "reached", (F.col("d") + 1).alias("d")
+    )
+    bits = functools.reduce(lambda x, y: x + y, [F.bit_count(f).cast("long") for f in front])
+    return met.select(
+        "id", *front, *[F.col(s).bitwiseOR(F.col(f)).alias(s) for f, s in zip(front, seen)],
+        (F.col("total") + F.col("d") * bits).alias("total"), (F.col("reached") + bits).alias("reached"), "d",
+    )
 
 
 def closeness(
@@ -243,18 +320,23 @@ def closeness(
     vertices: DataFrame | None = None,
     sources: DataFrame | None = None,
     wf_improved: bool = False,
+    batch: int = BATCH,
 ) -> DataFrame:
     """(id, closeness) = 1 / sum of distances from the vertex to every
     vertex it reaches (not corrected for the number reached); 0 when it
     reaches none. Edges are followed in their direction. ``wf_improved``
     multiplies by r / (n - 1), r = vertices reached (Wasserman-Faust), so a
-    vertex reaching few others no longer scores highest."""
+    vertex reaching few others no longer scores highest. All sources: batches
+    of targets (``reach_sums``); some ``sources``: a search from those."""
     owner = Loop()
     ids = owner.keep(_ids(vertices, edges))
-    lv = bfs_levels(edges, ids, sources, owner=owner)
-    tot = lv.groupBy(F.col("s").alias("id")).agg(
-        F.sum("dist").alias("total"), (F.count(F.lit(1)) - 1).alias("reached")
-    )
+    if sources is None:
+        tot = reach_sums(edges, ids, batch)
+    else:
+        lv = bfs_levels(edges, ids, sources, owner=owner)
+        tot = lv.groupBy(F.col("s").alias("id")).agg(
+            F.sum("dist").alias("total"), (F.count(F.lit(1)) - 1).alias("reached")
+        )
     score = F.when(F.col("total") > 0, 1.0 / F.col("total")).otherwise(F.lit(0.0))
     if wf_improved:
         n = ids.count()
@@ -277,54 +359,46 @@ def betweenness(
     sources: DataFrame | None = None,
     sample: int | None = None,
     seed: int = 0,
+    batch: int = BATCH,
 ) -> DataFrame:
     """(id, betweenness) by Brandes' dependency accumulation on the simple
     graph (no loops, no duplicate edges; undirected = both directions).
     ``sources`` restricts the sources (ids); ``sample=n`` takes the n
     vertices with the smallest seeded hash as sources and scales the sums by
-    V / n, an unbiased estimate whose state is n*V rows instead of V^2.
-    Forward: shortest-path counts level by level; backward: from the deepest
-    level, delta(s,v) = sum over successors w of sigma(s,v) / sigma(s,w) *
-    (1 + delta(s,w)). Undirected sums are halved; normalised scores divide
-    by (n-1)(n-2) (directed) or (n-1)(n-2)/2 (undirected)."""
+    V / n, an unbiased estimate. Undirected sums are halved; normalised scores
+    divide by (n-1)(n-2) (directed) or (n-1)(n-2)/2 (undirected).
+
+    Sources are taken in batches: the path counts of 32 of them stand side by
+    side in a row (block, vertex), so an edge moves them all at once, and the
+    state of a batch, at most V rows for every 32 of its sources, is dropped
+    once its dependencies are added to one sum per vertex."""
+    if batch < 1:
+        raise ValueError("batch must be >= 1")
     owner = Loop()
-    e = owner.keep(simple_edges(edges, directed=directed))
+    n_parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = owner.keep(simple_edges(edges, directed=directed).repartition(n_parts, "src"))
+    rev = e
+    if directed:
+        rev = owner.keep(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")).repartition(n_parts, "src"))
     ids = owner.keep(_ids(vertices, edges))
     n = ids.count()
     factor = 1.0
     if sample is not None:
         keyed = ids.select("id", h60(F.col("id"), "bc-source", seed).alias("hk"))
-        sources = owner.keep(keyed.orderBy("hk", "id").limit(sample).select("id"))
+        sources = keyed.orderBy("hk", "id").limit(sample).select("id")
         factor = n / max(min(sample, n), 1)
-    lv = owner.keep(bfs_levels(e, ids, sources, with_paths=True, owner=owner))
-    depth = lv.agg(F.max("dist")).first()[0] or 0
-    rev = e.select(F.col("dst").alias("w"), F.col("src").alias("v"))
-    deltas = None
-    below = None  # (s, w, sigma, delta) of level d + 1
-    for d in range(depth, 0, -1):
-        here = lv.where(F.col("dist") == d).select("s", F.col("v").alias("w"), F.col("sigma").alias("sw"))
-        if below is None:
-            cur = here.withColumn("delta", F.lit(0.0))
-        else:
-            back = (
-                _spread(below, "w").join(rev, "w")
-                .groupBy("s", F.col("v").alias("w"))
-                .agg(F.sum((1.0 + F.col("delta")) / F.col("sw")).alias("c"))
-            )
-            cur = here.join(back, ["s", "w"], "left").select(
-                "s", "w", "sw", (F.col("sw") * F.coalesce(F.col("c"), F.lit(0.0))).alias("delta")
-            )
-        cur = _cut(cur) if d % 2 == 0 else owner.keep(cur)
-        # per-level sums per vertex: the final union holds V rows per level
-        part = cur.groupBy(F.col("w").alias("id")).agg(F.sum("delta").alias("delta"))
-        deltas = part if deltas is None else deltas.unionByName(part)
-        below = cur.select("s", "w", "sw", "delta")
-    base = ids.select("id")
-    if deltas is None:
-        bc = base.withColumn("betweenness", F.lit(0.0))
+    chosen = (sources if sources is not None else ids).select("id").distinct()
+    ranked = owner.keep(dense_index(chosen, F.col("id")))
+    sums = None
+    for lo in range(0, ranked.count(), batch):
+        part = _dependencies(ranked.where((F.col("pos") >= lo) & (F.col("pos") < lo + batch)), lo, e, rev)
+        if sums is not None:
+            part = part.unionByName(sums).groupBy("id").agg(F.sum("b").alias("b"))
+        sums = cut_lineage(part)
+    if sums is None:
+        bc = ids.select("id", F.lit(0.0).alias("betweenness"))
     else:
-        sums = deltas.groupBy("id").agg(F.sum("delta").alias("b"))
-        bc = base.join(sums, "id", "left").select("id", F.coalesce(F.col("b"), F.lit(0.0)).alias("betweenness"))
+        bc = ids.select("id").join(sums, "id", "left").select("id", F.coalesce("b", F.lit(0.0)).alias("betweenness"))
     scale = factor
     if not directed:
         scale *= 0.5
@@ -333,6 +407,68 @@ def betweenness(
     return owner.finish(bc.select("id", (F.col("betweenness") * F.lit(scale)).alias("betweenness")))
 
 
+def _dependencies(sources: DataFrame, lo: int, e: DataFrame, rev: DataFrame) -> DataFrame:
+    """(id, b): dependencies of all vertices on a batch of sources, summed.
+
+    Forward: a level has a row (blk, v, g0..g31, seen) where any of the block's
+    sources is at that distance from v, with their numbers of shortest paths and
+    0 for the others; ``seen`` are the bits of those reached so far. Backward:
+    delta(s,v) = paths(s,v) * sum over successors w one level deeper of
+    (1 + delta(s,w)) / paths(s,w). Every level is cut from its past: plans that
+    use the level before twice would double with each level."""
+    paths, deltas = [f"g{i}" for i in range(SIDE)], [f"d{i}" for i in range(SIDE)]
+    at = F.col("pos") - lo
+    lane = F.pmod(at, F.lit(SIDE)).cast("int")
+    first = sources.select(
+        F.floor(at / SIDE).cast("int").alias("blk"), F.col("id").alias("v"),
+        *[F.when(lane == i, 1.0).otherwise(0.0).alias(c) for i, c in enumerate(paths)],
+        F.call_function("shiftleft", F.lit(1).cast("long"), lane).alias("seen"),
+    )
+    levels = [cut_lineage(first)]
+    known = levels[0].select("blk", "v", "seen")
+    while True:
+        step = e.join(levels[-1].select("blk", F.col("v").alias("src"), *paths), "src")
+        sums = step.groupBy("blk", F.col("dst").alias("v")).agg(*[F.sum(c).alias(c) for c in paths])
+        met = sums.join(known, ["blk", "v"], "left").withColumn("was", F.coalesce("seen", F.lit(0).cast("long")))
+        fresh = {c: F.when(F.col("was").bitwiseAND(F.lit(1 << i)) == 0, F.col(c)).otherwise(0.0) for i, c in enumerate(paths)}
+        met = met.select("blk", "v", "was", *[x.alias(c) for c, x in fresh.items()])
+        bits = [F.when(F.col(c) > 0, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(paths)]
+        new = functools.reduce(lambda x, y: x.bitwiseOR(y), bits)
+        level = met.withColumn("new", new).where("new <> 0").select(
+            "blk", "v", *paths, F.col("was").bitwiseOR(F.col("new")).alias("seen")
+        )
+        level = cut_lineage(level)
+        if level.isEmpty():
+            break
+        levels.append(level)
+        # The last row of a vertex has all its bits; those of the levels before are fewer.
+        known = known.unionByName(level.select("blk", "v", "seen")).groupBy("blk", "v").agg(F.bit_or("seen").alias("seen"))
+        known = cut_lineage(known)
+    total, below = None, None
+    for d in range(len(levels) - 1, 0, -1):
+        here = levels[d].select("blk", "v", *paths)
+        if below is None:
+            cur = here.select("*", *[F.lit(0.0).alias(c) for c in deltas])
+        else:
+            cur = here.join(_back(below, rev, paths, deltas), ["blk", "v"], "left").select(
+                "blk", "v", *paths, *[(F.col(p) * F.coalesce(f"c_{p}", F.lit(0.0))).alias(c) for p, c in zip(paths, deltas)]
+            )
+        below = cut_lineage(cur)
+        both = functools.reduce(lambda x, y: x + y, [F.col(c) for c in deltas])
+        part = below.groupBy(F.col("v").alias("id")).agg(F.sum(both).alias("b"))
+        total = part if total is None else total.unionByName(part)
+    if total is None:
+        return sources.select("id", F.lit(0.0).alias("b"))
+    return total.groupBy("id").agg(F.sum("b").alias("b"))
+
+
+def _back(below: DataFrame, rev: DataFrame, paths: list[str], deltas: list[str]) -> DataFrame:
+    """(blk, v, c_g0..): sums over successors of (1 + delta) / paths, side by side."""
+    share = [F.when(F.col(p) > 0, (1.0 + F.col(c)) / F.col(p)).otherwise(0.0).alias(p) for p, c in zip(paths, deltas)]
+    step = rev.join(below.select("blk", F.col("v").alias("src"), *share), "src")
+    return step.groupBy("blk", F.col("dst").alias("v")).agg(*[F.sum(p).alias(f"c_{p}") for p in paths])
+
+
 def significant(x, digits: int):
     """A double rounded to significant digits."""
     return F.format_string(f"%.{digits - 1}e", x).cast("double")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
@@ -96,6 +97,21 @@ def top_n(measure: DataFrame, score_col: str, n: int = 5, id_col: str = "id") ->
     return measure.orderBy(F.col(score_col).desc(), F.col(id_col).asc()).limit(n)
 
 
+@contextmanager
+def laid_out(df: DataFrame):
+    """For loops whose edges and state are partitioned by the join keys, with
+    ``shuffle.partitions`` parts each: gives that number and keeps AQE from
+    merging small parts, which would make every superstep lay the state out
+    anew. What was set before comes back."""
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        yield int(conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        conf.set(name, before)
+
+
 class Loop:
     """State holder for iterative jobs: ``step(df)`` persists the new state,
     checkpoints it reliably every ``every`` steps, and unpersists states
@@ -110,19 +126,28 @@ class Loop:
         self.kept: list[DataFrame] = []
         self.extra: list[DataFrame] = []
 
-    def step(self, df: DataFrame) -> DataFrame:
+    def step(self, df: DataFrame, partition_by: tuple | None = None) -> DataFrame:
+        """``partition_by`` (count, columns...) lays the state out again after
+        a checkpoint, which forgets how it was partitioned, and runs the step at
+        once: how a cached table lies is known to plans only after that."""
         self.i += 1
         if self.i % self.every == 0:
             out = cut_lineage(df)
+            if partition_by:
+                out = out.repartition(*partition_by).persist(StorageLevel.MEMORY_AND_DISK)
         else:
             out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if partition_by:
+            out.count()
         self.kept.append(out)
         while len(self.kept) > 2:
             self.kept.pop(0).unpersist()
         return out
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, now: bool = False) -> DataFrame:
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if now:
+            out.count()
         self.extra.append(out)
         return out
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import h32
-from tessera.operators.graph.core import Loop, in_degree, out_degree, top_n, vertices_of
+from tessera.operators.graph.core import Loop, in_degree, laid_out, out_degree, top_n, vertices_of
 
 TWO32 = 1 << 32
 
@@ -114,22 +114,27 @@ def propagate(
     checkpoint_every: int = 3,
 ) -> DataFrame:
     """Run ``steps * partitions`` supersteps on (id, label) with nullable
-    labels and return the new (id, label)."""
+    labels and return the new (id, label). Links lie by sender and labels by
+    id, so a superstep exchanges only counted messages: per (receiver, label),
+    which keeps a hub's many labels apart, and then its best of each task."""
     if steps < 1:
         raise ValueError("steps must be > 0")
     if partitions < 1:
         raise ValueError("partitions must be >= 1")
     loop = Loop(checkpoint_every)
-    links = loop.keep(links_of(edges))
-    lab = loop.step(labels.select("id", F.col("label").cast("bigint").alias("label")))
-    for i in range(1, steps * partitions + 1):
-        iteration, active_slice = divmod(i, partitions)
-        active = None
-        if partitions > 1:
-            it = iteration if reshuffle else None
-            active = slice_of(F.col("dst"), partitions, seed, it) == F.lit(active_slice)
-        lab = loop.step(_superstep(lab, links, active, accept(iteration), seed, iteration, sweep))
-    return loop.finish(lab)
+    with laid_out(edges) as parts:
+        links = loop.keep(links_of(edges).repartition(parts, "src"), now=True)
+        start = labels.select("id", F.col("label").cast("bigint").alias("label"))
+        lab = loop.keep(start.repartition(parts, "id"), now=True)
+        for i in range(1, steps * partitions + 1):
+            iteration, active_slice = divmod(i, partitions)
+            active = None
+            if partitions > 1:
+                it = iteration if reshuffle else None
+                active = slice_of(F.col("dst"), partitions, seed, it) == F.lit(active_slice)
+            new = _superstep(lab, links, active, accept(iteration), seed, iteration, sweep)
+            lab = loop.step(new, partition_by=(parts, "id"))
+        return loop.finish(lab)
 
 
 def label_propagation(

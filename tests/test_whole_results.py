@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import edges_df
+from conftest import edges_df, ids_df
 from pyspark.sql import functions as F
 
 from tessera.operators import cardinality as K
@@ -170,3 +170,105 @@ def test_star_contraction_matches_union_find(spark):
     text = edges_df(spark, pairs).select(F.format_string("v%05d", "src").alias("src"), F.format_string("v%05d", "dst").alias("dst"))
     assert CC.star_components(text).where("component > id").isEmpty()
     assert CC.star_components(text.limit(0)).isEmpty()
+
+
+def brute_strong(pairs, ids=()):
+    """Components by mutual reachability."""
+    out = {x: set() for p in pairs for x in p} | {x: set() for x in ids}
+    for a, b in pairs:
+        out[a].add(b)
+
+    def reach(x):
+        seen, todo = {x}, [x]
+        while todo:
+            for y in out[todo.pop()] - seen:
+                seen.add(y)
+                todo.append(y)
+        return seen
+
+    r = {x: reach(x) for x in out}
+    return {x: min(y for y in r[x] if x in r[y]) for x in out}
+
+
+def test_long_chains_of_strong_components_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    plain = CC._rounds
+    monkeypatch.setattr(CC, "_rounds", lambda limit, what: (rounds.append(what) or i for i in plain(limit, what)))
+    n = 1000
+    got = CC.strong_components(edges_df(spark, [(i, i + 1) for i in range(n)]))
+    assert got.count() == n + 1 and got.where("id <> component").isEmpty()
+    assert rounds.count("strong components") <= 3
+    n = 100
+    order = list(range(5, n + 5))
+    random.Random(4).shuffle(order)
+    rounds.clear()
+    got = CC.strong_components(edges_df(spark, list(zip(order, order[1:] + order[:1]))))
+    assert got.count() == n and got.where("component <> 5").isEmpty()
+    assert rounds.count("strong components") <= 8
+
+
+def test_strong_components_match_reachability(spark):
+    rng = random.Random(21)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(75)]
+    pairs += [(100 + i, 101 + i) for i in range(9)] + [(109, 3), (7, 100), (200, 201), (201, 200), (300, 300), (310, 311)]
+    pairs += [(400 - i, 399 - i) for i in range(8)] + [(392, 400), (50, 400)]
+    ids = ids_df(spark, sorted({x for p in pairs for x in p} | {999}))
+    got = {r.id: r.component for r in CC.strong_components(edges_df(spark, pairs), ids).collect()}
+    assert got == brute_strong(pairs, [999])
+
+
+def test_batches_change_no_measure(spark):
+    rng = random.Random(31)
+    pairs = [(rng.randrange(70), rng.randrange(70)) for _ in range(900)] + [(200, 201), (5, 5)]
+    e = edges_df(spark, pairs)
+    whole = {r.id: r.closeness for r in G.closeness(e).collect()}
+    sources = {r.id: r.closeness for r in G.closeness(e, sources=ids_df(spark, range(70))).collect()}
+    for batch in (64,):
+        assert {r.id: r.closeness for r in G.closeness(e, batch=batch).collect()} == whole
+    assert {k: v for k, v in whole.items() if k < 70} == pytest.approx({k: v for k, v in sources.items() if k in whole})
+    for directed in (False, True):
+        one = {r.id: r.betweenness for r in G.betweenness(e, directed=directed).collect()}
+        cut = {r.id: r.betweenness for r in G.betweenness(e, directed=directed, batch=33).collect()}
+        assert cut == pytest.approx(one, abs=1e-12)
+
+
+def outer_exchanges(df):
+    """Exchanges of a plan that do not belong to what it reads from a cache."""
+    n, skip = 0, None
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :|+-*"))
+        if skip is not None and depth > skip:
+            continue
+        skip = depth if "InMemoryRelation" in line else None
+        n += " Exchange " in line or "- Exchange" in line
+    return n
+
+
+def test_a_superstep_has_one_exchange(spark):
+    from tessera.operators.graph import core, labelprop
+
+    e = edges_df(spark, [(i % 50, (i * 7) % 50) for i in range(400)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with core.laid_out(e) as n:
+            loop, ids = core.Loop(), spark.range(50)
+
+            def lay(df, key):
+                return loop.keep(df.repartition(n, key), now=True)
+
+            w = lay(e.withColumn("w", F.lit(0.5)), "src")
+            plain, other = lay(e, "src"), lay(e, "dst")
+            ranks = lay(ids.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("was")), "id")
+            assert outer_exchanges(G._rank_step(ranks, w, 0.15, 0.0)) == 1
+            scores = lay(ids.select("id", F.lit(1.0).alias("hub"), F.lit(1.0).alias("authority")), "id")
+            assert outer_exchanges(G._hits_half(scores.drop("authority"), plain, "hub", "authority")) == 1
+            assert outer_exchanges(G._hits_half(scores.drop("hub"), other, "authority", "hub")) == 1
+            bits = ids.select("id", F.lit(1).cast("long").alias("f0"), F.lit(1).cast("long").alias("s0"),
+                              *[F.lit(0).cast("long").alias(c) for c in ("total", "reached", "d")])
+            assert outer_exchanges(G._reach_step(lay(bits, "id"), other, ["f0"], ["s0"])) == 1
+            labels = lay(ids.select("id", F.col("id").alias("label")), "id")
+            assert outer_exchanges(labelprop._superstep(labels, plain, None, 1.0, 0, 1, False)) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.catalog.clearCache()
