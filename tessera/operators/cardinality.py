@@ -310,3 +310,33 @@ def estimator_rmse(
         .agg(F.sqrt(F.avg(F.pow(F.col("estimate") - F.col("exact"), 2))).alias("rmse"))
     )
 
+
+
+# ---- theta sketches: sets of distinct values ------------------------------------------
+
+
+def theta_sketch(df: DataFrame, value_col: str, group_cols=None, lg_entries: int = 12) -> DataFrame:
+    """(groups..., sketch): a mergeable sketch of the distinct values of each
+    group, exact up to 2^lg_entries of them; beyond, the relative standard error
+    of its size is about 1 / sqrt(2^lg_entries). Null values are in no set. One
+    partial aggregate and one exchange of a sketch per group and task."""
+    return df.groupBy(*_groups(group_cols)).agg(F.theta_sketch_agg(value_col, F.lit(lg_entries)).alias("sketch"))
+
+
+def theta_union(sketches: DataFrame, group_cols=None, lg_entries: int = 12) -> DataFrame:
+    """Sketches of the same or of larger groups, united."""
+    return sketches.groupBy(*_groups(group_cols)).agg(F.theta_union_agg("sketch", F.lit(lg_entries)).alias("sketch"))
+
+
+def theta_compare(pairs: DataFrame, a: str, b: str, lg_entries: int = 12) -> DataFrame:
+    """Adds n_a, n_b, n_union, n_both, n_only_a and n_only_b to rows with two
+    sketch columns, without the values; a null sketch is an empty set. The
+    error of a difference or intersection is relative to the union's size."""
+    size = lambda c: F.coalesce(F.theta_sketch_estimate(c), F.lit(0)).cast("bigint")
+    x, y = F.col(a), F.col(b)
+    both = F.when(x.isNotNull() & y.isNotNull(), size(F.theta_intersection(x, y))).otherwise(F.lit(0))
+    union = F.when(x.isNotNull() & y.isNotNull(), size(F.theta_union(x, y, F.lit(lg_entries)))).otherwise(size(F.coalesce(x, y)))
+    only_a = F.when(y.isNull(), size(x)).when(x.isNull(), F.lit(0)).otherwise(size(F.theta_difference(x, y)))
+    only_b = F.when(x.isNull(), size(y)).when(y.isNull(), F.lit(0)).otherwise(size(F.theta_difference(y, x)))
+    named = {"n_a": size(x), "n_b": size(y), "n_union": union, "n_both": both, "n_only_a": only_a, "n_only_b": only_b}
+    return pairs.select("*", *[c.cast("bigint").alias(k) for k, c in named.items()])

@@ -20,6 +20,7 @@ EVENT_KS = (8, 64, 256)
 TOKEN_KS = (16, 256, 1024)
 MERGE_P = 8
 MERGE_K = 64
+THETA_LG = 16  # exact up to 65,536 users of a type and day
 TWO60 = float(1 << 60)
 
 
@@ -93,7 +94,31 @@ def q_estimator_rmse(spark, sf_dir):
     )
 
 
+def q_theta_returning(spark, sf_dir):
+    """Per event type and day: users, users of the day before, those of both
+    days, of either, and new ones, from one sketch per type and day."""
+    ev = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "user_id")
+    daily = K.theta_sketch(ev, "user_id", ["event_type", "day"], THETA_LG)
+    before = daily.select("event_type", F.date_add("day", 1).alias("day"), F.col("sketch").alias("before"))
+    pairs = daily.join(before, ["event_type", "day"], "left")
+    return K.theta_compare(pairs, "sketch", "before", THETA_LG).select(
+        "event_type", F.date_format("day", "yyyy-MM-dd").alias("day"), F.col("n_a").alias("users"),
+        F.col("n_b").alias("users_before"), F.col("n_both").alias("returning"), F.col("n_union").alias("either"),
+        F.col("n_only_a").alias("new"),
+    )
+
+
+def q_theta_merge(spark, sf_dir):
+    """Daily sketches united per event type: users of the type over all days."""
+    ev = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "user_id")
+    daily = K.theta_sketch(ev, "user_id", ["event_type", "day"], THETA_LG)
+    whole = K.theta_union(daily, ["event_type"], THETA_LG)
+    return whole.select("event_type", F.theta_sketch_estimate("sketch").cast("bigint").alias("users"))
+
+
 QUERIES = {
+    "theta_returning": q_theta_returning,
+    "theta_merge": q_theta_merge,
     "distinct_exact": q_distinct_exact,
     "distinct_exact_tokens": q_distinct_exact_tokens,
     "hll_estimate": q_hll_estimate,
@@ -169,6 +194,16 @@ FROM allest, ex GROUP BY ALL"""
 
 
 ORACLES = {
+    "theta_returning": """WITH d AS (SELECT DISTINCT event_type, ts::DATE AS day, user_id FROM events),
+n AS (SELECT event_type, day, count(user_id) AS users FROM d GROUP BY 1, 2),
+b AS (SELECT x.event_type, x.day, count(*) AS both FROM d x JOIN d y
+  ON x.event_type = y.event_type AND x.user_id = y.user_id AND y.day = x.day - 1 GROUP BY 1, 2)
+SELECT n.event_type, strftime(n.day, '%Y-%m-%d') AS day, n.users::BIGINT AS users,
+  coalesce(p.users, 0)::BIGINT AS users_before, coalesce(b.both, 0)::BIGINT AS returning,
+  (n.users + coalesce(p.users, 0) - coalesce(b.both, 0))::BIGINT AS either, (n.users - coalesce(b.both, 0))::BIGINT AS new
+FROM n LEFT JOIN n p ON p.event_type = n.event_type AND p.day = n.day - 1
+LEFT JOIN b ON b.event_type = n.event_type AND b.day = n.day""",
+    "theta_merge": "SELECT event_type, count(DISTINCT user_id)::BIGINT AS users FROM events GROUP BY 1",
     "distinct_exact": "SELECT event_type, count(DISTINCT user_id)::BIGINT AS n_distinct FROM events GROUP BY 1",
     "distinct_exact_tokens": f"WITH {TOKENS_SQL} SELECT count(DISTINCT token)::BIGINT AS n_distinct FROM toks",
     "hll_estimate": f"WITH {_EV_HASH}, {hll_sql('ev', ['event_type'], EVENT_PS)}",

@@ -79,3 +79,24 @@ def test_builtin_hll(spark):
     df = spark.range(0, 20000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     got = {r.g: r.estimate for r in K.hll_builtin(df, "v", 12, "g").collect()}
     assert set(got) == {0, 1, 2} and all(abs(e - 6667) / 6667 < 0.1 for e in got.values())
+
+
+def test_theta_sets_within_their_error(spark):
+    n = 40_000
+    rows = spark.range(n).select(F.col("id").alias("v"), F.lit("a").alias("g")).unionByName(
+        spark.range(n // 2, n + n // 2).select(F.col("id").alias("v"), F.lit("b").alias("g"))
+    )
+    rows = rows.unionByName(rows).unionByName(spark.createDataFrame([(None, "a"), (None, "c")], "v BIGINT, g STRING"))
+    for lg, error in ((16, 0.0), (10, 0.15)):
+        sk = K.theta_sketch(rows, "v", "g", lg)
+        one = {g: sk.where(f"g = '{g}'").select(F.col("sketch").alias(g)) for g in "ab"}
+        got = K.theta_compare(one["a"].crossJoin(one["b"]), "a", "b", lg).first()
+        want = {"n_a": n, "n_b": n, "n_union": 1.5 * n, "n_both": n / 2, "n_only_a": n / 2, "n_only_b": n / 2}
+        for k, x in want.items():
+            assert abs(got[k] - x) <= error * want["n_union"], (lg, k, got[k], x)
+        whole = K.theta_union(sk, None, lg).select(F.theta_sketch_estimate("sketch")).first()[0]
+        assert abs(whole - 1.5 * n) <= error * 1.5 * n
+    assert sk.count() == 3
+    none = spark.createDataFrame([(None, bytes(1))], "x BINARY, y BINARY").select("x", F.lit(None).cast("binary").alias("y"))
+    got = K.theta_compare(none, "x", "y").first()
+    assert [got[c] for c in ("n_a", "n_b", "n_union", "n_both", "n_only_a", "n_only_b")] == [0] * 6
