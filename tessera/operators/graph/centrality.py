@@ -485,31 +485,48 @@ def measure_report(
     hits_iter: int = 1000,
     hits_tol: float | None = 1e-6,
     tie_digits: int = 12,
+    pagerank_tol: float | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """(measure, position, id, score): top n of every measure. Scores equal
     to ``tie_digits`` significant digits are ties, broken by the smaller id,
     so the order does not depend on floating-point summation order (symmetric
     vertices get equal scores only up to the last bits) nor on the size of
-    the scores, which shrink as the graph grows."""
+    the scores, which shrink as the graph grows. ``pagerank_tol`` and ``hits_tol``
+    run those measures to a tolerance; ``only`` names the measures to report."""
     owner = Loop()
     ids = owner.keep(vertices_of(edges))
     nv = ids.count()
-    cl = closeness(edges, ids)
-    hs = hits(edges, ids, max_iter=hits_iter, tol=hits_tol)
+    made: dict[str, DataFrame] = {}
+
+    def once(name: str, make) -> DataFrame:
+        if name not in made:
+            made[name] = make()
+        return made[name]
+
+    def close() -> DataFrame:
+        return once("closeness", lambda: closeness(edges, ids))
+
+    def both() -> DataFrame:
+        return once("hits", lambda: hits(edges, ids, max_iter=hits_iter, tol=hits_tol))
+
     measures = {
-        "in_degree": (in_degree(edges), "in_degree"),
-        "out_degree": (out_degree(edges), "out_degree"),
-        "betweenness": (betweenness(edges, ids), "betweenness"),
-        "closeness": (cl, "closeness"),
-        "kpp": (kpp(cl, nv), "kpp"),
-        "hub": (hs.select("id", "hub"), "hub"),
-        "authority": (hs.select("id", "authority"), "authority"),
+        "in_degree": (lambda: in_degree(edges), "in_degree"),
+        "out_degree": (lambda: out_degree(edges), "out_degree"),
+        "betweenness": (lambda: betweenness(edges, ids), "betweenness"),
+        "closeness": (close, "closeness"),
+        "kpp": (lambda: kpp(close(), nv), "kpp"),
+        "hub": (lambda: both().select("id", "hub"), "hub"),
+        "authority": (lambda: both().select("id", "authority"), "authority"),
     }
     for r in resets:
-        measures[f"pagerank_{r}"] = (pagerank(edges, ids, reset=r, max_iter=pagerank_iter), "rank")
+        rank = functools.partial(pagerank, edges, ids, reset=r, max_iter=pagerank_iter, tol=pagerank_tol)
+        measures[f"pagerank_{r}"] = (rank, "rank")
+    if only is not None:
+        measures = {m: measures[m] for m in only}
     out = None
-    for name, (df, col) in measures.items():
-        ranked = df.select(
+    for name, (make, col) in measures.items():
+        ranked = make().select(
             "id", F.col(col).cast("double").alias("score"), significant(F.col(col).cast("double"), tie_digits).alias("key")
         )
         t = top_n(ranked, "key", n)

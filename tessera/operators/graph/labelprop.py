@@ -188,10 +188,11 @@ def central_vertices(edges: DataFrame, centrality: str = "outdeg", n: int = 10)
         col = "out_degree" if centrality == "outdeg" else "in_degree"
         return top_n(m, col, n).select("id")
     if centrality in ("hubs", "auths"):
-        from tessera.operators.graph.centrality import hits
+        from tessera.operators.graph.centrality import hits, significant
 
-        h = hits(edges)
         col = "hub" if centrality == "hubs" else "authority"
+        # Equal to nine digits is a tie, whatever the order of the sums was.
+        h = hits(edges).select("id", significant(F.col(col), 9).alias(col))
         return top_n(h, col, n).select("id")
     raise ValueError(f"unknown centrality {centrality!r}")
 

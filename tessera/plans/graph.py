@@ -18,6 +18,7 @@ from tessera.sources.tables import table
 PR_ITER, PR_RESET, PR_TOL = 10, 0.15, 0.001
 PR_UNROLLED = 40  # supersteps written out in the SQL twins of the tolerance mode
 HITS_ITER = 10
+HITS_TOL, HITS_UNROLLED = 1e-6, 30
 LPA_STEPS = 5
 PLPA = dict(steps=2, partitions=2, seed=0)
 ANNEAL = dict(steps=1, decay_steps=2)
@@ -71,6 +72,11 @@ def q_hits_k(spark, sf_dir):
     return G.hits(edges(spark, sf_dir), max_iter=HITS_ITER, tol=None).select("id", _r("hub"), _r("authority"))
 
 
+def q_hits(spark, sf_dir):
+    """Tolerance mode (1e-6)."""
+    return G.hits(edges(spark, sf_dir), tol=HITS_TOL).select("id", _r("hub", 6), _r("authority", 6))
+
+
 def q_closeness(spark, sf_dir):
     return G.closeness(edges(spark, sf_dir)).select("id", _r("closeness"))
 
@@ -143,6 +149,23 @@ def q_lpa_seeded_annealed(spark, sf_dir):
     )
 
 
+def q_lpa_seeded_hubs(spark, sf_dir):
+    return LP.cluster(edges(spark, sf_dir), "authorities", centrality="hubs", **SEEDED)
+
+
+def q_lpa_seeded_auths(spark, sf_dir):
+    return LP.cluster(edges(spark, sf_dir), "authorities", centrality="auths", **SEEDED)
+
+
+def q_rank_report(spark, sf_dir):
+    """Top vertices by HITS and PageRank, each run to its tolerance."""
+    rep = G.measure_report(
+        edges(spark, sf_dir), 5, REPORT_RESETS, 200, hits_tol=HITS_TOL, pagerank_tol=PR_TOL,
+        only=("hub", "authority", *(f"pagerank_{r}" for r in REPORT_RESETS)),
+    )
+    return rep.select("measure", "position", "id", G.significant(F.col("score"), 5).alias("score"))
+
+
 def q_random_clusters(spark, sf_dir):
     return LP.random_clusters(vertices_of(edges(spark, sf_dir)), RANDOM_P, 0)
 
@@ -167,6 +190,10 @@ QUERIES = {
     "pagerank_reset_low": q_pagerank_reset_low,
     "pagerank_reset_high": q_pagerank_reset_high,
     "hits_k": q_hits_k,
+    "hits": q_hits,
+    "lpa_seeded_hubs": q_lpa_seeded_hubs,
+    "lpa_seeded_auths": q_lpa_seeded_auths,
+    "rank_report": q_rank_report,
     "closeness": q_closeness,
     "kpp": q_kpp,
     "betweenness": q_betweenness,
@@ -220,7 +247,7 @@ def pagerank_sql(k: int, reset: float, digits: int = 6, tol: float | None = None
     )
 
 
-def hits_sql(k: int, digits: int = 9) -> str:
+def hits_parts(k: int) -> list[str]:
     parts = [GRAPH, "h0 AS (SELECT id, 1.0::DOUBLE AS hub FROM verts)"]
     for i in range(1, k + 1):
         parts.append(
@@ -233,8 +260,29 @@ def hits_sql(k: int, digits: int = 9) -> str:
   SELECT e.src, SUM(a.auth) AS s FROM g_edges e JOIN a{i} a ON a.id = e.dst GROUP BY 1) x ON x.src = v.id)"""
         )
         parts.append(f"h{i} AS MATERIALIZED (SELECT id, hub / (SELECT SUM(hub) FROM hr{i}) AS hub FROM hr{i})")
+    return parts
+
+
+def hits_tol_parts(k: int, tol: float) -> list[str]:
+    """The first of k steps, from the second on, that moves no score more than ``tol``."""
+    parts = hits_parts(k)
+    parts += [
+        f"""hd{i} AS (SELECT {i} AS step, max(greatest(abs(h.hub - g.hub), abs(a.auth - b.auth))) AS d
+  FROM h{i} h JOIN h{i - 1} g USING (id) JOIN a{i} a USING (id) JOIN a{i - 1} b USING (id))"""
+        for i in range(2, k + 1)
+    ]
+    deltas = " UNION ALL ".join(f"SELECT * FROM hd{i}" for i in range(2, k + 1))
+    scores = " UNION ALL ".join(
+        f"SELECT {i} AS step, id, hub, auth FROM h{i} JOIN a{i} USING (id)" for i in range(2, k + 1)
+    )
+    parts.append(f"hstop AS (SELECT min(step) AS step FROM ({deltas}) WHERE d <= {tol!r})")
+    parts.append(f"hits AS (SELECT id, hub, auth AS authority FROM ({scores}) JOIN hstop USING (step))")
+    return parts
+
+
+def hits_sql(k: int, digits: int = 9) -> str:
     return (
-        "WITH " + ",\n".join(parts)
+        "WITH " + ",\n".join(hits_parts(k))
         + f"\nSELECT h.id, round(h.hub, {digits}) AS hub, round(a.auth, {digits}) AS authority FROM h{k} h JOIN a{k} a USING (id)"
     )
 
@@ -367,6 +415,18 @@ ORACLES = {
     "pagerank_reset_low": pagerank_sql(PR_UNROLLED, 0.05, tol=PR_TOL),
     "pagerank_reset_high": pagerank_sql(PR_UNROLLED, 0.3, tol=PR_TOL),
     "hits_k": hits_sql(HITS_ITER),
+    "hits": "WITH " + ",\n".join(hits_tol_parts(HITS_UNROLLED, HITS_TOL))
+    + "\nSELECT id, round(hub, 6) AS hub, round(authority, 6) AS authority FROM hits",
+    **{
+        f"lpa_seeded_{name}": lpa_sql(
+            SEEDED["steps"],
+            init="SELECT v.id, CASE WHEN s.id IS NOT NULL THEN v.id END AS label FROM verts v LEFT JOIN seeds s USING (id)",
+            extra=hits_tol_parts(HITS_UNROLLED, HITS_TOL)[1:]
+            + [f"seeds AS (SELECT id FROM hits ORDER BY printf('%.8e', {col})::DOUBLE DESC, id LIMIT {SEEDED['n']})"],
+            sweep_steps=SEEDED["steps"],
+        )
+        for name, col in (("hubs", "hub"), ("auths", "authority"))
+    },
     "closeness": closeness_sql(False),
     "kpp": closeness_sql(True),
     "betweenness": betweenness_sql(),
@@ -504,5 +564,21 @@ WHERE position <= 5"""
 
 
 ORACLES["measure_report"] = measure_report_sql()
+
+
+def rank_report_sql() -> str:
+    hits = "WITH " + ",\n".join(hits_tol_parts(HITS_UNROLLED, HITS_TOL)) + "\nSELECT id, {} AS score FROM hits"
+    parts = [(m, hits.format(m), "score") for m in ("hub", "authority")]
+    parts += [(f"pagerank_{r}", pagerank_sql(PR_UNROLLED, r, 17, PR_TOL), "rank") for r in REPORT_RESETS]
+    union = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS measure, id, {col}::DOUBLE AS score FROM ({sql})" for name, sql, col in parts
+    )
+    return f"""WITH m AS ({union})
+SELECT measure, position::INTEGER AS position, id, printf('%.4e', score)::DOUBLE AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY measure ORDER BY printf('%.11e', score)::DOUBLE DESC, id) AS position FROM m)
+WHERE position <= 5"""
+
+
+ORACLES["rank_report"] = rank_report_sql()
 ORACLES["weak_components_forest"] = components_sql(False, FOREST_GRAPH)
 ORACLES["strong_components_forest"] = components_sql(True, FOREST_GRAPH)

@@ -78,6 +78,64 @@ def q_kv_log(spark, sf_dir):
     )
 
 
+def _corpus_tree(spark, sf_dir):
+    """The labelled documents as a tree of files; those of toxic documents are
+    not valid UTF-8."""
+    path = scratch_path(spark, "corpus-tree")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"), "toxic")
+    broken = F.concat(F.unhex(F.lit("FF")).cast("string"), F.coalesce("text", F.lit("")))
+    rows = docs.join(labels, "doc_id").select(
+        F.col("source").alias("set"), "label", "doc_id", F.when(F.col("toxic") == 1, broken).otherwise(F.col("text")).alias("text")
+    )
+    io.write_corpus_tree(rows, path)
+    return path
+
+
+def _tree_counts(found):
+    text = F.when(F.col("valid"), F.length("text") - 1)  # without the line end of the file
+    return found.groupBy("set", F.col("label").cast("int").alias("label")).agg(
+        F.count_if("valid").alias("n_read"), F.count_if(~F.col("valid")).alias("n_dropped"),
+        F.coalesce(F.sum(text), F.lit(0)).alias("n_chars"),
+    )
+
+
+def q_corpus_tree(spark, sf_dir):
+    """Written as one file a message, read back: files read and dropped."""
+    return _tree_counts(io.read_messages(spark, [_corpus_tree(spark, sf_dir)], io.TREE))
+
+
+def q_stream_corpus_tree(spark, sf_dir):
+    """The same tree as a file stream."""
+    found = io.stream_messages(spark, _corpus_tree(spark, sf_dir), io.TREE)
+    out = scratch_path(spark, "corpus-stream")
+    run = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-log")
+    run.trigger(availableNow=True).start().awaitTermination()
+    return _tree_counts(spark.read.schema(found.schema).parquet(out))
+
+
+def q_log_records(spark, sf_dir):
+    """A key/value log of two lines per event (time, then value) read back,
+    turned into one record per event, with the columns of a chart derived: time
+    in days, value in thousands, zero shown as a half for a log axis."""
+    path = scratch_path(spark, "record-log")
+    ev = table(spark, sf_dir, "events").select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"), "value")
+    lines = F.array(F.format_string("Time %d", "at"), F.concat(F.lit("Mem "), F.coalesce("value", F.lit(0.0)).cast("string")))
+    ev.where(F.col("at").isNotNull()).repartitionByRange("event_id").sortWithinPartitions("event_id").select(
+        F.explode(lines).alias("value")
+    ).write.text(path)
+    log = io.read_kv_log(spark, path).withColumn("seq", F.floor(F.col("line_no") / 2))
+    records = log.groupBy("file", "seq").pivot("key", ["Time", "Mem"]).agg(F.first("value"))
+    derived = records.select(
+        F.floor(F.col("Time") / 86400).cast("bigint").alias("day"),
+        (F.col("Mem") / 1e3).alias("thousands"),
+        F.when(F.col("Mem") == 0, 0.5).otherwise(F.col("Mem")).alias("shown"),
+    )
+    return derived.groupBy("day").agg(
+        F.count(F.lit(1)).alias("n"), F.max("thousands").alias("most_thousands"), F.min("shown").alias("least_shown")
+    )
+
+
 def q_tagged_union(spark, sf_dir):
     """Balances of customers and suppliers as one tagged table."""
     cust, supp = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
@@ -107,6 +165,9 @@ def q_knn_saved_model(spark, sf_dir):
 
 
 QUERIES = {
+    "corpus_tree": q_corpus_tree,
+    "stream_corpus_tree": q_stream_corpus_tree,
+    "log_records": q_log_records,
     "query_sample": q_query_sample,
     "events_unpivot": q_events_unpivot,
     "events_pivot": q_events_pivot,
@@ -135,6 +196,14 @@ SELECT seq, """
     + ", ".join(f"max(value) FILTER (WHERE event_type = '{t}') AS {t}" for t in EVENT_TYPES)
     + " FROM s GROUP BY seq",
     "edge_list": f"WITH {GP.GRAPH} SELECT src, dst FROM g_edges",
+    **dict.fromkeys(("corpus_tree", "stream_corpus_tree"), """SELECT d.source AS set, l.quality AS label,
+  count(*) FILTER (WHERE coalesce(l.toxic, 0) <> 1) AS n_read, count(*) FILTER (WHERE l.toxic = 1) AS n_dropped,
+  coalesce(sum(length(coalesce(d.text, ''))) FILTER (WHERE coalesce(l.toxic, 0) <> 1), 0)::BIGINT AS n_chars
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1, 2"""),
+    "log_records": """SELECT floor(epoch(ts) / 86400)::BIGINT AS day, count(*) AS n,
+  max(coalesce(value, 0.0) / 1e3::DOUBLE) AS most_thousands,
+  min(CASE WHEN coalesce(value, 0.0) = 0 THEN 0.5 ELSE value END) AS least_shown
+FROM events WHERE ts IS NOT NULL GROUP BY 1""",
     "kv_log": """SELECT coalesce(event_type, 'none') AS key, count(*) AS n, sum(event_id)::BIGINT AS ids, count(*) AS in_order
 FROM events GROUP BY 1""",
     "tagged_union": """SELECT 'customer' AS kind, c_custkey AS key, c_acctbal AS balance FROM customer
