@@ -283,7 +283,16 @@ def _sketch_sql(words: str) -> str:
     return f"CASE WHEN len({words}) = 0 THEN [] ELSE {hashes} END"
 
 
-_KEPT = "list_sort(list_distinct(list_append([x for x in {0} if x < '1'], list_min({0}))))"
+_KEPT = "list_sort(list_distinct(list_append([x for x in {0} if x < '6'], list_min({0}))))"
+
+
+def _like_sql(a: str, b: str) -> str:
+    low = [f"[x for x in {c} if x < '6']" for c in (a, b)]
+    least = f"least(len({low[0]}), len({low[1]}))"
+    return f"""CASE WHEN {least} = 0 THEN ({a} = {b})::INT::DOUBLE
+            ELSE len(list_intersect({low[0]}, {low[1]}))::DOUBLE / {least} END"""
+
+
 
 _OP10 = f"""
 WITH d AS (
@@ -305,10 +314,8 @@ WITH d AS (
 SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
        coalesce(array_to_string(sk, ' '), '') AS fingerprint,
        coalesce(array_to_string(ek, ' '), '') AS edited_fingerprint,
-       CASE WHEN least(len(sk), len(ek)) = 0 THEN (len(sk) = len(ek))::INT::DOUBLE
-            ELSE len(list_intersect(sk, ek))::DOUBLE / least(len(sk), len(ek)) END AS near_edited,
-       CASE WHEN least(len(sk), len(nk)) = 0 THEN (len(sk) = len(nk))::INT::DOUBLE
-            ELSE len(list_intersect(sk, nk))::DOUBLE / least(len(sk), len(nk)) END AS near_next
+       {_like_sql("sk", "ek")} AS near_edited,
+       {_like_sql("sk", "nk")} AS near_next
 FROM z
 """
 

@@ -1,14 +1,17 @@
 """Document fingerprints: a threshold-scaled sketch of word shingles.
 
 Every distinct five-word shingle is hashed (md5) and kept if its hash lies
-below a fixed fraction (1/16) of the hash space; the smallest hash is kept as
-well, so a text with a word never has an empty sketch. The sketch of a union
-is the union of the sketches cut by the same rule, so sketches merge, and
+below a fixed fraction (3/8) of the hash space; where none does, the smallest
+hash is kept, so a text with a word never has an empty sketch. The sketch of a
+union is the union of the sketches cut by the same rule, so sketches merge, and
 
-    containment(A in B) ~ |sketch A and sketch B| / |sketch A|
+    containment(A in B) ~ |below A and below B| / |below A|
 
-holds also between texts of very unequal length. ``likeness`` is the
-containment of the smaller sketch in the larger one.
+over the hashes below the threshold holds also between texts of very unequal
+length. A smallest hash above it tells texts apart and no more: it is in no
+larger sketch, so it does not count. ``likeness`` is the containment of the one
+with fewer hashes below in the other; where it has none, 1 if the sketches are
+equal and else 0.
 
 Words are taken unchanged. A text of one to four words has one shingle of all
 its words; a text without words (null, empty, white space) has an empty
@@ -18,7 +21,8 @@ fingerprints; repeated shingles count once.
 ``with_next`` pairs each document with the next one in descending id order
 (null ids come last, ties by text hash and text; after the last the first).
 Documents are dealt to id ranges cut at quantiles, so one shuffle moves each
-text once; the first document of a range is also sent to the range above it.
+text once, and sketches are made after it; the first document of a range is also
+sent to the range above it.
 The table of ranges that is broadcast has four rows for each shuffle partition.
 """
 
@@ -33,7 +37,7 @@ from .common import words_of, written
 
 WORDS = 5
 DIGITS = 16  # hex digits kept of a shingle's hash
-BELOW = "1"  # hashes whose first hex digit is below: 1/16 of all
+BELOW = "6"  # hashes whose first hex digit is below: 3/8 of all
 
 
 def sketch(text: Column) -> Column:
@@ -66,19 +70,24 @@ def merge(a: Column, b: Column) -> Column:
     return F.filter(both, lambda h, i: (h < F.lit(BELOW)) | (i == 0))
 
 
+def _below(a: Column) -> Column:
+    return F.filter(a, lambda h: h < F.lit(BELOW))
+
+
+def _shared(a: Column, b: Column, of: Column) -> Column:
+    """Share of ``of`` hashes below the threshold that two sketches have in common."""
+    both = F.size(F.array_intersect(_below(a), _below(b)))
+    return F.when(of == 0, (a == b).cast("double")).otherwise(both / of)
+
+
 def containment(a: Column, b: Column) -> Column:
     """Estimated share of a's shingles that are in b; empty in empty is 1."""
-    return F.when(F.size(a) == 0, (F.size(b) == 0).cast("double")).otherwise(
-        F.size(F.array_intersect(a, b)) / F.size(a)
-    )
+    return _shared(a, b, F.size(_below(a)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Containment of the smaller sketch in the larger one, 0 to 1."""
-    least = F.least(F.size(a), F.size(b))
-    return F.when(least == 0, (F.size(a) == F.size(b)).cast("double")).otherwise(
-        F.size(F.array_intersect(a, b)) / least
-    )
+    """Containment of the sketch with fewer hashes below the threshold, 0 to 1."""
+    return _shared(a, b, F.least(F.size(_below(a)), F.size(_below(b))))
 
 
 def id_ranges(docs: DataFrame, id_col: str, n: int) -> list[int]:
@@ -131,7 +140,8 @@ def with_next(
         .withColumn("_guest", F.lit(True))
         .drop("_r", "_top", "_above", "_n")
     )
-    both = dealt.withColumn("_guest", F.lit(False)).unionByName(heads).withColumns(derived)
+    both = dealt.withColumn("_guest", F.lit(False)).unionByName(heads)
+    both = both.repartition("_range").withColumns(derived)  # derived after the shuffle
     every = [*columns, *derived]
     inside = Window.partitionBy("_range").orderBy(
         "_guest", F.col(id_col).desc_nulls_last(), *[F.col(c) for c in columns]
