@@ -55,15 +55,35 @@ def settle(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Document keys from here on stand for null ids; no id may reach it.
+NULL_FROM = 2**63 - 2**60
+
+
 def document_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
-    """(k_id, k_tie): a document is a distinct (id, text); null ids sort last.
-    Repeated rows share a key, so a document is never its own copy."""
+    """(k_id, k_tie): a document is a distinct (id, text). Documents without an
+    id sort last, each with a key of 92 bits of its text's hashes, so different
+    texts do not fall together. Repeated rows share a key, so a document is never
+    its own copy. An id of ``NULL_FROM`` or more is an error."""
+    own, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    unnamed = F.lit(NULL_FROM) + F.shiftrightunsigned(F.xxhash64(text), 4)
+    too_large = F.raise_error(F.lit(f"document ids must be below {NULL_FROM}")).cast("long")
     return [
-        F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("k_id"),
-        F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("k_tie"),
+        F.when(own.isNull(), unnamed).when(own < NULL_FROM, own).otherwise(too_large).alias("k_id"),
+        F.hash(text).alias("k_tie"),
     ]
 
 
+def id_of(key: str | Column) -> Column:
+    """The id of a document key: null for documents without one."""
+    k = F.col(key) if isinstance(key, str) else key
+    return F.when(k < NULL_FROM, k)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``row``, out of the way of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Dense 0-based position of every row in a total order without a single
     task: range partitions, a rank inside each, and the sum of the partitions

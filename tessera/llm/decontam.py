@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_key, settle, written
+from .common import document_key, settle, whole_row, written
 
 SHINGLE = 5
 RADIUS = 15
@@ -213,6 +213,5 @@ def decontaminate(
 ) -> DataFrame:
     """Rows of ``docs`` that contain no benchmark item."""
     found = written(matches(docs, benchmark, id_col, text, **options).select(*KEY).distinct(), "decontam-found")
-    columns = docs.columns
-    key = dict(zip(KEY, document_key(id_col, text), strict=True))
-    return docs.withColumns(key).join(found, KEY, "left_anti").select(*columns)
+    keyed = docs.select(whole_row(docs), *document_key(id_col, text))
+    return keyed.join(found, KEY, "left_anti").select("row.*")

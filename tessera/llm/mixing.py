@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, document_key, global_rank, written
+from .common import WORD, document_key, global_rank, whole_row, written
 
 RANGES = 1024
 _RANGE_SHIFT = 50  # of 60 hash bits, the top ten name the range
@@ -85,7 +85,9 @@ def mix_plan(
     seed: int = 0,
 ) -> DataFrame:
     """``sized`` with columns source_size, target (of the row's source), reps
-    (repetitions the mix takes) and taken (their words); other columns stay."""
+    (repetitions the mix takes) and taken (their words); other columns stay, and
+    those of the same names are replaced."""
+    sized = sized.drop("source_size", "target", "reps", "taken")
     base = sized.withColumn("_h", sample_hash(F.col(id_col), seed)).withColumn(
         "_range", F.shiftright("_h", _RANGE_SHIFT)
     )
@@ -152,26 +154,25 @@ def mix_plan(
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mixed collection: every row as often as its plan says, with the
     columns of ``docs``."""
-    columns = docs.columns
-    keyed = docs.withColumns(dict(zip(("k_id", "k_tie"), document_key(id_col, text), strict=True)))
-    sized = keyed.select(
-        "k_id", "k_tie", F.col(source).alias("_src"), word_count(F.col(text)).alias("_size")
+    keyed = docs.select(
+        whole_row(docs), *document_key(id_col, text), F.col(f"`{source}`").alias("src"),
+        word_count(F.col(f"`{text}`")).alias("size"),
     )
-    plan = mix_plan(written(sized, "mix-sized"), "k_id", "_src", "_size")
+    same = ["k_id", "k_tie", "src"]
+    plan = mix_plan(written(keyed.select(*same, "size"), "mix-sized"), "k_id", "src", "size")
     # Rows that repeat share out what the plan gives to all of them.
-    same = ["k_id", "k_tie", "_src"]
-    plan = plan.groupBy(*same).agg(F.sum("reps").alias("_reps"), F.count(F.lit(1)).alias("_rows"))
+    plan = plan.groupBy(*same).agg(F.sum("reps").alias("reps"), F.count(F.lit(1)).alias("rows"))
     on = (
         (F.col("d.k_id") == F.col("p.k_id")) & (F.col("d.k_tie") == F.col("p.k_tie"))
-        & F.col(f"d.{source}").eqNullSafe(F.col("p._src"))
+        & F.col("d.src").eqNullSafe(F.col("p.src"))
     )
-    place = F.row_number().over(Window.partitionBy("d.k_id", "d.k_tie", f"d.{source}").orderBy(F.lit(0)))
-    times = F.floor(F.col("_reps") / F.col("_rows")) + F.when(place <= F.col("_reps") % F.col("_rows"), 1).otherwise(0)
+    place = F.row_number().over(Window.partitionBy("d.k_id", "d.k_tie", "d.src").orderBy(F.lit(0)))
+    times = F.floor(F.col("reps") / F.col("rows")) + F.when(place <= F.col("reps") % F.col("rows"), 1).otherwise(0)
     return (
-        keyed.alias("d")
+        keyed.drop("size").alias("d")
         .join(plan.alias("p"), on)
-        .select(*[F.col(f"d.{c}") for c in columns], times.cast("int").alias("_times"))
-        .where("_times > 0")
-        .select(*columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
-        .drop("_copy")
+        .select("d.row", times.cast("int").alias("times"))
+        .where("times > 0")
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .select("row.*")
     )

@@ -54,6 +54,7 @@ from .common import (
     sorted_groups,
     spread_rows,
     text_bytes,
+    whole_row,
     word_hashes,
     written,
 )
@@ -422,7 +423,7 @@ def similarity_classes(
     least document of its class and the number of documents linked to it."""
     spark = docs.sparkSession
     n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(*document_key(id_col, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keyed = docs.select(*document_key(id_col, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     sigs = written(
         keyed.mapInArrow(_signatures, "k_id long, k_tie int, size int, s1 long, s2 long, sig binary"),
         "join-signatures",
@@ -486,8 +487,7 @@ def similarity_classes(
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` with the least document of every class only; of
     repeated rows one."""
-    columns = docs.columns
     classes = similarity_classes(docs, id_col, text, **options)
     first = classes.where("k_id = c_id and k_tie = c_tie").select(*KEY)
-    key = dict(zip(KEY, document_key(id_col, text), strict=True))
-    return docs.withColumns(key).dropDuplicates(KEY).join(first, KEY, "left_semi").select(*columns)
+    keyed = docs.select(whole_row(docs), *document_key(id_col, text)).dropDuplicates(KEY)
+    return keyed.join(first, KEY, "left_semi").select("row.*")

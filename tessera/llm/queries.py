@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import audit, decontam, gridcodes, htmltext, langid, mixing, ngramjoin, pivots, quality, repeats, sketch, tokenfile, urlfilter
-from .common import document_key, read_table, written
+from .common import document_key, id_of, read_table, written
 
 # The rules of the URL filter (action, host, path).
 RULES = [
@@ -24,12 +24,6 @@ RULES = [
 ]
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-NULL_ID = 2**63 - 1
-
-
-def _doc_id(col: str):
-    """The id of a document key: null ids come back as null."""
-    return F.when(F.col(col) != NULL_ID, F.col(col)).alias("doc_id")
 
 
 def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,7 +57,7 @@ def op5_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontam.matches(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
-    return found.select(_doc_id("k_id"), "item_id", "similarity", "start", F.col("n").alias("n_words"))
+    return found.select(id_of("k_id").alias("doc_id"), "item_id", "similarity", "start", F.col("n").alias("n_words"))
 
 
 def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +65,7 @@ def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     classes = ngramjoin.similarity_classes(docs)
     key = dict(zip(ngramjoin.KEY, document_key(), strict=True))
     rows = docs.select("doc_id", *[c.alias(n) for n, c in key.items()]).join(classes, ngramjoin.KEY)
-    return rows.select("doc_id", F.when(F.col("c_id") != NULL_ID, F.col("c_id")).alias("class_id"), "n_links")
+    return rows.select("doc_id", id_of("c_id").alias("class_id"), "n_links")
 
 
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:

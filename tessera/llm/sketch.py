@@ -121,32 +121,35 @@ def with_next(
     derived = derived or {}
     n = n or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = id_ranges(docs, id_col, n)
+    # Own columns have more underscores in front than any of the table's.
+    pad = "_" * (max(len(c) - len(c.lstrip("_")) for c in docs.columns) + 1)
+    in_range, guest, following_row, top, above, nth = (pad + x for x in ("range", "guest", "next", "top", "above", "n"))
     # Ranges count down with the id; null ids are the last range.
     number = F.when(F.col(id_col).isNull(), len(cuts) + 1).otherwise(_cuts_above(cuts, F.col(id_col)))
-    dealt = docs.withColumn("_range", number)
-    tops = written(dealt.groupBy("_range").agg(F.max(id_col).alias("_top")), "sketch-ranges")
-    ring = Window.orderBy("_range")  # one row per range
-    last = F.max("_range").over(Window.partitionBy())
+    dealt = docs.withColumn(in_range, number)
+    tops = written(dealt.groupBy(in_range).agg(F.max(id_col).alias(top)), "sketch-ranges")
+    ring = Window.orderBy(in_range)  # one row per range
+    last = F.max(in_range).over(Window.partitionBy())
     tops = tops.select(
-        F.col("_range").alias("_r"), "_top", F.coalesce(F.lag("_range").over(ring), last).alias("_above")
+        F.col(in_range).alias(f"{pad}r"), top, F.coalesce(F.lag(in_range).over(ring), last).alias(above)
     )
     # The first document of each range also ends the range above it.
-    first = Window.partitionBy("_r").orderBy(*[F.col(c) for c in columns])
+    first = Window.partitionBy(f"{pad}r").orderBy(*[F.col(c) for c in columns])
     heads = (
-        dealt.join(F.broadcast(tops), (F.col("_range") == F.col("_r")) & F.col(id_col).eqNullSafe(F.col("_top")))
-        .withColumn("_n", F.row_number().over(first))
-        .where("_n = 1")
-        .withColumn("_range", F.col("_above"))
-        .withColumn("_guest", F.lit(True))
-        .drop("_r", "_top", "_above", "_n")
+        dealt.join(F.broadcast(tops), (F.col(in_range) == F.col(f"{pad}r")) & F.col(id_col).eqNullSafe(F.col(top)))
+        .withColumn(nth, F.row_number().over(first))
+        .where(F.col(nth) == 1)
+        .withColumn(in_range, F.col(above))
+        .withColumn(guest, F.lit(True))
+        .drop(f"{pad}r", top, above, nth)
     )
-    both = dealt.withColumn("_guest", F.lit(False)).unionByName(heads)
-    both = both.repartition("_range").withColumns(derived)  # derived after the shuffle
+    both = dealt.withColumn(guest, F.lit(False)).unionByName(heads)
+    both = both.repartition(in_range).withColumns(derived)  # derived after the shuffle
     every = [*columns, *derived]
-    inside = Window.partitionBy("_range").orderBy(
-        "_guest", F.col(id_col).desc_nulls_last(), *[F.col(c) for c in columns]
+    inside = Window.partitionBy(in_range).orderBy(
+        guest, F.col(id_col).desc_nulls_last(), *[F.col(c) for c in columns]
     )
-    following = both.withColumn("_next", F.lead(F.struct(*every)).over(inside)).where("not _guest")
+    following = both.withColumn(following_row, F.lead(F.struct(*every)).over(inside)).where(~F.col(guest))
     return following.select(
-        *docs.columns, *derived, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in every]
+        *docs.columns, *derived, *[F.col(f"{following_row}.{c}").alias(f"next_{c}") for c in every]
     )

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import audit, common, gridcodes, ngramjoin, pivots, queries
+from tessera.llm import audit, common, decontam, gridcodes, mixing, ngramjoin, pivots, queries, sketch
 
 VECTORS = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT, code STRING"
 DOCS = "doc_id BIGINT, text STRING, lang STRING, mask INT, `a.b` STRING"
@@ -341,3 +341,42 @@ def test_near_copies_do_not_multiply_path_rows(spark):
     got = ngramjoin.similarity_classes(docs, bucket=32, block=64).collect()
     assert {r.c_id for r in got if r.k_id < 400} == {0}
     assert all(r.n_links == 399 for r in got if r.k_id < 400)
+
+
+# --- rows are kept whole -----------------------------------------------------------
+
+
+CLASH = "k_id STRING, k_tie STRING, `a.b` INT, doc_id BIGINT, text STRING, source STRING, _range INT, size INT, times INT, `row` INT"
+
+
+def test_documents_without_id_are_told_apart(spark):
+    texts = spark.range(400_000).select(F.concat(F.lit("text number "), "id").alias("text"))
+    twins = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("same")).where(F.size("same") > 1).first().same[:2]
+    rows = [(None, t) for t in twins] + [(None, twins[0]), (4, twins[0]), (4, twins[1])]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    keys = docs.select(*common.document_key()).distinct().collect()
+    assert len({tuple(k) for k in keys}) == 3  # an id with two texts of one hash is one document
+    kept = ngramjoin.one_of_each_class(docs.where("doc_id is null")).collect()
+    assert sorted(r.text for r in kept) == sorted(twins)
+    with pytest.raises(Exception, match="document ids must be below"):
+        spark.createDataFrame([(2**63 - 5, "x")], "doc_id BIGINT, text STRING").select(*common.document_key()).collect()
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(300)}" for _ in range(40))
+    copy = text()
+    rows = [("mine", "own", 7, i, text(), rng.choice(["a", "b"]), 1, 2, 3, 4) for i in range(20)]
+    rows += [("mine", "own", 7, i, copy, "a", 1, 2, 3, 4) for i in (50, 51)]
+    docs = spark.createDataFrame(rows, CLASH)
+    bench = spark.createDataFrame([(1, rows[3][4])], "item_id BIGINT, text STRING")
+    for out, ids in (
+        (ngramjoin.one_of_each_class(docs), {*range(20), 50}),
+        (decontam.decontaminate(docs, bench), {*range(20), 50, 51} - {3}),
+    ):
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.collect()} == {r for r in rows if r[3] in ids}
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= set(rows)
+    after = sketch.with_next(docs.drop("a.b"), "doc_id", ["text"], {"sk": sketch.sketch(F.col("text"))}).collect()
+    assert len(after) == len(rows) and all(r._range == 1 and r.k_id == "mine" for r in after)
