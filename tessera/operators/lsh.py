@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import h60
 from tessera.functions.text import tokens
-from tessera.operators.partitioning import BUCKET_SALTS, dense_index, salted_join
+from tessera.operators.partitioning import dense_index, meet
 from tessera.operators.classify import majority_vote
 from tessera.operators.graph.core import Loop
 from tessera.operators.similarity import HALF_PI, candidate_distance, overlap_distance
@@ -103,16 +103,16 @@ def mask_signature(sig: DataFrame, n: int) -> DataFrame:
 
 
 def lsh_candidates(
-    query_sig: DataFrame, model_sig: DataFrame, keys: Sequence[str] = (), salts: int = BUCKET_SALTS
+    query_sig: DataFrame, model_sig: DataFrame, keys: Sequence[str] = (), salts: int | None = None
 ) -> DataFrame:
     """(keys..., q_id, m_id, hits): model vectors sharing a bucket with the
     query in ``hits`` bands (a hit in several bands counts several times).
-    The bucket join is salted: near-duplicate documents or few planes make
+    The bucket join splits hot buckets by their size: near-duplicate documents or few planes make
     crowded buckets, and every candidate is kept (no cap)."""
     q = query_sig.select(*keys, F.col("doc_id").alias("q_id"), "band", "sig_lo", "sig_hi")
     m = model_sig.select(*keys, F.col("doc_id").alias("m_id"), "band", "sig_lo", "sig_hi")
     return (
-        salted_join(q, m, [*keys, "band", "sig_lo", "sig_hi"], "m_id", salts)
+        meet(q, m, [*keys, "band", "sig_lo", "sig_hi"], "m_id", salts)
         .groupBy(*keys, "q_id", "m_id")
         .agg(F.count(F.lit(1)).alias("hits"))
     )

@@ -39,18 +39,50 @@ def fan_out(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(n, key)
 
 
-# Salts for joins whose keys are hot by construction: an LSH table of few
-# planes has 2..16 buckets, so without a split a handful of tasks would hold
-# the whole model. The small (query) side is replicated this many times.
-BUCKET_SALTS = 4
-# Token joins: the query side is a bounded sample (usually broadcast) and
-# AQE's skew join splits oversized stop-word partitions; pass salts > 1 when
-# both sides are large.
-TOKEN_SALTS = 1
+# Counters of the frequency sketch: keys are counted by the hash class they fall
+# into, so a counter is never below the number of rows of any of its keys.
+COUNTERS = 1 << 16
+# Rows that a task of a join may take of one key whatever the size of the table.
+FEW_ROWS = 1 << 13
+
+
+def hot_classes(large: DataFrame, on: list[str], parts: int | None = None, few_rows: int = FEW_ROWS) -> DataFrame:
+    """(_class, _n): the hash classes of keys that hold more rows than a task's
+    share of ``large`` (its rows over ``parts``, else the shuffle partitions, and
+    ``few_rows`` at least), and the number of shares in them. One pass and one
+    exchange of at most ``COUNTERS`` counters a task, which merge by addition;
+    at most ``parts`` rows, as each holds a share."""
+    parts = parts or int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = large.groupBy(_class(on).alias("_class")).agg(F.count(F.lit(1)).alias("_rows"))
+    # A window over at most COUNTERS rows.
+    share = F.greatest(F.lit(few_rows), F.ceil(F.sum("_rows").over(Window.partitionBy()) / F.lit(parts)))
+    met = counts.withColumn("_share", share)
+    return met.where(F.col("_rows") > F.col("_share")).select("_class", F.ceil(F.col("_rows") / F.col("_share")).cast("int").alias("_n"))
+
+
+def _class(on: list[str]):
+    return F.pmod(F.xxhash64(*on), F.lit(COUNTERS)).cast("int")
+
+
+def split_join(
+    small: DataFrame, large: DataFrame, on: list[str], large_id: str, parts: int | None = None, few_rows: int = FEW_ROWS
+) -> DataFrame:
+    """Inner equi-join on ``on`` whose hot keys are split by their size: the rows
+    of ``large`` under a key in a hot class (``hot_classes``) get one of its n
+    salts by their id, and the rows of ``small`` under it are repeated n times;
+    all other rows join as they are. A key in every row of ``large`` takes as many
+    tasks as it has shares. The joined rows are those of the plain join."""
+    hot = hot_classes(large, on, parts, few_rows)
+    n = F.coalesce("_n", F.lit(1))
+    s = small.withColumn("_class", _class(on)).join(F.broadcast(hot), "_class", "left")
+    s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_class", "_n")
+    lg = large.withColumn("_class", _class(on)).join(F.broadcast(hot), "_class", "left")
+    lg = lg.withColumn("_salt", F.pmod(F.xxhash64(F.col(large_id)), n).cast("int")).drop("_class", "_n")
+    return s.join(lg, [*on, "_salt"]).drop("_salt")
 
 
 def salted_join(
-    small: DataFrame, large: DataFrame, on: list[str], large_id: str, salts: int = BUCKET_SALTS
+    small: DataFrame, large: DataFrame, on: list[str], large_id: str, salts: int
 ) -> DataFrame:
     """Inner equi-join on ``on`` that splits every key ``salts`` ways: each
     row of ``large`` gets one salt from a hash of its ``large_id`` column,
@@ -62,3 +94,8 @@ def salted_join(
     s = small.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     lg = large.withColumn("_salt", F.pmod(F.xxhash64(F.col(large_id)), F.lit(salts)).cast("int"))
     return s.join(lg, [*on, "_salt"]).drop("_salt")
+
+
+def meet(small: DataFrame, large: DataFrame, on: list[str], large_id: str, salts: int | None) -> DataFrame:
+    """``salted_join`` with a given number of salts, else ``split_join``."""
+    return split_join(small, large, on, large_id) if salts is None else salted_join(small, large, on, large_id, salts)
