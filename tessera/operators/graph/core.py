@@ -8,11 +8,12 @@ previous state, and take one scalar per superstep as the stop value.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
@@ -204,3 +205,56 @@ def iterate_messages(
         if next_state is not None:
             state = next_state(state)
     return loop.finish(v)
+
+
+def message_loop(
+    vertices: DataFrame,
+    edges: DataFrame,
+    send: Callable[[object], Column],
+    merge: Column,
+    update: Callable[[object], dict[str, Column]],
+    max_iter: int | None = None,
+    state=None,
+    next_state: Callable[[object], object] | None = None,
+    checkpoint_every: int = 3,
+) -> DataFrame:
+    """Message passing by Column expressions over ``vertices(id, attr...)`` and
+    ``edges(src, dst)``.
+
+    In a superstep every edge sends ``send(state)`` to its ``dst``; null is no
+    message. The expression may name ``src``, ``dst`` and the ends' attributes
+    ``src_<attr>`` and ``dst_<attr>``; only the ends whose attributes it names
+    are joined, with those attributes alone. ``merge`` is an aggregate over the
+    column ``msg``. ``update(state)`` gives new values of attributes from the
+    vertex's columns and the merged ``msg`` (null where none came). ``state`` is
+    a driver value, as an iteration number or a slice, that ``next_state``
+    advances. Stops when no message is sent, or after ``max_iter`` supersteps.
+    Edges lie by ``src`` and vertices by ``id``."""
+    loop = Loop(checkpoint_every)
+    with laid_out(edges) as parts:
+        e = loop.keep(edges.select("src", "dst").repartition(parts, "src"), now=True)
+        v = loop.keep(vertices.repartition(parts, "id"), now=True)
+        for _ in itertools.count() if max_iter is None else range(max_iter):
+            merged = sent(v, e, send(state)).groupBy("id").agg(merge.alias("msg")).persist(StorageLevel.MEMORY_AND_DISK)
+            if merged.isEmpty():
+                merged.unpersist()
+                break
+            new = update(state)
+            met = v.join(merged, "id", "left")
+            v = loop.step(met.select("id", *[new.get(c, F.col(c)).alias(c) for c in v.columns if c != "id"]), (parts, "id"))
+            merged.unpersist()
+            if next_state is not None:
+                state = next_state(state)
+        return loop.finish(v)
+
+
+def sent(v: DataFrame, e: DataFrame, message: Column) -> DataFrame:
+    """(id, msg): the messages of one superstep of ``message_loop``."""
+    named = set(re.findall(r"\b(?:src|dst)_\w+", str(message)))
+    triplets = e
+    for side in ("src", "dst"):
+        attrs = [c for c in v.columns if f"{side}_{c}" in named]
+        if attrs:
+            end = v.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in attrs])
+            triplets = triplets.join(end, side)
+    return triplets.select(F.col("dst").alias("id"), message.alias("msg")).where("msg is not null")

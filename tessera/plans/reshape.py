@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.bags import token_bag
 from tessera.operators.classify import majority_vote
+from tessera.operators.graph.core import message_loop
 from tessera.operators.reshape import pivot, sequence_ids, tag_union, unpivot
 from tessera.operators.similarity import knn_exact
 from tessera.plans import corpus as C
@@ -216,6 +217,23 @@ UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier""",
 # ---- message passing, metrics sinks --------------------------------------------
 
 
+def q_message_lpa(spark, sf_dir):
+    """Partitioned label propagation as Column expressions: the state is the
+    superstep's number, from which iteration and active slice follow."""
+    e = GP.edges(spark, sf_dir)
+    steps, parts, seed = GP.PLPA["steps"], GP.PLPA["partitions"], GP.PLPA["seed"]
+    start = GP.vertices_of(e).select("id", F.col("id").alias("label"))
+    active = lambda i: GP.LP.slice_of(F.col("dst"), parts, seed) == F.lit(i % parts)
+    out = message_loop(
+        start, GP.LP.links_of(e),
+        send=lambda i: F.when(active(i), F.col("src_label")),
+        merge=F.mode("msg", True),  # the most frequent label, of equals the least
+        update=lambda i: {"label": F.coalesce("msg", "label")},
+        max_iter=steps * parts, state=1, next_state=lambda i: i + 1,
+    )
+    return out.select("id", F.col("label").alias("cluster"))
+
+
 def q_min_label_components(spark, sf_dir):
     """Weak components through the generic message-passing loop: every
     vertex sends its label to neighbours with a larger one; receivers keep
@@ -279,6 +297,7 @@ def q_rmse_json(spark, sf_dir):
 
 QUERIES.update(
     {
+        "message_lpa": q_message_lpa,
         "min_label_components": q_min_label_components,
         "min_label_forest": q_min_label_forest,
         "lsh_sweep_csv": q_lsh_sweep_csv,
@@ -292,6 +311,7 @@ def _oracles_late():
     from tessera.plans import lsh as LS
 
     return {
+        "message_lpa": GP.ORACLES["lpa_partitioned"],
         "min_label_components": GP.components_sql(False),
         "min_label_forest": GP.components_sql(False, GP.FOREST_GRAPH),
         "lsh_sweep_csv": LS.ORACLES["lsh_sweep"],

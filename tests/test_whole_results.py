@@ -272,3 +272,24 @@ def test_a_superstep_has_one_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.catalog.clearCache()
+
+
+def test_message_loop_joins_only_the_ends_it_names(spark):
+    from tessera.operators.graph import core
+
+    e = edges_df(spark, [(1, 2), (2, 3), (3, 4), (4, 2), (9, 9)])
+    v = ids_df(spark, [1, 2, 3, 4, 9]).select("id", (10 - F.col("id")).alias("w"), F.lit(0).cast("long").alias("seen"))
+
+    def joins(message):
+        return core.sent(v, e, message)._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+    assert [joins(m) for m in (F.lit(1), F.col("src_w"), F.col("dst_w"), F.col("src_w") + F.col("dst_seen"))] == [0, 1, 1, 2]
+    # The largest weight that reaches a vertex, and the step at which it came.
+    got = core.message_loop(
+        v, e,
+        send=lambda step: F.when(F.col("src_w") > F.col("dst_w"), F.col("src_w")),
+        merge=F.max("msg"),
+        update=lambda step: {"w": F.coalesce("msg", "w"), "seen": F.when(F.col("msg").isNotNull(), step).otherwise(F.col("seen"))},
+        state=1, next_state=lambda step: step + 1,
+    )
+    assert {r.id: (r.w, r.seen) for r in got.collect()} == {1: (9, 0), 2: (9, 1), 3: (9, 2), 4: (9, 3), 9: (1, 0)}
