@@ -39,8 +39,7 @@ def op2_repeats(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_urls(spark: SparkSession, sf: str) -> DataFrame:
     pages = read_table(spark, sf, "pages").select("page_id", "url")
-    host, _ = urlfilter.split_url(F.col("url"))
-    labelled = pages.select("url", urlfilter.flagged(host).alias("label")).where(F.instr("url", "://") > 0)
+    labelled = urlfilter.labelled_by_rules(pages, RULES)
     return urlfilter.judge(pages, urlfilter.train(labelled), RULES, ["page_id"])
 
 

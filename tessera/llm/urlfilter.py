@@ -4,12 +4,16 @@
 list of rules (host with its subdomains, path prefix). Where none fits,
 ``UrlModel`` judges: lengths, depth, digit ratio, entropy of the host's
 characters, counts of parameters, hyphens and dots, and statistics of the
-host's suffix (how often it was seen in training and how often to be blocked).
+host's suffix, alone and with the first part of the path (how often it was seen
+in training and how often to be blocked).
 
 The trees are trained with Spark's own learner on labelled URLs, at most
-``max_rows`` of them, half for each label, picked by hash, so the choice does
-not depend on the partitioning. Suffix statistics come from that sample alone:
-the table has at most ``max_rows`` rows and is broadcast.
+``max_rows`` distinct ones, half for each label, picked by hash, so the choice
+does not depend on the partitioning. Labels are given: by a table, or by the
+rules (``labelled_by_rules``), whose decisions the trees carry over to URLs that
+no rule fits. Suffix and section statistics come from the sample alone: the tables
+have at most ``max_rows`` rows and are broadcast. A training row is shown the statistics of the
+other folds only, so a label does not reach the trees through its own suffix.
 
 Null URLs and URLs without ``://`` have empty host and path, fit no rule and
 are judged by their features like all others. Without any labelled URL of one
@@ -30,9 +34,6 @@ from .common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Words of a host that mark a labelled URL as one to be blocked.
-MARKED_WORDS = "adult bets betting casino casinos escort gambling poker porn sex slots spam viagra warez xxx".split()
-
 
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; both empty without ``://``."""
@@ -52,15 +53,26 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     return best
 
 
-def flagged(host: Column) -> Column:
-    """Weak label: 1 if a word of the host is one of the marked words."""
-    words = F.split(host, "[^a-z0-9]+")
-    return F.arrays_overlap(words, F.array(*[F.lit(w) for w in MARKED_WORDS])).cast("double")
+def labelled_by_rules(urls: DataFrame, rules: list[tuple[str, str, str]], url: str = "url") -> DataFrame:
+    """(url, label) of the URLs that a rule decides: 1 for block, 0 for allow."""
+    host, path = split_url(F.col(url))
+    action = rule_for(host, path, rules)["action"]
+    return urls.select(F.col(url).alias("url"), action.alias("action")).where("action is not null").select(
+        "url", (F.col("action") == "block").cast("double").alias("label")
+    )
+
+
+FOLDS = 5
+SMOOTH = 10.0  # rows of the average label that every suffix is given
+
+
+def _fold(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url, F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
 FEATURES = [
     "f_host", "f_path", "f_url", "f_depth", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_labels",
-    "f_longest", "f_query", "f_suffix_seen", "f_suffix_rate",
+    "f_longest", "f_query", "f_suffix_seen", "f_suffix_rate", "f_section_seen", "f_section_rate",
 ]
 
 
@@ -78,7 +90,8 @@ def _entropy(text: Column) -> Column:
 
 
 def lexical(df: DataFrame, url: str = "url") -> DataFrame:
-    """Add the lexical features of a URL and its suffix (last two labels)."""
+    """Add the lexical features of a URL, its suffix (the host's last two labels)
+    and its section (suffix and first part of the path)."""
     text = F.coalesce(F.col(url), F.lit(""))
     host, path = split_url(F.col(url))
     labels = F.split(host, r"\.")
@@ -97,22 +110,22 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
         .withColumn("f_longest", F.array_max(F.transform(labels, lambda s: F.length(s))).cast("double"))
         .withColumn("f_query", F.length(query).cast("double"))
         .withColumn("suffix", F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2))))
+        .withColumn("section", F.concat("suffix", F.regexp_extract(path, "^/[^/]*", 0)))
     )
 
 
 @dataclass
 class UrlModel:
-    """Suffix statistics and trees; without trees everything is allowed."""
+    """Suffix and section statistics (each: key, f_seen, f_rate) and trees;
+    without trees everything is allowed."""
 
     suffixes: DataFrame | None
+    sections: DataFrame | None
     trees: GBTClassificationModel | None
     prior: float
 
     def _features(self, df: DataFrame, url: str) -> DataFrame:
-        rows = lexical(df, url).join(F.broadcast(self.suffixes), "suffix", "left")
-        return rows.withColumn("f_suffix_seen", F.log1p(F.coalesce("f_seen", F.lit(0)))).withColumn(
-            "f_suffix_rate", F.coalesce("f_rate", F.lit(self.prior))
-        )
+        return _with_rates(lexical(df, url), {"suffix": self.suffixes, "section": self.sections}, [], self.prior)
 
     def score(self, df: DataFrame, url: str = "url", out: str = "p_block") -> DataFrame:
         """Add the probability that a URL is to be blocked."""
@@ -124,14 +137,39 @@ class UrlModel:
         return scored.select(*columns, vector_to_array(F.col("f_probability"))[1].alias(out))
 
 
+def _with_rates(rows: DataFrame, tables: dict[str, DataFrame], on: list[str], prior: float) -> DataFrame:
+    """Statistics of the suffix and the section, joined by those and ``on``."""
+    for key, table in tables.items():
+        rows = rows.join(F.broadcast(table), [key, *on], "left")
+        rows = rows.withColumn(f"f_{key}_seen", F.log1p(F.coalesce("f_seen", F.lit(0)))).withColumn(
+            f"f_{key}_rate", F.coalesce("f_rate", F.lit(prior))
+        ).drop("f_seen", "f_rate")
+    return rows
+
+
+def _rates(sample: DataFrame, key: str, prior: float) -> tuple[DataFrame, DataFrame]:
+    """(key, f_seen, f_rate) of all rows, and (key, fold, f_seen, f_rate) of the
+    rows of the other folds."""
+    parts = sample.groupBy(key, "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked"))
+    parts = written(parts, "url-rates")
+    sums = parts.groupBy(key).agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"))
+    stats = F.col("n").alias("f_seen"), ((F.col("blocked") + SMOOTH * prior) / (F.col("n") + SMOOTH)).alias("f_rate")
+    own = parts.select(key, "fold", F.col("n").alias("own_n"), F.col("blocked").alias("own_blocked"))
+    others = own.join(sums, key).select(
+        key, "fold", (F.col("n") - F.col("own_n")).alias("n"), (F.col("blocked") - F.col("own_blocked")).alias("blocked")
+    )
+    return written(sums.select(key, *stats), "url-rates"), others.select(key, "fold", *stats)
+
+
 def train(
     labelled: DataFrame, url: str = "url", label: str = "label", max_rows: int = 20_000, trees: int = 20, depth: int = 4,
     seed: int = 7,
 ) -> UrlModel:
-    """Fit on at most ``max_rows`` labelled URLs (label 1: block, 0: allow)."""
+    """Fit on at most ``max_rows`` distinct labelled URLs (label 1: block, 0:
+    allow). A URL with both labels is there once for each."""
     distinct = labelled.where(F.col(url).isNotNull() & F.col(label).isNotNull()).select(
         F.col(url).alias("url"), F.col(label).cast("double").alias("label")
-    )
+    ).distinct()
     order = F.xxhash64("url"), F.col("url"), F.col("label")
     half = max_rows // 2
     sample = distinct.where("label = 1").orderBy(*order).limit(half).unionAll(
@@ -140,18 +178,13 @@ def train(
     sample = written(sample, "url-sample")
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(counts) < 2:
-        return UrlModel(None, None, 0.0)
+        return UrlModel(None, None, None, 0.0)
     prior = counts[1.0] / sum(counts.values())
-    smooth = 10.0
-    suffixes = written(
-        lexical(sample).groupBy("suffix").agg(
-            F.count(F.lit(1)).alias("f_seen"),
-            ((F.sum("label") + smooth * prior) / (F.count(F.lit(1)) + smooth)).alias("f_rate"),
-        ),
-        "url-suffixes",
-    )
-    model = UrlModel(suffixes, None, prior)
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="f_vector").transform(model._features(sample, "url"))
+    told = lexical(sample).withColumn("fold", _fold(F.col("url")))
+    (suffixes, other_suffixes), (sections, other_sections) = (_rates(told, key, prior) for key in ("suffix", "section"))
+    model = UrlModel(suffixes, sections, None, prior)
+    shown = _with_rates(told, {"suffix": other_suffixes, "section": other_sections}, ["fold"], prior)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="f_vector").transform(shown)
     rows = rows.select("f_vector", "label", "url").coalesce(1).sortWithinPartitions(F.xxhash64("url"), "url")
     learner = GBTClassifier(
         featuresCol="f_vector", labelCol="label", maxIter=trees, maxDepth=depth, seed=seed, maxBins=64

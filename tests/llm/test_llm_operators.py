@@ -198,7 +198,7 @@ def test_rules(spark):
         "HTTP://É.ORG/fr/x", None, "", "nothing", "://", "http://u@h.com:80/p?q#f", "a://b://net/",
     ]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id BIGINT, url STRING")
-    model = urlfilter.UrlModel(None, None, 0.0)
+    model = urlfilter.UrlModel(None, None, None, 0.0)
     got = {r.page_id: r for r in urlfilter.judge(pages, model, queries.RULES, ["page_id"]).collect()}
     for i, u in enumerate(urls):
         host, path, rule, action = brute_rule(u)

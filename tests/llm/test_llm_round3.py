@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import audit, common, decontam, gridcodes, mixing, ngramjoin, pivots, queries, sketch
+from tessera.llm import audit, common, decontam, gridcodes, mixing, ngramjoin, pivots, queries, sketch, urlfilter
 
 VECTORS = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT, code STRING"
 DOCS = "doc_id BIGINT, text STRING, lang STRING, mask INT, `a.b` STRING"
@@ -380,3 +380,30 @@ def test_columns_of_any_name_are_kept(spark):
     assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= set(rows)
     after = sketch.with_next(docs.drop("a.b"), "doc_id", ["text"], {"sk": sketch.sketch(F.col("text"))}).collect()
     assert len(after) == len(rows) and all(r._range == 1 and r.k_id == "mine" for r in after)
+
+
+# --- URL filter ---------------------------------------------------------------------
+
+
+def test_trees_learn_given_labels_beyond_the_sample(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    labelled = urlfilter.labelled_by_rules(pages, queries.RULES).distinct()
+    held = F.pmod(F.xxhash64("url", F.lit("held out")), F.lit(4)) == 0
+    train, test = labelled.where(~held), labelled.where(held)
+    model = urlfilter.train(train)
+    got = model.score(test).select("label", "p_block").collect()
+    assert {r.label for r in got} == {0.0, 1.0} and len(got) > 50
+    share = max(sum(r.label for r in got), sum(1 - r.label for r in got)) / len(got)
+    right = sum((r.p_block >= 0.5) == (r.label == 1) for r in got) / len(got)
+    assert right >= 0.9 and right > share + 0.1
+
+
+def test_copies_of_a_url_count_once(spark):
+    one = [("http://a.net/x", 1.0)] * 500
+    rows = one + [(f"http://h{i}.net/p{i}", 1.0) for i in range(40)] + [(f"http://h{i}.org/p{i}", 0.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "url STRING, label DOUBLE")
+    model = urlfilter.train(df, max_rows=60)
+    assert sum(r.f_seen for r in model.suffixes.collect()) == 60
+    got = model.score(spark.createDataFrame([("http://new.net/q",), ("http://new.org/q",), (None,)], "url STRING")).collect()
+    assert len(got) == 3 and all(0 <= r.p_block <= 1 for r in got)
+    assert urlfilter.judge(df.limit(0).withColumn("page_id", F.lit(1)), model, queries.RULES, ["page_id"]).count() == 0
