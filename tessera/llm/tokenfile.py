@@ -16,9 +16,9 @@ whole. Reading needs no shuffle: a segment holds whole documents, and the ids
 before a range are a running sum over one row per range.
 
 Order: ascending id, null ids last, ties by text hash. Null and empty texts
-have no ids of their own (only the end id). Words are tokenized one by one and
-remembered: the tokenizer drops white space and never joins across it, so a
-text's ids are those of its words in order.
+have no ids of their own (only the end id). Where the tokenizer drops white space
+and never joins across it, words are tokenized one by one and remembered: a text's
+ids are those of its words in order. Other tokenizers are given whole texts.
 """
 
 from __future__ import annotations
@@ -103,6 +103,26 @@ def unpack(index: list[dict], body: bytes) -> np.ndarray:
 
 # --- tokenizing -------------------------------------------------------------
 
+def _drops_blanks(tokenizer, steps: dict) -> bool:
+    """Whether words can be encoded one by one: the first step of the
+    pre-tokenizer keeps only matches, or splits at white space, and neither blanks
+    alone nor those before or after a word or mark leave a trace."""
+    first = (steps.get("pretokenizers") or [steps])[0]
+    matches = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
+    if not matches and first.get("type") not in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"):
+        return False
+
+    def pieces(text: str) -> list[str]:
+        return [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    words = ["a", "B7", "é", "'s", "...", "x-y", "日本"]
+    for blank in (" ", "\t", "\n", "\x0b", "\x0c", "\r", " \n "):
+        apart = [p for w in words for p in pieces(w)]
+        if pieces(blank) or pieces(blank + blank.join(words) + blank) != apart:
+            return False
+    return True
+
+
 class _Words:
     """A tokenizer's ids of single words, remembered by a worker in two
     generations: when the young one is full the old one is dropped, so words
@@ -119,6 +139,7 @@ class _Words:
         normal = form.get("normalizer") or {}
         self.folds = any(n.get("type") == "Lowercase" for n in [normal, *normal.get("normalizers", [])])
         self.special = [a.content.lower().encode() for a in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = not _drops_blanks(self.tokenizer, form.get("pre_tokenizer") or {})
         # With a mark at word ends, words of letters can be encoded in one run
         # and parted at the marked ids.
         self.marked = None
@@ -153,6 +174,8 @@ class _Words:
         self.met.update((r, np.array(e.ids, "<u4").tobytes()) for (r, _), e in zip(other, done, strict=True))
 
     def encode(self, raw: bytes) -> np.ndarray:
+        if self.whole:
+            return np.array(self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids, "<u4")
         if self.folds:  # it lower-cases all but its own added tokens
             low = raw.lower()
             raw = raw if any(x in low for x in self.special) else low

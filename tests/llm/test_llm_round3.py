@@ -7,11 +7,12 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import audit, common, decontam, gridcodes, mixing, ngramjoin, pivots, queries, sketch, urlfilter
+from tessera.llm import audit, common, decontam, gridcodes, mixing, ngramjoin, pivots, queries, sketch, tokenfile, urlfilter
 
 VECTORS = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT, code STRING"
 DOCS = "doc_id BIGINT, text STRING, lang STRING, mask INT, `a.b` STRING"
@@ -407,3 +408,23 @@ def test_copies_of_a_url_count_once(spark):
     got = model.score(spark.createDataFrame([("http://new.net/q",), ("http://new.org/q",), (None,)], "url STRING")).collect()
     assert len(got) == 3 and all(0 <= r.p_block <= 1 for r in got)
     assert urlfilter.judge(df.limit(0).withColumn("page_id", F.lit(1)), model, queries.RULES, ["page_id"]).count() == 0
+
+
+# --- tokenizers ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_tokenizers_own(name, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(6)
+    texts = ["", " ", "two  blanks\n\nand lines\t.", " lead, trail ", "Ünï çode  déjà", "a" * 400]
+    texts += [" ".join(f"word{rng.randrange(900)}" for _ in range(rng.randrange(80))) for _ in range(60)]
+    monkeypatch.setattr(tokenfile, "REMEMBERED", 4000)  # both generations are used up again and again
+    common.worker_cache("other")
+    for t in texts * 2:
+        assert tokenfile.encode(t, path).tolist() == plain.encode(t, add_special_tokens=False).ids
+    kept = common.worker_cache("tokens")[path]
+    assert sum(len(k) + len(v) + tokenfile.ENTRY for k, v in [*kept.met.items(), *kept.old.items()]) < 4 * 4000 + 100_000
