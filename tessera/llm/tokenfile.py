@@ -40,7 +40,7 @@ from .common import Batches, worker_cache
 BLOCK = 1 << 16
 SEGMENT = 1 << 20
 LEVEL = 3
-REMEMBERED = 24 << 20  # bytes of words and ids in one generation of a worker's memory; two are kept
+REMEMBERED = 64 << 20  # bytes of words and ids in one generation of a worker's memory; two are kept
 ENTRY = 160  # bytes that a word takes besides its own and those of its ids
 LONG = 12  # bytes; longer words seldom come again and are not remembered
 
