@@ -2,14 +2,17 @@
 
 Every node of a page's tree gets a density: its characters outside links per
 tag below it (a node without tags counts one). A node's score is the sum of
-its children's densities; the node with the highest score is the core. The
-least density on the path from the body to the core is the page's threshold.
+its children's densities, or its own if it has none; the node with the highest
+score is the core. Tags of blocks that are mostly links do not count. The least
+density on the path from the body to the core, without the body unless it is
+the core, is the page's threshold.
 If an ``article`` or ``main`` element encloses the core, all its text is
-returned. Else the core is widened out of paragraphs, headings, lists and inline
-markup to the first block that holds them, and every block of the page beside
-the path from the body to it (or in the body, if that is the core) is kept
-unless it is mostly links, or has links, no text paragraph and less density
-than the threshold.
+returned; if the core holds some whose score reaches the threshold, that of the
+highest score. Else the core is widened out of paragraphs, headings, lists and inline
+markup to the first block that holds them. A block of the page beside the path
+from the body to it (or in the body, if that is the core) goes if it is mostly
+links, or if it has no text paragraph and less density than the threshold; in
+a body that is itself the core, such a block stays if it has no links.
 
 Before that, nodes that are never main text are cut: menus, footers, sidebars,
 forms, scripts, styles and the like by tag, role or the words of their class
@@ -206,7 +209,7 @@ def _measure(nodes: list[Node]) -> None:
                 if not c.noise:
                     n.chars += c.chars
                     n.link += c.chars if c.tag == "a" else c.link
-                    n.tags += c.tags + 1
+                    n.tags += 0 if c.tag in BLOCKS and c.link * 2 > c.chars else c.tags + 1
                     n.score += c.density
                     n.prose |= c.prose
             else:
@@ -217,10 +220,15 @@ def _measure(nodes: list[Node]) -> None:
         n.prose |= n.tag in PARAGRAPHS and n.chars > 0 and n.link * 2 <= n.chars
 
 
-def _is_text(n: Node, threshold: float) -> bool:
+def _sum(n: Node) -> float:
+    return n.score if n.tags else n.density
+
+
+def _is_text(n: Node, threshold: float, whole: bool) -> bool:
+    """Whether a block beside the core is main text; ``whole``: the core is the body itself."""
     if n.chars == 0 or n.link * 2 > n.chars:
         return False
-    return n.link == 0 or n.tag in INNER or n.prose or n.density >= threshold
+    return n.tag in INNER or n.prose or n.density >= threshold or (whole and n.link == 0)
 
 
 def _collect(n: Node, cut: set[int]) -> str:
@@ -263,11 +271,14 @@ def main_text(page: str | None) -> str:
     _measure(nodes)
     if body.chars == 0:
         return ""
-    core = max(nodes, key=lambda n: (n.score if n.tags else n.density, n.chars))
+    core = max(nodes, key=lambda n: (_sum(n), n.chars))
     path = list(_within(core, *{n.tag for n in nodes}))
-    threshold = min((n.density for n in path if n is not root), default=0.0)
+    threshold = min(n.density for n in path if n is core or n not in (body, root))
     for holder in _within(core, "article", "main"):
         return _collect(holder, set())
+    inner = [n for n in _order(core) if n.tag in ("article", "main") and n.chars and _sum(n) >= threshold]
+    if inner:
+        return _collect(max(inner, key=lambda n: (_sum(n), n.chars)), set())
     while core is not body and (core.tag in INNER or core.tag not in BLOCKS):
         core = core.parent
     trunk = [core] if core is body else list(_above(core))
@@ -276,7 +287,8 @@ def main_text(page: str | None) -> str:
         id(c)
         for n in trunk
         for c in n.children
-        if isinstance(c, Node) and id(c) not in kept and c.tag in BLOCKS and not _is_text(c, threshold)
+        if isinstance(c, Node) and id(c) not in kept and c.tag in BLOCKS
+        and not _is_text(c, threshold, core is body)
     }
     return _collect(body, cut)
 
