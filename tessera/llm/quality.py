@@ -3,22 +3,27 @@
 View one is the text: shares of character classes, word shapes, repetition,
 and 256 hashed words. View two is the page's metadata: source, language,
 length and layout (lines and their lengths). A logistic classifier for each
-view learns from a bounded sample of labelled documents. In every round each
-classifier scores a bounded pool of unlabelled documents, and hands its most
-confident ones of both classes, with its label, to the *other* view's training
-set. Last, both are calibrated (Platt scaling) on labelled documents that took
-no part in the training, weighed against each other there, and the sum scores
-all documents.
-
-Bounds, all parameters: ``max_labelled`` and ``max_pool`` documents (picked by
-hash of the id), ``rounds``, ``grow`` pseudo-labels per class and round. The
-models are a few hundred numbers; features and scores are computed by Spark
-tasks over all documents.
+view learns from a bounded sample of labelled documents. In every round both
+are calibrated (Platt scaling on logits of labelled rows by models that have
+not seen them) and score every unlabelled document of the collection; each
+hands its most confident ones of a class, with its label, to the *other*
+view's training set, if it is sure of them and, on the labelled rows that it is
+as sure of, is right more often than the other. So a view that knows less does
+not teach. Last, the calibrated views are weighed against each other on the
+same unseen logits, and the sum scores all documents.
+
+Parameters: ``max_labelled`` documents (picked by hash of the id), ``rounds``,
+``sure`` (least calibrated probability) and ``take``: a view hands over at most
+``take`` * sqrt(n) of n different unlabelled documents a round, so the rows that
+the driver fits grow with the input, but slower. Features, candidates and
+scores are computed by Spark tasks over all documents; equal ones count once in
+the exchange.
 
 Labels: a document's label is the majority of its non-null labels, a tie is 0.
 Null and empty texts have all-zero text features and are scored like others;
-null sources and languages are values of their own. With labels of one class
-only, every score is that class. Repeated rows are scored alike.
+null sources and languages are values of their own, documents without id are
+unlabelled. With labels of one class only, every score is that class; without
+labels it is a half. Repeated rows are scored alike, an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,14 +33,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Batches, small_batches, text_bytes, word_hashes, written
+from .common import Batches, release, small_batches, text_bytes, word_hashes, written
 
 HASHED = 256
 SHAPES = 24
 META = 32 + 16 + 6
+FLOAT = "<f2"  # features are kept and learned in half precision
+FOLDS = 5
+STEPS = 64  # of a logit, in the counts that find the most confident rows
 _SENTENCE_END = np.frombuffer(b".,;:!?", np.uint8)
 
 
@@ -129,14 +137,74 @@ class Logistic:
         return x @ self.w[:-1] + self.w[-1]
 
 
+def _probability(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _platt(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope (none below 0) and offset for logits, with smoothed targets and
+    little weight on slope 1, so that few rows give no infinite slope."""
+    ones = y.sum()
+    target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
+    x, prior = np.stack([z, np.ones_like(z)], axis=1), np.array([1.0, 0.0])
+    w = prior.copy()
+    for _ in range(30):
+        p = _probability(x @ w)
+        r = np.maximum(p * (1 - p), 1e-6)
+        step = np.linalg.solve((x * r[:, None]).T @ x + 0.01 * np.eye(2), x.T @ (p - target) + 0.01 * (w - prior))
+        w -= step
+        if np.abs(step).max() < 1e-6:
+            break
+    w[0] = max(w[0], 0.0)
+    return w
+
+
+@dataclass
+class View:
+    """A view's labelled rows, what it was taught, its classifier and calibration."""
+
+    x: np.ndarray
+    y: np.ndarray
+    l2: float = 5.0
+    extra_x: np.ndarray | None = None
+    extra_y: np.ndarray | None = None
+    model: Logistic | None = None
+    platt: np.ndarray | None = None
+    unseen: np.ndarray | None = None  # calibrated logits of labelled rows by models without them
+
+    def learn(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.extra_x = x if self.extra_x is None else np.vstack([self.extra_x, x])
+        self.extra_y = y if self.extra_y is None else np.append(self.extra_y, y)
+
+    def _with_extra(self, rows: np.ndarray) -> Logistic:
+        x, y = self.x[rows], self.y[rows]
+        if self.extra_x is not None:
+            x, y = np.vstack([x, self.extra_x]), np.append(y, self.extra_y)
+        return Logistic(self.l2).fit(x, y)
+
+    def fit(self) -> None:
+        fold = np.arange(len(self.y)) % FOLDS
+        z = np.zeros(len(self.y))
+        for f in range(FOLDS):
+            rest = fold != f
+            if rest.any() and not rest.all() and self.y[rest].min() < self.y[rest].max():
+                z[~rest] = self._with_extra(rest).logit(self.x[~rest])
+        self.model = self._with_extra(np.ones(len(self.y), bool))
+        self.platt = _platt(z, self.y)
+        self.unseen = self.platt[0] * z + self.platt[1]
+
+    def logit(self, x: np.ndarray) -> np.ndarray:
+        return self.platt[0] * self.model.logit(x) + self.platt[1]
+
+
 @dataclass
 class CoTrained:
-    """Both views' classifiers, their calibration and their joint weights."""
+    """Both views' classifiers, calibrated, and their joint weights."""
 
-    text: Logistic
-    meta: Logistic
-    platt: np.ndarray  # rows: view; slope, offset
+    text: View | None
+    meta: View | None
     joint: np.ndarray  # weight of the text view, of the metadata view, offset
+    taught: tuple[int, int] = (0, 0)  # pseudo-labelled rows the text view, the metadata view got
     constant: float | None = None
 
     def scores(self, xt: np.ndarray, xm: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,56 +212,112 @@ class CoTrained:
         if self.constant is not None:
             c = np.full(len(xt), self.constant)
             return c, c, c
-        a = self.platt[0, 0] * self.text.logit(xt) + self.platt[0, 1]
-        b = self.platt[1, 0] * self.meta.logit(xm) + self.platt[1, 1]
-        both = self.joint[0] * a + self.joint[1] * b + self.joint[2]
-        return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (a, b, both))
+        a, b = self.text.logit(xt), self.meta.logit(xm)
+        return tuple(_probability(z) for z in (a, b, self.joint[0] * a + self.joint[1] * b + self.joint[2]))
+
+
+def _teaches(teacher: View, student: View, positive: bool, limit: float) -> bool:
+    """Whether, on the labelled rows that the teacher is sure are of a class,
+    it is right more often than the student."""
+    sure = teacher.unseen >= limit if positive else teacher.unseen <= -limit
+    right = (teacher.y[sure] == 1) == positive
+    other = (student.unseen[sure] >= 0) == (teacher.y[sure] == 1)
+    return right.sum() > other.sum()
+
+
+def _matrix(rows: list, name: str) -> np.ndarray:
+    return np.stack([np.frombuffer(bytes(r[name]), FLOAT) for r in rows]).astype(float)
+
+
+def _confident(pool: DataFrame, views: dict[str, View], wants: list, gone: np.ndarray) -> list:
+    """Rows (want, t, m) of the pool: of every want (view, class, logit limit, n)
+    the n most confident ones not in ``gone``. A count per step of the logits
+    finds the step where n are reached; only rows from there on are ordered."""
+    models = {v: (x.model.w, x.platt) for v, x in views.items()}
+
+    def run(batches: Batches) -> Batches:
+        for b in batches:
+            free = ~np.isin(b.column(0).to_numpy(), gone)
+            z = []
+            for i, v in enumerate(models, 1):
+                w, (slope, offset) = models[v]
+                x = np.frombuffer(b"".join(b.column(i).to_pylist()), FLOAT).reshape(b.num_rows, -1).astype(float)
+                z.append(np.clip(slope * (x @ w[:-1] + w[-1]) + offset, -30, 30))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, *[pa.array(q, pa.float64()) for q in z]], ["key", "t", "m", "z_t", "z_m"]
+            ).filter(pa.array(free))
+
+    scored = pool.select("key", "t", "m").mapInArrow(run, "key long, t binary, m binary, z_t double, z_m double")
+    sign = [F.col(f"z_{v}") if positive else -F.col(f"z_{v}") for v, positive, _, _ in wants]
+    steps = [F.when(s >= want[2], F.floor(s * STEPS)) for s, want in zip(sign, wants, strict=True)]
+    counts = (
+        scored.select(F.posexplode(F.array(*steps)).alias("want", "step")).where("step IS NOT NULL")
+        .groupBy("want", "step").count().collect()
+    )
+    least = []
+    for i, want in enumerate(wants):
+        total, edge = 0, None
+        for step, n in sorted(((r["step"], r["count"]) for r in counts if r["want"] == i), reverse=True):
+            edge, total = step, total + n
+            if total >= want[3]:
+                break
+        least.append(edge)
+    tags = [
+        F.when(step >= edge, F.struct(F.lit(i).alias("want"), s.alias("z")))
+        for i, (s, step, edge) in enumerate(zip(sign, steps, least, strict=True)) if edge is not None
+    ]
+    if not tags:
+        return []
+    order = Window.partitionBy("want").orderBy(F.col("z").desc(), "key")
+    limit = F.element_at(F.array(*[F.lit(want[3]) for want in wants]), F.col("want") + 1)
+    return (
+        scored.select("key", "t", "m", F.explode(F.array_compact(F.array(*tags))).alias("w")).select("key", "t", "m", "w.*")
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(w[3] for w in wants))
+        .where(F.col("rank") <= limit).select("want", "key", "t", "m").orderBy("want", "key").collect()
+    )
 
 
 def co_train(
-    xt: np.ndarray, xm: np.ndarray, y: np.ndarray, ut: np.ndarray, um: np.ndarray, check: np.ndarray,
-    rounds: int = 4, grow: int = 100,
-) -> CoTrained:
-    """Fit on labelled rows (views xt, xm, label y) and unlabelled ones (ut,
-    um); rows where ``check`` holds only calibrate."""
+    xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pool: DataFrame, rounds: int = 4, take: float = 2.5, sure: float = 0.9
+) -> CoTrained:
+    """Fit on labelled rows (views xt, xm, label y) and a table of unlabelled
+    ones (key, t, m: both views' features as bytes)."""
     if len(y) == 0 or y.min() == y.max():
-        return CoTrained(Logistic(), Logistic(), np.zeros((2, 2)), np.zeros(3), float(y[0]) if len(y) else 0.5)
-    fit = ~check
-    if fit.sum() == 0 or y[fit].min() == y[fit].max() or check.sum() == 0 or y[check].min() == y[check].max():
-        fit, check = np.ones(len(y), bool), np.ones(len(y), bool)
-    sets = {"text": (xt[fit], y[fit]), "meta": (xm[fit], y[fit])}
-    free = np.ones(len(ut), bool)
-    share = y[fit].mean()
-    views = {"text": Logistic(5.0), "meta": Logistic(5.0)}
+        return CoTrained(None, None, np.zeros(3), constant=float(y[0]) if len(y) else 0.5)
+    views = {"t": View(xt, y), "m": View(xm, y)}
+    share, limit = y.mean(), float(np.log(sure / (1 - sure)))
+    most = int(np.ceil(take * np.sqrt(pool.count()))) if rounds else 0
+    gone = np.zeros(0, np.int64)
     for round_ in range(rounds + 1):
-        for name, model in views.items():
-            model.fit(*sets[name])
-        if round_ == rounds or not free.any():
+        for v in views.values():
+            v.fit()
+        if round_ == rounds:
             break
-        for name, other, pool, theirs in (("text", "meta", ut, um), ("meta", "text", um, ut)):
-            z = views[name].logit(pool)
-            z = np.where(free, z, 0.0)
-            order = np.argsort(z, kind="stable")
-            low = order[: max(1, round(grow * 2 * (1 - share)))]
-            high = order[::-1][: max(1, round(grow * 2 * share))]
-            low, high = low[free[low] & (z[low] < -2)], high[free[high] & (z[high] > 2)]
-            take = np.concatenate([low, high])
-            labels = np.concatenate([np.zeros(len(low)), np.ones(len(high))])
-            x0, y0 = sets[other]
-            sets[other] = (np.vstack([x0, theirs[take]]), np.append(y0, labels))
-            free[take] = False
-    za, zb = views["text"].logit(xt[check]), views["meta"].logit(xm[check])
-    platt = np.array([Logistic(1e-3).fit(z[:, None], y[check]).w for z in (za, zb)])
-    both = np.stack([platt[0, 0] * za + platt[0, 1], platt[1, 0] * zb + platt[1, 1]], axis=1)
-    joint = Logistic(1.0).fit(both, y[check]).w
+        wants = [
+            (teacher, positive, limit, max(1, round(most * (share if positive else 1 - share))))
+            for teacher, student in (("t", "m"), ("m", "t"))
+            for positive in (False, True)
+            if _teaches(views[teacher], views[student], positive, limit)
+        ]
+        rows = _confident(pool, views, wants, gone) if wants and most else []
+        if not rows:
+            break
+        for i, (teacher, positive, _, _) in enumerate(wants):
+            student = "m" if teacher == "t" else "t"
+            mine = [r for r in rows if r["want"] == i]
+            if mine:
+                views[student].learn(_matrix(mine, student), np.full(len(mine), float(positive)))
+        gone = np.union1d(gone, np.array([r["key"] for r in rows], np.int64))
+    joint = Logistic(1.0).fit(np.stack([views["t"].unseen, views["m"].unseen], axis=1), y).w
     joint[:2] = np.maximum(joint[:2], 0)
-    return CoTrained(views["text"], views["meta"], platt, joint)
+    taught = tuple(0 if v.extra_y is None else len(v.extra_y) for v in views.values())
+    return CoTrained(views["t"], views["m"], joint, taught)
 
 
 def _views(batches: Batches) -> Batches:
     for b in small_batches(batches, 3):
-        t = text_features(b.column(3)).astype("<f4")
-        m = meta_features(b.column(1), b.column(2), b.column(3)).astype("<f4")
+        t = text_features(b.column(3)).astype(FLOAT)
+        m = meta_features(b.column(1), b.column(2), b.column(3)).astype(FLOAT)
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0),
@@ -208,8 +332,8 @@ def _scored(model: CoTrained):
     def run(batches: Batches) -> Batches:
         for b in small_batches(batches, 3):
             pt, pm, both = model.scores(
-                text_features(b.column(3)).astype("<f4").astype(float),
-                meta_features(b.column(1), b.column(2), b.column(3)).astype("<f4").astype(float),
+                text_features(b.column(3)).astype(FLOAT).astype(float),
+                meta_features(b.column(1), b.column(2), b.column(3)).astype(FLOAT).astype(float),
             )
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(x, pa.float64()) for x in (pt, pm, both)], pa.array(both >= 0.5)],
@@ -226,41 +350,36 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = 6_000, max_pool: int = 6_000,
-    rounds: int = 4, grow: int = 100,
+    docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = 6_000, rounds: int = 4,
+    take: float = 2.5, sure: float = 0.9,
 ) -> CoTrained:
-    """Co-train on the labelled documents and a pool of others."""
+    """Co-train on a sample of the labelled documents and on all others."""
     truth = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg((F.avg(label) > 0.5).cast("int").alias("y"))
     )
-    ids = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"))
+    features = _plain(docs).mapInArrow(_views, "doc_id long, t binary, m binary")
+    rows = written(
+        features.join(truth, "doc_id", "left").withColumn("key", F.xxhash64("t", "m")), "quality-features"
+    )
     order = F.xxhash64("doc_id", F.lit("quality")), F.col("doc_id")
-    known = truth.join(ids.distinct(), "doc_id", "left_semi").orderBy(*order).limit(max_labelled)
-    pool = ids.join(truth, "doc_id", "left_anti").distinct().orderBy(*order).limit(max_pool)
-    picked = written(known.unionByName(pool.withColumn("y", F.lit(None).cast("int"))), "quality-sample")
-    # At most max_labelled + max_pool ids are broadcast, and as many rows collected.
-    rows = (
-        _plain(docs).join(F.broadcast(picked.select("doc_id")), "doc_id").select("doc_id", "source", "lang", "text")
-        .mapInArrow(_views, "doc_id long, t binary, m binary")
-        .groupBy("doc_id")
-        .agg(F.min_by("t", F.struct("t", "m")).alias("t"), F.min_by("m", F.struct("t", "m")).alias("m"))
-        .join(picked, "doc_id")
-        .orderBy(*order)
-        .collect()
-    )
-
-    def matrix(part, name, width):
-        raw = b"".join(bytes(r[name]) for r in part)
-        return np.frombuffer(raw, "<f4").reshape(len(part), width).astype(float)
-
-    lab, unl = [r for r in rows if r["y"] is not None], [r for r in rows if r["y"] is None]
-    check = np.array([zlib.crc32(b"check%d" % r["doc_id"]) % 4 == 0 for r in lab], dtype=bool)
-    return co_train(
-        matrix(lab, "t", SHAPES + HASHED), matrix(lab, "m", META), np.array([r["y"] for r in lab], dtype=float),
-        matrix(unl, "t", SHAPES + HASHED), matrix(unl, "m", META), check, rounds, grow,
+    known = rows.where("y IS NOT NULL")
+    picked = known.select("doc_id").distinct().orderBy(*order).limit(max_labelled)
+    picked = written(picked, "quality-sample")
+    # At most max_labelled ids are broadcast, and as many rows collected.
+    sample = (
+        known.join(F.broadcast(picked), "doc_id").groupBy("doc_id")
+        .agg(F.min(F.struct("t", "m")).alias("x"), F.first("y").alias("y")).select("doc_id", "x.*", "y")
+        .orderBy(*order).collect()
     )
+    pool = written(rows.where("y IS NULL").select("key", "t", "m").dropDuplicates(["key"]), "quality-pool")
+    release(rows, picked)
+    y = np.array([r["y"] for r in sample], dtype=float)
+    views = [_matrix(sample, v) if sample else np.zeros((0, 1)) for v in ("t", "m")]
+    model = co_train(*views, y, pool, rounds, take, sure)
+    release(pool)
+    return model
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:

@@ -454,7 +454,7 @@ def test_language_of_odd_texts(spark):
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = common.read_table(spark, sf, "documents"), common.read_table(spark, sf, "labels")
-    model = quality.train(docs, labels.where("doc_id % 3 <> 1"), max_labelled=1500, max_pool=1500)
+    model = quality.train(docs, labels.where("doc_id % 3 <> 1"), max_labelled=1500)
     rows = quality.score(docs, model).join(labels.where("doc_id % 3 = 1"), "doc_id").collect()
     right = [r.keep == (r.quality == 1) for r in rows]
     base = np.mean([r.quality for r in rows])
