@@ -11,6 +11,9 @@
   writes version ``batch_id``. A replayed batch recomputes the same version
   from the version before it, so replays are harmless (set union is
   idempotent). Versions older than the previous one are removed.
+* Windowed HyperLogLog: registers of open event-time windows are kept in
+  versions too; a window that the watermark has passed is written once to
+  the closed ones.
 
 State, output and checkpoints live below the session's checkpoint folder
 (or a folder the caller names on shared storage).
@@ -165,6 +168,44 @@ def streaming_distinct(
     raise ValueError(f"unknown sketch {sketch!r}")
 
 
+def keep_windows(out_dir: str, watermark: str, group_cols: list[str]):
+    """``foreachBatch`` writer of window registers (window_start, window_end,
+    groups, idx, rank, seen: the latest event time) that keeps at most two
+    versions of a window on storage.
+
+    ``open/v=<batch id>`` holds the registers of all open windows: those of the
+    version before, merged with the batch. Windows that the watermark has passed
+    (latest event time of all, less the delay) get no more rows; they leave the open
+    table and are written once, to ``closed/batch=<batch id>``. The open table's size
+    follows the open windows only. A batch that is replayed starts from the same version
+    and writes the same folders again; versions older than the one before are removed."""
+    keys = ["window_start", "window_end", *group_cols, "idx"]
+    open_dir, closed_dir = f"{out_dir}/open", f"{out_dir}/closed"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        older = [v for v in _versions(s, open_dir) if v < batch_id]
+        rows = batch.select(*keys, "rank", "seen")
+        if older:
+            rows = rows.unionByName(s.read.schema(rows.schema).parquet(f"{open_dir}/v={older[-1]}"))
+        rows = rows.groupBy(*keys).agg(F.max("rank").alias("rank"), F.max("seen").alias("seen")).persist()
+        try:
+            # The stream's watermark counts whole milliseconds.
+            last = F.date_trunc("millisecond", F.max("seen")) - F.expr(f"INTERVAL {watermark}")
+            passed = rows.agg(F.unix_micros(last)).first()[0]
+            over = F.lit(False) if passed is None else F.unix_micros("window_end") <= passed
+            closed = rows.where(over)
+            if not closed.isEmpty():
+                closed.drop("seen").write.mode("overwrite").parquet(f"{closed_dir}/batch={batch_id}")
+            rows.where(~over).write.mode("overwrite").parquet(f"{open_dir}/v={batch_id}")
+        finally:
+            rows.unpersist()
+        for v in older[:-1]:
+            _drop_version(s, open_dir, v)
+
+    return write
+
+
 def hll_stream_windowed(
     stream: DataFrame,
     value_col: str,
@@ -178,10 +219,9 @@ def hll_stream_windowed(
     trigger: dict | None = None,
 ):
     """HyperLogLog registers per event-time window (tumbling ``window``) and
-    group. The watermark lets Spark drop the state of closed windows; each
-    trigger writes the registers it updated (update mode) under its batch
-    id, and readers take the register-wise max, so replays and late updates
-    are harmless. Returns (query, out_dir)."""
+    group. The watermark lets Spark drop the state of closed windows, and
+    ``keep_windows`` writes what each trigger updated (update mode).
+    Returns (query, out_dir)."""
     spark = stream.sparkSession
     g = K._groups(group_cols)
     out_dir = out_dir or scratch_path(spark, "hll-window-registers")
@@ -194,20 +234,20 @@ def hll_stream_windowed(
     regs = (
         stream.withColumn("_et", ts)
         .withWatermark("_et", watermark)
-        .select(F.window("_et", window).start.alias("window_start"), *g, h60(F.col(value_col)).alias("h"))
+        .select(F.window("_et", window).alias("w"), "_et", *g, h60(F.col(value_col)).alias("h"))
         .where(F.col("h").isNotNull())
-        .select("window_start", *g, idx.alias("idx"), rank.alias("rank"))
-        .groupBy("window_start", *g, "idx")
-        .agg(F.max("rank").alias("rank"))
-    )
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        .select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "_et", *g,
+            idx.alias("idx"), rank.alias("rank"),
+        )
+        .groupBy("window_start", "window_end", *g, "idx")
+        .agg(F.max("rank").alias("rank"), F.max("_et").alias("seen"))
+    )
 
     q = (
         regs.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(keep_windows(out_dir, watermark, g))
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
@@ -215,7 +255,12 @@ def hll_stream_windowed(
 
 
 def hll_window_estimate(spark: SparkSession, out_dir: str, p: int, group_cols=None) -> DataFrame:
-    """(window_start, groups..., registers_used, estimate)."""
+    """(window_start, groups..., registers_used, estimate) of closed and open
+    windows. A window that is just being closed is in both tables: the larger
+    rank counts."""
     g = ["window_start", *K._groups(group_cols)]
-    regs = spark.read.parquet(out_dir).groupBy(*g, "idx").agg(F.max("rank").alias("rank"))
-    return K.hll_estimate(regs, p, g)
+    regs = _latest(spark, f"{out_dir}/open").select(*g, "idx", "rank")
+    fs, closed = _fs(spark, f"{out_dir}/closed")
+    if fs.exists(closed):
+        regs = regs.unionByName(spark.read.parquet(f"{out_dir}/closed").select(*g, "idx", "rank"))
+    return K.hll_estimate(regs.groupBy(*g, "idx").agg(F.max("rank").alias("rank")), p, g)
