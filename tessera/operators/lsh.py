@@ -16,6 +16,7 @@ materialised as lists: a bucket probe is an equi-join on
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import h60
 from tessera.functions.text import tokens
 from tessera.operators.partitioning import dense_index, meet
+from tessera.operators.blocks import bucket_cosines, vectors, vocabulary
 from tessera.operators.classify import majority_vote
 from tessera.operators.graph.core import Loop
-from tessera.operators.similarity import HALF_PI, candidate_distance, overlap_distance
+from tessera.operators.similarity import HALF_PI, arc, candidate_distance, overlap_distance
 
 MAX_PLANES = 64
 
@@ -103,19 +105,67 @@ def mask_signature(sig: DataFrame, n: int) -> DataFrame:
 
 
 def lsh_candidates(
-    query_sig: DataFrame, model_sig: DataFrame, keys: Sequence[str] = (), salts: int | None = None
+    query_sig: DataFrame,
+    model_sig: DataFrame,
+    keys: Sequence[str] = (),
+    salts: int | None = None,
+    bands: int | None = None,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
-    """(keys..., q_id, m_id, hits): model vectors sharing a bucket with the
+    """(keys..., q_id, m_id, kept..., hits): model vectors sharing a bucket with the
     query in ``hits`` bands (a hit in several bands counts several times).
     The bucket join splits hot buckets by their size: near-duplicate documents or few planes make
-    crowded buckets, and every candidate is kept (no cap)."""
-    q = query_sig.select(*keys, F.col("doc_id").alias("q_id"), "band", "sig_lo", "sig_hi")
-    m = model_sig.select(*keys, F.col("doc_id").alias("m_id"), "band", "sig_lo", "sig_hi")
-    return (
-        meet(q, m, [*keys, "band", "sig_lo", "sig_hi"], "m_id", salts)
-        .groupBy(*keys, "q_id", "m_id")
-        .agg(F.count(F.lit(1)).alias("hits"))
-    )
+    crowded buckets, and every candidate is kept (no cap).
+
+    With the number of ``bands`` of the signatures, a document carries its
+    buckets of all bands: a pair is made in the first band where it meets and
+    its hits are counted there, so pairs are neither exchanged nor grouped.
+    ``kept`` are columns of the model side, a row each for those of a vector."""
+    on = [*keys, "band", "sig_lo", "sig_hi"]
+    if bands is None:
+        q = query_sig.select(*on, F.col("doc_id").alias("q_id"))
+        m = model_sig.select(*on, *kept, F.col("doc_id").alias("m_id"))
+        return meet(q, m, on, "m_id", salts).groupBy(*keys, "q_id", "m_id", *kept).agg(F.count(F.lit(1)).alias("hits"))
+    if bands == 1:
+        q = query_sig.select(*on, F.col("doc_id").alias("q_id"))
+        m = model_sig.select(*on, *kept, F.col("doc_id").alias("m_id"))
+        return meet(q, m, on, "m_id", salts).select(*keys, "q_id", "m_id", *kept, F.lit(1).cast("bigint").alias("hits"))
+
+    def side(sig: DataFrame, name: str, extra: Sequence[str] = ()) -> DataFrame:
+        at = [F.max(F.when(F.col("band") == i, F.struct("sig_lo", "sig_hi"))).alias(f"{name}{i}") for i in range(bands)]
+        rows = sig.groupBy(*keys, F.col("doc_id").alias(f"{name}_id")).agg(*at)
+        if extra:
+            rows = rows.join(sig.select(*keys, F.col("doc_id").alias(f"{name}_id"), *extra).distinct(), [*keys, f"{name}_id"])
+        every = F.array(*[F.struct(F.lit(i).alias("band"), F.col(f"{name}{i}.sig_lo"), F.col(f"{name}{i}.sig_hi")) for i in range(bands)])
+        cols = [*keys, f"{name}_id", *extra, *[f"{name}{i}" for i in range(bands)]]
+        return rows.select(*cols, F.explode(every).alias("b")).select(*cols, "b.band", "b.sig_lo", "b.sig_hi").where("sig_lo IS NOT NULL")
+
+    same = [F.coalesce(F.col(f"q{i}") == F.col(f"m{i}"), F.lit(False)) for i in range(bands)]
+    earlier = [same[i] & (F.col("band") > i) for i in range(bands - 1)]
+    hits = functools.reduce(lambda x, y: x + y, [c.cast("bigint") for c in same])
+    met = meet(side(query_sig, "q"), side(model_sig, "m", kept), on, "m_id", salts)
+    return met.where(~functools.reduce(lambda x, y: x | y, earlier)).select(*keys, "q_id", "m_id", *kept, hits.alias("hits"))
+
+
+def nearest_candidates(
+    query_sig: DataFrame,
+    model_sig: DataFrame,
+    query_bag: DataFrame,
+    model_bag: DataFrame,
+    keys: Sequence[str] = (),
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """(keys..., q_id, m_id, distance): of the candidates of every query, the
+    nearest of each bucket (of equally near ones the least id; others that near
+    may come too). A vector travels once for every band, and again for every
+    further cell of a crowded bucket; candidates are scored where they meet,
+    all of them, and no row per candidate leaves the task."""
+    vocab = vocabulary(query_bag, model_bag)
+    found = bucket_cosines(
+        query_sig, model_sig, vectors(query_bag, id_col, vocab, "q_id"), vectors(model_bag, id_col, vocab, "m_id"),
+        [*keys, "band", "sig_lo", "sig_hi"], list(keys),
+    )
+    return found.select(*keys, "q_id", "m_id", arc(F.col("cos")).alias("distance"))
 
 
 def bucket_sizes(model_sig: DataFrame) -> DataFrame:
@@ -123,9 +173,10 @@ def bucket_sizes(model_sig: DataFrame) -> DataFrame:
     return model_sig.groupBy("band", "sig_lo", "sig_hi").agg(F.count(F.lit(1)).alias("size"))
 
 
-def lsh_vote(candidates: DataFrame, model_labels: DataFrame) -> DataFrame:
+def lsh_vote(candidates: DataFrame, model_labels: DataFrame | None) -> DataFrame:
     """(q_id, predicted, votes): majority over all bucket hits with
-    multiplicity, no distances; a tie gives null."""
+    multiplicity, no distances; a tie gives null. Without ``model_labels``
+    the candidates have their ``label``."""
     return majority_vote(candidates, model_labels, weight_col="hits")
 
 
@@ -149,8 +200,8 @@ def lsh_nearest(
     vector in the query's buckets; when the buckets are empty, the distance
     to one vector of the whole model, picked by a seeded hash of the query id.
 
-    Distances come from looking up each candidate's tokens, or, when
-    ``overlap`` (``overlap_distance`` of the same bags) is given, from that
+    Distances come from scoring the candidates inside their buckets
+    (``nearest_candidates``), or, when ``overlap`` (``overlap_distance`` of the same bags) is given, from that
     table with pi/2 for candidates sharing no token."""
 
     def distances(pairs: DataFrame) -> DataFrame:
@@ -163,13 +214,12 @@ def lsh_nearest(
             .select("q_id", "m_id", F.coalesce("distance", F.lit(HALF_PI)).alias("distance"))
         )
 
-    cands = lsh_candidates(query_sig, model_sig, keys)
-    dist = distances(cands)
-    best = (
-        cands.join(dist, ["q_id", "m_id"])
-        .groupBy(*keys, "q_id")
-        .agg(F.min("distance").alias("distance"))
-    )
+    if overlap is None:
+        scored = nearest_candidates(query_sig, model_sig, query_bag, model_bag, keys)
+    else:
+        cands = lsh_candidates(query_sig, model_sig, keys)
+        scored = cands.join(distances(cands), ["q_id", "m_id"])
+    best = scored.groupBy(*keys, "q_id").agg(F.min("distance").alias("distance"))
     # every (keys, q_id) with a signature, i.e. every non-empty query
     qk = query_sig.select(*keys, F.col("doc_id").alias("q_id")).distinct()
     missing = qk.join(best, [*keys, "q_id"], "left_anti")
@@ -189,12 +239,11 @@ def lsh_classify(
     candidates: DataFrame, query_bag: DataFrame, model_bag: DataFrame, model_labels: DataFrame
 ) -> DataFrame:
     """(q_id, m_id, distance, predicted): label of the nearest candidate over
-    all bands (ties by model id); no candidate -> no row."""
-    dist = candidate_distance(candidates.select("q_id", "m_id"), query_bag, model_bag).where(
-        F.col("distance").isNotNull()
-    )
+    all bands (ties by model id); no candidate -> no row. Candidates that come
+    with their ``distance`` (``nearest_candidates``) are not scored again."""
+    dist = candidates if "distance" in candidates.columns else candidate_distance(candidates.select("q_id", "m_id"), query_bag, model_bag)
     return (
-        dist.join(model_labels, "m_id")
+        dist.where(F.col("distance").isNotNull()).join(model_labels, "m_id")
         .groupBy("q_id")
         .agg(F.min_by(F.struct("m_id", "distance", "label"), F.struct("distance", "m_id")).alias("b"))
         .select("q_id", F.col("b.m_id").alias("m_id"), F.col("b.distance").alias("distance"), F.col("b.label").alias("predicted"))

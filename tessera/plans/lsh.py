@@ -27,21 +27,22 @@ def q_lsh_signature(spark, sf_dir):
     return L.lsh_signature(table(spark, sf_dir, "documents"), PLANES, BANDS, SEED)
 
 
-def _cands(spark, sf_dir, queries):
-    model = C.model(spark, sf_dir)
-    qs = L.lsh_signature(queries, PLANES, BANDS, SEED)
-    ms = L.lsh_signature(model, PLANES, BANDS, SEED)
-    return model, L.lsh_candidates(qs, ms)
+def _sigs(queries, model):
+    return L.lsh_signature(queries, PLANES, BANDS, SEED), L.lsh_signature(model, PLANES, BANDS, SEED)
 
 
 def q_lsh_candidates(spark, sf_dir):
-    return _cands(spark, sf_dir, C.holdout(spark, sf_dir))[1]
+    qs, ms = _sigs(C.holdout(spark, sf_dir), C.model(spark, sf_dir))
+    return L.lsh_candidates(qs, ms, bands=BANDS)
 
 
 def q_lsh_vote(spark, sf_dir):
-    qs = C.holdout(spark, sf_dir)
-    model, cands = _cands(spark, sf_dir, qs)
-    votes = L.lsh_vote(cands, _labels(model))
+    qs, model = C.holdout(spark, sf_dir), C.model(spark, sf_dir)
+    sigs, ms = _sigs(qs, model)
+    # Labels go with the vectors, with the number of rows that have them.
+    labels = model.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times"))
+    cands = L.lsh_candidates(sigs, ms.join(labels, "doc_id"), bands=BANDS, kept=["label", "times"])
+    votes = L.lsh_vote(cands.withColumn("hits", F.col("hits") * F.col("times")), None)
     return (
         qs.select(F.col("doc_id").alias("q_id"), "label")
         .join(votes, "q_id", "left")
@@ -62,8 +63,9 @@ def q_lsh_nearest(spark, sf_dir):
 
 
 def _classified(spark, sf_dir, queries):
-    model, cands = _cands(spark, sf_dir, queries)
-    best = L.lsh_classify(cands, token_bag(queries), token_bag(model), _labels(model))
+    model = C.model(spark, sf_dir)
+    qb, mb = token_bag(queries), token_bag(model)
+    best = L.lsh_classify(L.nearest_candidates(*_sigs(queries, model), qb, mb), qb, mb, _labels(model))
     return queries.select(F.col("doc_id").alias("q_id"), "label").join(best, "q_id", "left")
 
 
@@ -79,8 +81,8 @@ def q_lsh_saved_model(spark, sf_dir):
     parts = {"sig": L.lsh_signature(model, PLANES, BANDS, SEED), "bag": token_bag(model), "labels": _labels(model)}
     io.save_model(path, parts, {"planes": PLANES, "bands": BANDS, "seed": SEED, "kind": "lsh"})
     saved, p = io.load_model(spark, path, ["sig", "bag", "labels"])
-    cands = L.lsh_candidates(L.lsh_signature(queries, p["planes"], p["bands"], p["seed"]), saved["sig"])
-    best = L.lsh_classify(cands, token_bag(queries), saved["bag"], saved["labels"])
+    qb, sigs = token_bag(queries), L.lsh_signature(queries, p["planes"], p["bands"], p["seed"])
+    best = L.lsh_classify(L.nearest_candidates(sigs, saved["sig"], qb, saved["bag"]), qb, saved["bag"], saved["labels"])
     out = queries.select(F.col("doc_id").alias("q_id"), "label").join(best, "q_id", "left")
     return out.select("q_id", "label", "m_id", F.round("distance", 6).alias("distance"), "predicted")
 
