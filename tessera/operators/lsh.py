@@ -7,8 +7,8 @@ sum(count * sign) and its signature bit ``i`` is set when the projection is
 strictly positive. Signatures are two 32-bit halves ``sig_lo`` / ``sig_hi``.
 
 Plan: the projection is summed over token *occurrences* straight from the
-text rows, grouped by (doc, band). A document is one input row, so the
-partial aggregate of its task already holds its full projection and the
+text rows, in arrays inside the task (``planes``: a token of a batch is hashed
+once), then over rows of the same id. A document is one input row, so the
 shuffle moves one row per (doc, band), not the bag. Buckets are never
 materialised as lists: a bucket probe is an equi-join on
 (band, sig_lo, sig_hi), whose skewed keys AQE splits at run time.
@@ -21,14 +21,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.hashing import h60
 from tessera.functions.text import tokens
 from tessera.operators.partitioning import dense_index, meet
-from tessera.operators.blocks import bucket_cosines, vectors, vocabulary
+from tessera.operators.blocks import bucket_cosines, masked_cosines, vectors, vocabulary
 from tessera.operators.classify import majority_vote
 from tessera.operators.graph.core import Loop
-from tessera.operators.similarity import HALF_PI, arc, candidate_distance, overlap_distance
+from tessera.operators.planes import projections
+from tessera.operators.similarity import arc, candidate_distance
 
 MAX_PLANES = 64
 
@@ -69,26 +71,19 @@ def lsh_signature(
     """(doc_id, band, sig_lo, sig_hi) for every document with a token;
     exactly ``bands`` independent tables of ``planes`` planes each."""
     _check(planes, bands)
-    occ = (
-        docs.select(id_col, text_col)
-        .select(F.col(id_col).alias("doc_id"), F.explode(tokens(F.col(text_col))).alias("token"))
-        .where(F.col("token") != "")
-        .select("doc_id", "token", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
-    )
-    salted = F.concat_ws("|", F.lit(str(seed)), F.col("band").cast("string"), F.col("token"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.filter(tokens(F.col(text_col)), lambda t: t != "").alias("tokens"))
     if planes == 0:  # one bucket per band: every non-empty vector collides
-        return occ.select("doc_id", "band").distinct().select(
-            "doc_id", "band", F.lit(0).cast("bigint").alias("sig_lo"), F.lit(0).cast("bigint").alias("sig_hi")
-        )
-    hexed = occ.select("doc_id", "band", F.md5(salted).alias("hx"))
-    lo = F.conv(F.substring("hx", 1, 8), 16, 10).cast("bigint")
-    hi = F.conv(F.substring("hx", 9, 8), 16, 10).cast("bigint")
-    signs = hexed.select(
-        "doc_id",
-        "band",
-        *[(_bit(lo, hi, i) * 2 - 1).cast("int").alias(f"s{i}") for i in range(planes)],
+        some = rows.where(F.size("tokens") > 0).select("doc_id").distinct()
+        return some.select(
+            "doc_id", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"),
+            F.lit(0).cast("bigint").alias("sig_lo"), F.lit(0).cast("bigint").alias("sig_hi"),
+        )
+    sums = T.StructType(
+        [rows.schema["doc_id"], T.StructField("band", T.IntegerType())]
+        + [T.StructField(f"p{i}", T.LongType()) for i in range(planes)]
     )
-    proj = signs.groupBy("doc_id", "band").agg(*[F.sum(f"s{i}").alias(f"p{i}") for i in range(planes)])
+    proj = rows.mapInArrow(projections(planes, bands, seed), sums).groupBy("doc_id", "band")
+    proj = proj.agg(*[F.sum(f"p{i}").alias(f"p{i}") for i in range(planes)])
     names = [f"p{i}" for i in range(planes)]
     return proj.select(
         "doc_id", "band", _sig_half(names, 0, 32).alias("sig_lo"), _sig_half(names, 32, 64).alias("sig_hi")
@@ -194,32 +189,18 @@ def lsh_nearest(
     model_sig: DataFrame,
     keys: Sequence[str] = (),
     seed: int = 0,
-    overlap: DataFrame | None = None,
+    best: DataFrame | None = None,
 ) -> DataFrame:
     """(keys..., q_id, distance, fallback): the smallest distance to a model
     vector in the query's buckets; when the buckets are empty, the distance
     to one vector of the whole model, picked by a seeded hash of the query id.
 
     Distances come from scoring the candidates inside their buckets
-    (``nearest_candidates``), or, when ``overlap`` (``overlap_distance`` of the same bags) is given, from that
-    table with pi/2 for candidates sharing no token."""
-
-    def distances(pairs: DataFrame) -> DataFrame:
-        if overlap is None:
-            return candidate_distance(pairs.select("q_id", "m_id").distinct(), query_bag, model_bag)
-        return (
-            pairs.select("q_id", "m_id")
-            .distinct()
-            .join(overlap, ["q_id", "m_id"], "left")
-            .select("q_id", "m_id", F.coalesce("distance", F.lit(HALF_PI)).alias("distance"))
-        )
-
-    if overlap is None:
+    (``nearest_candidates``); ``best`` (keys..., q_id, distance) has them for the
+    queries with candidates if they are known."""
+    if best is None:
         scored = nearest_candidates(query_sig, model_sig, query_bag, model_bag, keys)
-    else:
-        cands = lsh_candidates(query_sig, model_sig, keys)
-        scored = cands.join(distances(cands), ["q_id", "m_id"])
-    best = scored.groupBy(*keys, "q_id").agg(F.min("distance").alias("distance"))
+        best = scored.groupBy(*keys, "q_id").agg(F.min("distance").alias("distance"))
     # every (keys, q_id) with a signature, i.e. every non-empty query
     qk = query_sig.select(*keys, F.col("doc_id").alias("q_id")).distinct()
     missing = qk.join(best, [*keys, "q_id"], "left_anti")
@@ -230,7 +211,9 @@ def lsh_nearest(
     picks = missing.withColumn("pos", F.pmod(h60(F.col("q_id"), "pick", seed), F.lit(n_pool))).join(
         pool, "pos"
     )
-    fb = distances(picks)
+    # Only the bags of picked vectors are looked into.
+    picked = model_bag.join(picks.select(F.col("m_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    fb = candidate_distance(picks.select("q_id", "m_id").distinct(), query_bag, picked)
     fb_rows = picks.join(fb, ["q_id", "m_id"]).select(*keys, "q_id", "distance")
     return best.withColumn("fallback", F.lit(False)).unionByName(fb_rows.withColumn("fallback", F.lit(True)))
 
@@ -260,43 +243,33 @@ def plane_sweep(
 ) -> DataFrame:
     """(num_hyperplanes, queries, mean_abs_err, fallbacks): mean |approx -
     exact| nearest distance of every query, for each plane count, in one job:
-    64 planes are hashed once and masked to the first n."""
+    64 planes are hashed once and masked to the first n. Blocks of queries meet
+    blocks of the model; a product gives the nearest of all vectors and of those
+    in the bucket for each plane count, so no table has a row per pair."""
     top = max(plane_counts)
     owner = Loop()
-    # both signature tables feed several jobs (pool size, candidates, the
-    # exact side): keep them instead of hashing every token twice
+    # The signatures feed several jobs (products, pool, queries without candidates).
     qs = owner.keep(lsh_signature(query_docs, top, 1, seed))
     ms = owner.keep(lsh_signature(model_docs, top, 1, seed))
-    counts = F.explode(F.array(*[F.lit(n) for n in plane_counts])).alias("num_hyperplanes")
-
-    def per_n(sig):
-        t = sig.select("*", counts)
-        n = F.col("num_hyperplanes")
-        lo = hi = None
-        for c in plane_counts:
-            lo_m, hi_m = (1 << min(c, 32)) - 1, (1 << max(c - 32, 0)) - 1
-            lo = (F.when(n == c, F.lit(lo_m)) if lo is None else lo.when(n == c, F.lit(lo_m)))
-            hi = (F.when(n == c, F.lit(hi_m)) if hi is None else hi.when(n == c, F.lit(hi_m)))
-        return t.withColumn("sig_lo", F.col("sig_lo").bitwiseAND(lo)).withColumn(
-            "sig_hi", F.col("sig_hi").bitwiseAND(hi)
-        )
-
-    # With one plane about half of all pairs are candidates, so every
-    # distance comes from one token join, shared by all plane counts, the
-    # fallbacks and the exact nearest distance.
-    overlap = owner.keep(overlap_distance(query_bag, model_bag))
-    approx = lsh_nearest(
-        query_bag, model_bag, per_n(qs), per_n(ms), keys=["num_hyperplanes"], seed=seed, overlap=overlap
-    )
-    exact = (
-        qs.select(F.col("doc_id").alias("q_id"))
-        .distinct()
-        .join(overlap.groupBy("q_id").agg(F.min("distance").alias("d")), "q_id", "left")
-        .select("q_id", F.coalesce("d", F.lit(HALF_PI)).alias("exact"))
+    n = F.col("num_hyperplanes")
+    qk = qs.select(F.explode(F.array(*[F.lit(c) for c in plane_counts])).alias("num_hyperplanes"), "doc_id", "band")
+    vocab = vocabulary(query_bag, model_bag)
+    sig = F.col("sig_lo").bitwiseOR(F.shiftleft("sig_hi", 32)).alias("sig")
+    q, m = (
+        vectors(bag, "doc_id", vocab, name).join(sigs.select(F.col("doc_id").alias(name), sig), name)
+        for bag, sigs, name in ((query_bag, qs, "q_id"), (model_bag, ms, "m_id"))
     )
+    # A mask of no plane is the exact search.
+    masks = [0, *((1 << c) - 1 for c in plane_counts)]
+    met = masked_cosines(q, m, masks).groupBy("mask", "q_id").agg(arc(F.max("cos")).alias("distance"))
+    met = owner.keep(met)
+    count = F.element_at(F.array(*[F.lit(c) for c in (0, *plane_counts)]), F.col("mask") + 1).alias("num_hyperplanes")
+    best = met.where("mask > 0").select(count, "q_id", "distance")
+    exact = met.where("mask = 0").select("q_id", F.col("distance").alias("exact"))
+    approx = lsh_nearest(query_bag, model_bag, qk, ms, keys=["num_hyperplanes"], seed=seed, best=best)
     out = (
         approx.join(exact, "q_id")
-        .groupBy("num_hyperplanes")
+        .groupBy(n)
         .agg(
             F.count(F.lit(1)).alias("queries"),
             F.avg(F.abs(F.col("distance") - F.col("exact"))).alias("mean_abs_err"),
@@ -304,4 +277,3 @@ def plane_sweep(
         )
     )
     return owner.finish(out)
-
