@@ -67,6 +67,8 @@ def test_supersteps_above_what_a_task_holds(spark):
     ids = G.vertices_of(e)
     one, many = ({r.id: (r.total, r.reached) for r in G.reach_sums(e, ids, held=h).collect()} for h in (1 << 24, 40))
     assert one == many
+    one, many = ({r.id: r.betweenness for r in G.betweenness(e, held=h).collect()} for h in (1 << 24, 40))
+    assert one == pytest.approx(many, abs=1e-12)
 
 
 def jobs_of(spark, group, make):
@@ -77,7 +79,7 @@ def jobs_of(spark, group, make):
     return len(sc.statusTracker().getJobIdsForGroup(group))
 
 
-@pytest.mark.parametrize("measure", [G.closeness])
+@pytest.mark.parametrize("measure", [G.closeness, G.betweenness])
 def test_levels_take_no_jobs(spark, measure):
     short, long = (edges_df(spark, [(i, i + 1) for i in range(n)]) for n in (3, 40))
     name = measure.__name__
