@@ -95,3 +95,17 @@ def test_odd_sources_and_ids(spark):
     assert {r.id: r.betweenness for r in some.collect()} == {1: 0.0, 2: 3.0, 3: 0.5, 4: 0.0, 5: 0.5}
     near = {r.id: r.closeness for r in G.closeness(e).collect()}
     assert near == {None: 0.0, 1: 1 / 8, 2: 1 / 4, 3: 1.0, 4: 0.0, 5: 1.0}
+
+
+def test_resets_of_a_report_share_supersteps(spark):
+    e = edges_df(spark, [(1, 2), (2, 3), (3, 1), (3, 4), (4, 4), (5, 1)])
+    resets = (0.05, 0.15, 0.3)
+
+    def report(some):
+        only = [f"pagerank_{r}" for r in some]
+        return G.measure_report(e, resets=some, pagerank_iter=4, only=only)
+
+    got = {(r.measure, r.id): r.score for r in report(resets).collect()}
+    want = {(f"pagerank_{r}", x.id): x.rank for r in resets for x in G.pagerank(e, reset=r, max_iter=4).collect()}
+    assert got == pytest.approx(want)
+    assert jobs_of(spark, "three resets", lambda: report(resets)) < 2 * jobs_of(spark, "one reset", lambda: report(resets[:1]))
