@@ -1,10 +1,12 @@
 import random
 from collections import deque
 
+import numpy as np
 import pytest
 
 from conftest import edges_df, ids_df
 from tessera.operators.graph import centrality as G
+from tessera.operators.graph import searches
 
 
 def brute(pairs, ids, directed):
@@ -109,3 +111,25 @@ def test_resets_of_a_report_share_supersteps(spark):
     want = {(f"pagerank_{r}", x.id): x.rank for r in resets for x in G.pagerank(e, reset=r, max_iter=4).collect()}
     assert got == pytest.approx(want)
     assert jobs_of(spark, "three resets", lambda: report(resets)) < 2 * jobs_of(spark, "one reset", lambda: report(resets[:1]))
+
+
+def test_sources_of_a_batch_share_arcs(monkeypatch):
+    """64 sources follow few more arcs than one, in groups far apart as well."""
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 100, (2, 30, 1500)) + 100 * np.arange(30)[:, None]
+    a, b = np.append(a, 100 * np.arange(29)), np.append(b, 100 * np.arange(1, 30))
+    key = np.unique(np.concatenate([a << 32 | b, b << 32 | a])[np.tile(a != b, 2)])
+    out = np.searchsorted(key >> 32, np.arange(3001)), key & 0xFFFFFFFF
+    plain, counted = searches._arcs, []
+    monkeypatch.setattr(searches, "_arcs", lambda rows, arcs: (counted.append(len(x[-1])) or x for x in plain(rows, arcs)))
+
+    def run(sources):
+        counted.clear()
+        sums = np.zeros(3000)
+        searches._dependencies(out, out, sources, sums)
+        return sums, sum(counted)
+
+    one = [run(np.array([s])) for s in range(64)]
+    sums, followed = run(np.arange(64))
+    assert sums == pytest.approx(sum(x for x, _ in one))
+    assert followed < 4 * max(n for _, n in one)
