@@ -133,3 +133,17 @@ def test_sources_of_a_batch_share_arcs(monkeypatch):
     sums, followed = run(np.arange(64))
     assert sums == pytest.approx(sum(x for x, _ in one))
     assert followed < 4 * max(n for _, n in one)
+
+
+def test_steps_follow_arcs_of_moving_vertices(monkeypatch):
+    """A long path: all steps together follow each arc a few times, not each step all arcs."""
+    n = 2000
+    ends = np.minimum(np.arange(n + 1), n - 1)
+    out = ends, np.arange(1, n)
+    into = np.concatenate(([0], np.arange(n))), np.arange(n - 1)
+    plain, counted = searches._arcs, []
+    monkeypatch.setattr(searches, "_arcs", lambda rows, arcs: (counted.append(len(x[-1])) or x for x in plain(rows, arcs)))
+    total, reached = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    searches._reach(out, into, n, n - 1, n, total, reached)
+    assert (total == np.arange(n)[::-1]).all() and reached.sum() == n - 1
+    assert sum(counted) < 4 * n
